@@ -1,0 +1 @@
+STREAMS = {}
