@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from ferrylog.functions.text import decode_payload, dump_line, size_of
 from ferrylog.operators import batching, log as log_ops, metadata, monitor, offsets, replay
-from ferrylog.plans import mirror
+from ferrylog.plans import mirror, streams
 from ferrylog.plans.inputs import Inputs
 from ferrylog.settings import LOG_KEYS
 from ferrylog.sources import generate
 from ferrylog.staging import new_folder, stage
-from ferrylog.streaming import demos
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -329,5 +328,5 @@ def mirror_batch(inputs):
 # --- streams
 
 
-for _name in demos.STREAMS:
-    QUERIES[_name] = query(demos.STREAMS[_name])
+for _build in streams.STREAMS.values():
+    query(_build)
