@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ferrylog.settings import LOG_KEYS
 from ferrylog.staging import stage
 
-SEGMENT_SPAN = 1 << 17
+SEGMENT_SPAN = 1 << 14
 FANOUT = 1 << 16
 
 _SEG = "__seg"

@@ -8,7 +8,8 @@ its offsets are ranks over the whole table; later queries scan it with pruning a
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from ferrylog.functions.text import size_of
 from ferrylog.operators.ordered import number_rows
 from ferrylog.sources import table
 from ferrylog.settings import LOG_KEYS
-from ferrylog.staging import new_folder
+from ferrylog.staging import exists, new_folder
 
 LOG_SCHEMA = "off BIGINT, event_id BIGINT, payload STRING, ts TIMESTAMP_NTZ, topic STRING, part INT"
 SNAPSHOTS = 4
@@ -34,6 +35,10 @@ class Inputs:
         self.spark = spark
         self.folder = folder.rstrip("/")
 
+    @cached_property
+    def _log(self) -> DataFrame:
+        return table.read_log(self.spark, self.log_folder(), LOG_SCHEMA)
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
@@ -54,19 +59,14 @@ class Inputs:
     def log_folder(self) -> str:
         """Folder of the stored log; it is written again if it has been cleared away."""
         key = (self.spark.sparkContext.applicationId, self.folder)
-        if key in _logs:
-            try:
-                self.spark.read.parquet(_logs[key])
-                return _logs[key]
-            except AnalysisException:
-                del _logs[key]
-        path = new_folder(self.spark, "log")
-        table.write_log(self.derive_log(), path)
-        _logs[key] = path
-        return path
+        if key not in _logs or not exists(self.spark, f"{_logs[key]}/_SUCCESS"):
+            path = new_folder(self.spark, "log")
+            table.write_log(self.derive_log(), path)
+            _logs[key] = path
+        return _logs[key]
 
     def log(self) -> DataFrame:
-        return table.read_log(self.spark, self.log_folder(), LOG_SCHEMA)
+        return self._log
 
     def partitions(self) -> DataFrame:
         """Known partitions; no offsets are needed for that."""

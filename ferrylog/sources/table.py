@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferrylog.operators.ordered import SEGMENT_SPAN, segment_of
+from ferrylog.operators.ordered import segment_of
 from ferrylog.settings import LOG_KEYS
 
+LAYOUT_SPAN = 1 << 17  # rows, about one row group of kilobyte messages
 
-def laid_out(log: DataFrame, span: int = SEGMENT_SPAN) -> DataFrame:
+
+def laid_out(log: DataFrame, span: int = LAYOUT_SPAN) -> DataFrame:
     """Rows placed by (topic, part, segment) and sorted by offset."""
     return (
         log.withColumn("__seg", segment_of("off", span))
@@ -25,7 +27,7 @@ def laid_out(log: DataFrame, span: int = SEGMENT_SPAN) -> DataFrame:
     )
 
 
-def write_log(log: DataFrame, path: str, *, mode: str = "errorifexists", span: int = SEGMENT_SPAN) -> None:
+def write_log(log: DataFrame, path: str, *, mode: str = "errorifexists", span: int = LAYOUT_SPAN) -> None:
     laid_out(log, span).write.partitionBy(*LOG_KEYS).mode(mode).parquet(path)
 
 

@@ -36,6 +36,12 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file is there, on whatever file system the path names."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return the table that reads it back."""
     spark = df.sparkSession
