@@ -16,25 +16,38 @@ END = "EMITTED_END"
 NOTHING = "NO_EMITTED"
 
 
+def _ranges(failed: DataFrame) -> DataFrame:
+    return failed.groupBy(*LOG_KEYS).agg(F.min("off").alias("__low"), F.max("off").alias("__high"))
+
+
+def _matching(candidates: DataFrame, failed: DataFrame) -> DataFrame:
+    return candidates.join(failed.select(*_ROW), _ROW, "left_semi")
+
+
+def rows_at(log: DataFrame, failed: DataFrame) -> DataFrame:
+    """The rows of a log at the given offsets.
+
+    Only rows between the lowest and the highest offset asked for in their partition are shuffled
+    to meet the list, on a key that includes the offset and so has no hot value.
+    """
+    near = log.join(stage(_ranges(failed), "ranges"), _KEYS)
+    near = near.where(F.col("off").between(F.col("__low"), F.col("__high"))).select(log.columns)
+    return _matching(near, failed)
+
+
 def replay_failed(log: DataFrame, failed: DataFrame, starts: DataFrame) -> DataFrame:
     """Partitions with failed offsets yield those rows only; the others go on from their start.
 
-    Partition facts decide which rows can matter before anything is shuffled: only rows between the
-    lowest and the highest failed offset of a failing partition meet the list of failures, on a key
-    that includes the offset and so has no hot value.
+    What is known about a partition decides which of its rows can matter before any is shuffled.
     """
-    ranges = failed.groupBy(*LOG_KEYS).agg(F.min("off").alias("__low"), F.max("off").alias("__high"))
-    facts = stage(starts.select(*LOG_KEYS, "start_off").join(ranges, _KEYS, "full"), "replay")
+    facts = stage(starts.select(*LOG_KEYS, "start_off").join(_ranges(failed), _KEYS, "full"), "replay")
     rows = log.join(facts, _KEYS)
     fresh = rows.where(F.col("__low").isNull() & (F.col("off") >= F.col("start_off")))
-    again = rows.where(F.col("off").between(F.col("__low"), F.col("__high"))).join(
-        failed.select(*_ROW), _ROW, "left_semi"
-    )
-    made = ["start_off", "__low", "__high"]
+    again = _matching(rows.where(F.col("off").between(F.col("__low"), F.col("__high"))), failed)
     return (
-        fresh.drop(*made)
+        fresh.select(log.columns)
         .withColumn("replayed", F.lit(False))
-        .unionByName(again.drop(*made).withColumn("replayed", F.lit(True)))
+        .unionByName(again.select(log.columns).withColumn("replayed", F.lit(True)))
     )
 
 

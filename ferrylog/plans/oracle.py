@@ -407,6 +407,17 @@ _STREAMS = {
            UNION ALL
            SELECT topic, part, off, true FROM log SEMI JOIN failed USING (topic, part, off)""",
     ),
+    "replay_from_log": (
+        "log failed",
+        """SELECT topic, part, off, payload, false AS replayed FROM log
+           UNION ALL
+           SELECT topic, part, off, payload, true FROM log SEMI JOIN failed USING (topic, part, off)""",
+    ),
+    "throttled_stream": (
+        "log",
+        """SELECT topic, part, count(*) AS n, CAST(sum(strlen(payload)) AS BIGINT) AS bytes
+           FROM log GROUP BY topic, part""",
+    ),
     "idle_stream": (
         "log",
         """SELECT topic, part, min(ts) AS session_start, max(ts) + INTERVAL 240 MINUTE AS session_end, count(*) AS n

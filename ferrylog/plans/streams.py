@@ -15,7 +15,7 @@ from ferrylog.staging import new_folder
 from ferrylog.streaming.idle import activity_sessions
 from ferrylog.streaming.metadata import Refreshing, with_leaders
 from ferrylog.streaming.mirror import StreamMirror
-from ferrylog.streaming.replay import replay_stream as replayed
+from ferrylog.streaming.replay import ReplayFromLog, replay_stream as replayed, tagged
 from ferrylog.streaming.runs import run_available
 from ferrylog.streaming.throttle import stored_bytes, throttled_stream as throttled
 from ferrylog.streaming.volume import volume_stream as volumes
@@ -58,8 +58,9 @@ def mirror_stream(inputs: Inputs) -> DataFrame:
 
 
 def throttled_stream(inputs: Inputs) -> DataFrame:
+    """Rows and bytes that came through at a quarter of the log per trigger, over all micro-batches."""
     limit = max(stored_bytes(inputs.log()) // 4, 1)
-    return throttled(
+    taken = throttled(
         inputs.spark,
         inputs.log_folder(),
         LOG_SCHEMA,
@@ -67,6 +68,7 @@ def throttled_stream(inputs: Inputs) -> DataFrame:
         bytes_per_trigger=limit,
         value="payload",
     )
+    return taken.groupBy(*LOG_KEYS).agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
 
 
 def volume_stream(inputs: Inputs) -> DataFrame:
@@ -75,16 +77,31 @@ def volume_stream(inputs: Inputs) -> DataFrame:
     return result.withColumn("win_start", F.col("win_start").cast("timestamp_ntz"))
 
 
-def replay_stream(inputs: Inputs) -> DataFrame:
-    spark, root = inputs.spark, new_folder(inputs.spark, "replay")
+def _failed_stream(inputs: Inputs, root: str) -> DataFrame:
     inputs.failed().write.parquet(f"{root}/failed")
-    failed = spark.readStream.schema("topic STRING, part INT, off BIGINT").parquet(f"{root}/failed")
+    return inputs.spark.readStream.schema("topic STRING, part INT, off BIGINT").parquet(f"{root}/failed")
+
+
+def replay_stream(inputs: Inputs) -> DataFrame:
+    """Rows kept as state; their payload is not asked for and so not kept."""
+    root = new_folder(inputs.spark, "replay")
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         table.write_batch(batch, f"{root}/out", batch_id)
 
-    run_available(replayed(_log_stream(inputs), failed, value="payload"), keep, f"{root}/checkpoint")
-    return table.read_batches(spark, f"{root}/out").select(*LOG_KEYS, "off", "replayed")
+    rows = replayed(_log_stream(inputs), _failed_stream(inputs, root), value=None)
+    run_available(rows, keep, f"{root}/checkpoint")
+    return table.read_batches(inputs.spark, f"{root}/out").select(*LOG_KEYS, "off", "replayed")
+
+
+def replay_from_log(inputs: Inputs) -> DataFrame:
+    """Rows read again from the stored log."""
+    root = new_folder(inputs.spark, "replay")
+    folder = inputs.log_folder()
+    replay = ReplayFromLog(root, lambda spark: table.read_log(spark, folder, LOG_SCHEMA))
+    rows = tagged(_log_stream(inputs), _failed_stream(inputs, root))
+    run_available(rows, replay.copy, f"{root}/checkpoint")
+    return replay.replayed(inputs.spark).select(*LOG_KEYS, "off", "payload", "replayed")
 
 
 def idle_stream(inputs: Inputs) -> DataFrame:
@@ -119,6 +136,7 @@ STREAMS = {
         throttled_stream,
         volume_stream,
         replay_stream,
+        replay_from_log,
         idle_stream,
         metadata_refresh_stream,
     )

@@ -1,16 +1,26 @@
-"""Failed offsets as state, replayed before new rows."""
+"""Failed offsets, replayed before new rows.
+
+``ReplayFromLog`` reads failed rows again from the log, as a reader does that goes back to the
+lowest failed offset. Its state is the list of failures still open, and all of it stays on the JVM
+side. ``replay_stream`` is for sources that cannot be read again: it keeps the rows themselves as
+state for as long as they may be replayed.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from ferrylog.operators.ordered import segment_of
+from ferrylog.operators.replay import rows_at
 from ferrylog.settings import LOG_KEYS
+from ferrylog.sources import table
+from ferrylog.staging import stage
 
 SPAN = 1 << 14
 
@@ -68,16 +78,18 @@ class Replay(StatefulProcessor):
 
 
 def replay_stream(
-    log: DataFrame, failed: DataFrame, *, value: str = "value", keep: int | None = None, span: int = SPAN
+    log: DataFrame, failed: DataFrame, *, value: str | None = "value", keep: int | None = None, span: int = SPAN
 ) -> DataFrame:
     """New rows as they come, and once more every row whose offset is reported as failed.
 
     State is kept per segment of ``span`` offsets, so a hot partition is spread over many tasks and
     a task never holds more than ``span`` rows of it. ``keep`` is the time in milliseconds for which
-    a row can still be replayed; without it rows are kept for ever. Needs the RocksDB state store.
+    a row can still be replayed; without it rows are kept for ever. ``value=None`` keeps offsets
+    only. Needs the RocksDB state store.
     """
     segment = segment_of("off", span).alias("seg")
-    rows = log.select(*LOG_KEYS, segment, "off", F.col(value).cast("binary").alias("value"), F.lit(False).alias("failed"))
+    payload = F.lit(None) if value is None else F.col(value)
+    rows = log.select(*LOG_KEYS, segment, "off", payload.cast("binary").alias("value"), F.lit(False).alias("failed"))
     notices = failed.select(
         *LOG_KEYS, segment, "off", F.lit(None).cast("binary").alias("value"), F.lit(True).alias("failed")
     )
@@ -91,3 +103,44 @@ def replay_stream(
             timeMode="ProcessingTime" if keep else "None",
         )
     )
+
+
+@dataclass(frozen=True)
+class ReplayFromLog:
+    """New rows as they come; failed ones are read again from the log the stream comes from.
+
+    ``read_log`` gives that log as a batch table. Each micro-batch is written under its id, with the
+    failures it leaves open, so that redoing it changes nothing. A failure beyond the end of the log
+    stays open until its row is there.
+    """
+
+    root: str
+    read_log: Callable[[SparkSession], DataFrame]
+
+    def copy(self, batch: DataFrame, batch_id: int) -> None:
+        """Take rows with ``failed = false`` as new, and offsets with ``failed = true`` as notices."""
+        spark = batch.sparkSession
+        notices = batch.where("failed").select(*LOG_KEYS, "off")
+        wanted = stage(self._open_before(spark, batch_id).unionByName(notices).distinct(), "wanted")
+        again = rows_at(self.read_log(spark), wanted)
+        fresh = batch.where(~F.col("failed")).select(again.columns)
+        out = again.withColumn("replayed", F.lit(True)).unionByName(fresh.withColumn("replayed", F.lit(False)))
+        table.write_batch(out, f"{self.root}/out", batch_id)
+        left = wanted.join(again.select(*LOG_KEYS, "off"), [*LOG_KEYS, "off"], "left_anti")
+        table.write_batch(left, f"{self.root}/open", batch_id)
+
+    def _open_before(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        schema = "topic STRING, part INT, off BIGINT"
+        if batch_id == 0:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(table.batch_path(f"{self.root}/open", batch_id - 1))
+
+    def replayed(self, spark: SparkSession) -> DataFrame:
+        """Everything emitted so far."""
+        return table.read_batches(spark, f"{self.root}/out")
+
+
+def tagged(log: DataFrame, failed: DataFrame) -> DataFrame:
+    """New rows and failure notices as one stream for ``ReplayFromLog``."""
+    notices = failed.select(*LOG_KEYS, "off").withColumn("failed", F.lit(True))
+    return log.withColumn("failed", F.lit(False)).unionByName(notices, allowMissingColumns=True)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrylog.functions.text import size_of
+from ferrylog.settings import LOG_KEYS
 from ferrylog.sources import table
 from ferrylog.streaming.runs import run_available
 
@@ -13,19 +14,20 @@ from ferrylog.streaming.runs import run_available
 def throttled_stream(
     spark: SparkSession, log_path: str, schema: str, root: str, *, bytes_per_trigger: int, value: str = "value"
 ) -> DataFrame:
-    """Read a stored log at a limited rate; rows and payload bytes that each micro-batch took.
+    """Read a stored log at a limited rate; rows and payload bytes of each micro-batch and partition.
 
     Files are admitted whole, one at least. A running job adds a fixed trigger interval, which makes
     the limit one of bytes per time.
     """
 
     def measure(batch: DataFrame, batch_id: int) -> None:
-        taken = batch.agg(F.count("*").alias("n"), F.sum(size_of(F.col(value))).alias("bytes"))
+        size = size_of(F.col(value))
+        taken = batch.groupBy(*LOG_KEYS).agg(F.count("*").alias("n"), F.sum(size).alias("bytes"))
         table.write_batch(taken, f"{root}/taken", batch_id)
 
     stream = table.stream_log(spark, log_path, schema, bytes_per_trigger=bytes_per_trigger)
     run_available(stream, measure, f"{root}/checkpoint")
-    return table.read_batches(spark, f"{root}/taken").select("batch_id", "n", "bytes")
+    return table.read_batches(spark, f"{root}/taken").select("batch_id", *LOG_KEYS, "n", "bytes")
 
 
 def stored_bytes(log: DataFrame) -> int:
