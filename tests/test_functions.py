@@ -1,0 +1,111 @@
+import pytest
+from pyspark.sql import functions as F
+
+from ferrylog.functions import endpoints, paths
+from ferrylog.functions.errors import error_action, error_name
+from ferrylog.functions.text import decode_payload, dump_line, hash_partition, java_hash, size_of
+
+
+def values(make, schema, rows, *columns):
+    return [tuple(row) for row in make([(n, *row) for n, row in enumerate(rows)], f"n INT, {schema}").orderBy("n").select(*columns).collect()]
+
+
+def test_malformed_bytes_are_replaced_and_null_passes(make):
+    raw = [(b"a\xffb",), (None,), (b"",), ("grüß".encode(),)]
+    got = values(make, "v BINARY", raw, decode_payload(F.col("v")), size_of(F.col("v")))
+    assert got == [("a�b", 3), (None, None), ("", 0), ("grüß", 6)]
+
+
+@pytest.mark.parametrize(
+    "text, code",
+    [("", 0), ("a", 97), ("hello", 99162322), ("polygenelubricants", -(2**31)), ("😀", 1772899)],
+)
+def test_java_hash(make, text, code):
+    assert values(make, "k STRING", [(text,)], java_hash(F.col("k"))) == [(code,)]
+
+
+def test_hash_partition_is_never_negative(make):
+    keys = [("polygenelubricants",), ("zzzzzz",), ("",), ("x" * 500,)] + [(f"key-{n}",) for n in range(200)]
+    got = values(make, "k STRING", keys, java_hash(F.col("k")), hash_partition(F.col("k"), 7))
+    assert any(code < 0 for code, _ in got)
+    assert all(0 <= part < 7 and part == code % 7 for code, part in got)
+
+
+def test_dump_line(make):
+    assert values(make, "v STRING", [("x",)], dump_line(F.lit(7), F.col("v"))) == [("7: x",)]
+
+
+@pytest.mark.parametrize(
+    "text, host, port, valid",
+    [
+        ("h", "h", 9092, True),
+        ("h:", "h", 9092, True),
+        ("h:1", "h", 1, True),
+        ("h:1:", "h", 1, True),
+        ("h:1:2", "h", 1, False),
+        ("h:x", "h", None, False),
+        ("h: 1", "h", None, False),
+        (":5", "", 5, False),
+        ("", "", 9092, False),
+    ],
+)
+def test_endpoint(make, text, host, port, valid):
+    e = F.col("e")
+    got = values(make, "e STRING", [(text,)], endpoints.host_of(e), endpoints.port_of(e), endpoints.is_valid(e))
+    assert got == [(host, port, valid)]
+
+
+def test_paths_there_and_back(make):
+    t, p = F.col("t"), F.col("p")
+    built = values(
+        make,
+        "t STRING, p INT",
+        [("clicks", 3)],
+        paths.offset_path(t, p),
+        paths.state_path(t, p),
+        paths.partitions_path(t),
+        paths.broker_path(p),
+        paths.sync_topic_path(t),
+        paths.client_id("sync", p),
+        paths.partition_id(p),
+    )[0]
+    assert built == (
+        "/consumers/demo/offsets/clicks/3",
+        "/brokers/topics/clicks/partitions/3/state",
+        "/brokers/topics/clicks/partitions",
+        "/brokers/ids/3",
+        "/sync/topics/ids/clicks",
+        "Client_sync_3",
+        "partition_3",
+    )
+    path = F.col("path")
+    read = values(
+        make,
+        "path STRING",
+        [(built[0],), (built[1],), (built[3],), ("/brokers/ids",)],
+        paths.kind_of(path),
+        paths.topic_of(path),
+        paths.part_of(path),
+        paths.broker_id_of(path),
+    )
+    assert read == [
+        ("offset", "clicks", 3, None),
+        ("state", "clicks", 3, None),
+        ("broker", None, None, 3),
+        ("other", None, None, None),
+    ]
+
+
+def test_errors(make):
+    codes = [(-1,), (0,), (1,), (2,), (12,), (13,), (99,)]
+    name = error_name(F.col("c"))
+    got = values(make, "c INT", codes, name, error_action(name), error_action(name, reset_allowed=False))
+    assert got == [
+        ("UNKNOWN", "fail", "fail"),
+        ("NO_ERROR", "ok", "ok"),
+        ("OFFSET_OUT_OF_RANGE", "reset", "fail"),
+        ("INVALID_MESSAGE", "fail", "fail"),
+        ("OFFSET_METADATA_TOO_LARGE", "fail", "fail"),
+        ("UNKNOWN", "fail", "fail"),
+        ("UNKNOWN", "fail", "fail"),
+    ]
