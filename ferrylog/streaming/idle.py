@@ -56,7 +56,7 @@ class IdleAlarm(StatefulProcessor):
                 self.handle.deleteTimer(timer)
         self.last.update((seen,))
         self.handle.registerTimer(seen + self.limit_ms)
-        yield pd.DataFrame({"topic": [], "part": [], "idle_since": [], "idle_ms": []})
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         since = self.last.get()[0]

@@ -1,0 +1,41 @@
+import pytest
+from conftest import rows_of
+
+from ferrylog.operators import offsets, replay
+
+STARTS = "topic STRING, part INT, start_off BIGINT"
+
+
+@pytest.fixture
+def log(make_log):
+    return make_log([("t", 0, off) for off in (1, 2, 4, 5)] + [("t", 1, off) for off in (10, 11, 12)])
+
+
+def test_failing_partitions_yield_failed_rows_only(make, log):
+    failed = make([("t", 0, 2), ("t", 0, 3), ("t", 0, 5), ("t", 0, 99)], "topic STRING, part INT, off BIGINT")
+    starts = make([("t", 0, 1), ("t", 1, 11)], STARTS)
+    got = replay.replay_failed(log, failed, starts).select("topic", "part", "off", "replayed")
+    assert rows_of(got) == [("t", 0, 2, True), ("t", 0, 5, True), ("t", 1, 11, False), ("t", 1, 12, False)]
+    assert rows_of(replay.still_failed(log, failed)) == [("t", 0, 3), ("t", 0, 99)]
+
+
+def test_no_failures_means_a_plain_read(make, log):
+    failed = make([], "topic STRING, part INT, off BIGINT")
+    starts = make([("t", 0, 4), ("t", 1, 13)], STARTS)
+    got = replay.replay_failed(log, failed, starts).select("topic", "part", "off", "replayed")
+    assert rows_of(got) == [("t", 0, 4, False), ("t", 0, 5, False)]
+
+
+def test_rows_at(make, log):
+    wanted = make([("t", 1, 12), ("t", 0, 1), ("u", 0, 1)], "topic STRING, part INT, off BIGINT")
+    assert rows_of(replay.rows_at(log, wanted).select("topic", "part", "off")) == [("t", 0, 1), ("t", 1, 12)]
+
+
+def test_emit_state(make, log):
+    bounds = offsets.offset_bounds(log).unionByName(
+        make([("t", 2, None, None, 0, None)], "topic STRING, part INT, earliest BIGINT, latest BIGINT, n_rows BIGINT, n_missing BIGINT")
+    )
+    starts = make([("t", 0, 4), ("t", 1, 50)], STARTS)
+    assert rows_of(replay.emit_state(log, starts, bounds)) == [
+        ("t", 0, 4, replay.MORE_LEFT), ("t", 0, 5, replay.END), ("t", 1, None, replay.NOTHING), ("t", 2, None, replay.NOTHING)
+    ]
