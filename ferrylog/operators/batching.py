@@ -24,8 +24,7 @@ def fetch_budget(
     """
     size = size_of(F.col("value")) if size is None else _size(size)
     rows = accumulate(log.withColumn("__size", size), sums={"cum_bytes": F.col("__size")}, span=span)
-    fetch = F.floor((F.col("cum_bytes") - F.col("__size")) / F.lit(budget))
-    return rows.withColumn("fetch_id", fetch).drop("__size")
+    return rows.withColumn("fetch_id", F.expr(f"(cum_bytes - __size) div {int(budget)}")).drop("__size")
 
 
 def first_fetch(

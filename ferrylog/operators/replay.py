@@ -21,7 +21,11 @@ def _ranges(failed: DataFrame) -> DataFrame:
 
 
 def _matching(candidates: DataFrame, failed: DataFrame) -> DataFrame:
-    return candidates.join(failed.select(*_ROW), _ROW, "left_semi")
+    """Candidates that are in the list.
+
+    Not a semi join: Catalyst would push that below the range check, and shuffle the whole log.
+    """
+    return candidates.join(failed.select(*_ROW).distinct(), _ROW)
 
 
 def rows_at(log: DataFrame, failed: DataFrame) -> DataFrame:

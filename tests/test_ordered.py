@@ -92,3 +92,20 @@ def test_rows_are_windowed_by_segment(make):
 def test_negative_sizes_do_not_matter(make, span):
     rows = [("a", 0, off, (-1) ** off * off) for off in range(20)]
     assert rows_of(scanned(make(rows, SCHEMA), span=span, fanout=2)) == expected(rows)
+
+
+def test_rows_are_shuffled_once_without_broadcasts(spark, make):
+    frame = make([("a", 0, off, 1) for off in range(50)], SCHEMA)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = scanned(frame, span=8)
+        plan = plan_of(got)
+        assert rows_of(got) == expected([tuple(row) for row in frame.collect()])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    join = plan.index("SortMergeJoin")
+    rows_side = plan[join : plan.index("segments-")]
+    by_segment = [line for line in rows_side.splitlines() if "Exchange hashpartitioning" in line and "off" not in line]
+    assert sum("__level" in line for line in by_segment) == 2  # the rows, and their segments
+    assert "Broadcast" not in plan

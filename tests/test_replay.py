@@ -39,3 +39,11 @@ def test_emit_state(make, log):
     assert rows_of(replay.emit_state(log, starts, bounds)) == [
         ("t", 0, 4, replay.MORE_LEFT), ("t", 0, 5, replay.END), ("t", 1, None, replay.NOTHING), ("t", 2, None, replay.NOTHING)
     ]
+
+
+def test_range_check_comes_before_the_list_is_met(make, make_log):
+    from conftest import plan_of
+
+    log = make_log([("t", 0, off) for off in range(20)])
+    plan = plan_of(replay.rows_at(log, make([("t", 0, 3)], "topic STRING, part INT, off BIGINT")))
+    assert plan.index("__low") > plan.index("Join [topic") and "LeftSemi" not in plan
