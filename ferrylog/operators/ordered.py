@@ -55,7 +55,7 @@ def _before_each(rows, keys, order, sums, previous, span, fanout) -> DataFrame:
     summaries = stage(
         summaries.observe(seen, F.min(_SEG).alias("low"), F.max(_SEG).alias("high")), "segments"
     )
-    widest = (seen.get["high"] or 0) - (seen.get["low"] or 0) + 1
+    widest = (seen.get.get("high") or 0) - (seen.get.get("low") or 0) + 1
     totals = {f"__to_{name}": F.col(f"__sum_{name}") for name in sums}
     carries = {f"__carry_{name}": F.col(f"__last_{name}") for name in previous}
     if widest <= fanout:

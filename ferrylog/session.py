@@ -2,21 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STREAM_CONF = {
+    # state that does not fit in memory, and what transformWithState requires
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    # sessions of one partition are merged before they are shuffled
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
 
 CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-    # sessions of one partition are merged before they are shuffled
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    **STREAM_CONF,
 }
 
 
+@contextmanager
+def stream_conf(spark: SparkSession) -> Iterator[None]:
+    """What a stream needs from its session; a stream keeps the settings it was started with."""
+    before = {key: spark.conf.get(key, None) for key in STREAM_CONF}
+    for key, value in STREAM_CONF.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def build_session(
     name: str = "ferrylog",
     *,

@@ -31,9 +31,20 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def app_folder(spark: SparkSession) -> str:
+    """Where this application stages; nothing else is kept there."""
+    return f"{shared_root(spark)}/ferrylog-{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder; nothing is created yet."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the application's folder; nothing is created yet."""
+    return f"{app_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> bool:
+    """Delete what this application has staged, once none of its results is needed any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(app_folder(spark))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ferrylog.session import stream_conf
+
 
 def run_available(
     stream: DataFrame,
@@ -20,7 +22,8 @@ def run_available(
     writer = stream.writeStream.foreachBatch(on_batch).outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    query = writer.trigger(availableNow=True).start()
+    with stream_conf(stream.sparkSession):
+        query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 

@@ -101,7 +101,7 @@ def test_rewriting_a_batch_replaces_it(spark, make_log, folder):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    assert new_folder(spark, "x").startswith(f"{shared_root(spark)}/x-")
+    assert new_folder(spark, "x").startswith(f"{shared_root(spark)}/ferrylog-{spark.sparkContext.applicationId}/x-")
     assert new_folder(spark, "x") != new_folder(spark, "x")
 
 
