@@ -88,6 +88,19 @@ def broker_json(host: Column, port: Column) -> Column:
     )
 
 
+def state_json(leader: Column, isr: Column, *, epoch: Column | int = 0) -> Column:
+    """The body of a topic state node; a partition without a leader has ``null``."""
+    epoch = F.lit(epoch) if isinstance(epoch, int) else epoch
+    body = F.struct(
+        F.lit(1).alias("controller_epoch"),
+        isr.alias("isr"),
+        leader.alias("leader"),
+        epoch.alias("leader_epoch"),
+        F.lit(1).alias("version"),
+    )
+    return F.to_json(body, {"ignoreNullFields": "false"})
+
+
 def node_paths(nodes: DataFrame, *, client: str = "sync") -> DataFrame:
     """Kind, topic and partition named by each path, with the client id a reader would use."""
     read = read_nodes(nodes)
@@ -101,17 +114,21 @@ def node_paths(nodes: DataFrame, *, client: str = "sync") -> DataFrame:
 
 def endpoint_parse(lists: DataFrame, *, column: str = "endpoints") -> DataFrame:
     """Distinct endpoints of comma-separated lists; what cannot be read is marked, not dropped."""
-    items = F.split(F.rtrim(F.col(column), F.lit(",")), ",")
-    items = lists.select(F.explode(items).alias("endpoint")).distinct()
+    items = lists.select(F.explode(F.split(F.rtrim(F.col(column), F.lit(",")), ",")).alias("endpoint"))
     endpoint = F.col("endpoint")
-    valid = endpoints.is_valid(endpoint)
-    host, port = endpoints.host_of(endpoint), endpoints.port_of(endpoint)
-    return items.select(
-        F.when(valid, host).alias("host"),
-        F.when(valid, port).alias("port"),
-        F.when(valid, endpoints.endpoint_text(host, port)).otherwise(endpoint).alias("endpoint"),
-        valid.alias("valid"),
-    ).dropDuplicates(["endpoint", "valid"])
+    parsed = items.select(
+        "endpoint",
+        endpoints.host_of(endpoint).alias("host"),
+        endpoints.port_of(endpoint).alias("port"),
+        endpoints.is_valid(endpoint).alias("valid"),
+    )
+    text = endpoints.endpoint_text(F.col("host"), F.col("port"))
+    return parsed.select(
+        F.when(F.col("valid"), F.col("host")).alias("host"),
+        F.when(F.col("valid"), F.col("port")).alias("port"),
+        F.when(F.col("valid"), text).otherwise(endpoint).alias("endpoint"),
+        "valid",
+    ).distinct()
 
 
 def parse_states(topic_state: DataFrame) -> DataFrame:

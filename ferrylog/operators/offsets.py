@@ -87,25 +87,36 @@ def resolve_start_job(
     )
 
 
-def out_of_range(bounds: DataFrame, checkpoints: DataFrame, *, policy: str = "earliest") -> DataFrame:
-    """Where a saved offset lies relative to the log, and the position to go on from.
+POLICIES = ("earliest", "latest", "fail")
 
-    An offset equal to the end is in range. A partition without a record starts where the policy
-    says.
+
+def out_of_range(
+    bounds: DataFrame, checkpoints: DataFrame, *, policy: str = "earliest", position: str = "committed"
+) -> DataFrame:
+    """Where a position lies relative to the log, and the position to go on from.
+
+    An offset equal to the end is in range. ``policy`` says where a position outside is set to, or
+    that the job is to fail on it. A partition without a record starts where the policy says,
+    or at the earliest offset.
     """
-    if policy not in ("earliest", "latest"):
-        raise ValueError(f"policy must be 'earliest' or 'latest', not {policy!r}")
-    saved = F.col("committed")
+    if policy not in POLICIES:
+        raise ValueError(f"policy must be one of {', '.join(POLICIES)}, not {policy!r}")
+    saved = F.col(position)
     status = (
         F.when(saved.isNull(), "no_record")
         .when(saved < F.col("earliest"), "below")
         .when(saved > F.col("latest"), "above")
         .otherwise("in_range")
     )
+    if policy == "fail":
+        where = F.format_string("offset %d of %s, partition %d, is out of range", position, *LOG_KEYS)
+        reset = F.when(F.col("status") == "no_record", F.col("earliest")).otherwise(F.raise_error(where).cast("bigint"))
+    else:
+        reset = F.col(policy)
     return (
-        bounds.join(checkpoints.select(*LOG_KEYS, "committed"), _KEYS, "left")
+        bounds.join(checkpoints.select(*LOG_KEYS, position), _KEYS, "left")
         .withColumn("status", status)
-        .withColumn("reset_off", F.when(F.col("status") == "in_range", saved).otherwise(F.col(policy)))
+        .withColumn("reset_off", F.when(F.col("status") == "in_range", saved).otherwise(reset))
         .withColumn("policy", F.lit(policy))
     )
 

@@ -6,23 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrylog.functions.text import decode_payload
-from ferrylog.operators import log as log_ops
+from ferrylog.operators import log as log_ops, offsets
 from ferrylog.operators.batching import assign_batches
-from ferrylog.operators.offsets import offset_bounds, resolve_start
 from ferrylog.operators.ordered import SEGMENT_SPAN
 from ferrylog.settings import LOG_KEYS
 from ferrylog.sources import table
 from ferrylog.staging import stage
 
 
-def start_positions(log: DataFrame, checkpoints: DataFrame) -> DataFrame:
-    """Start offset of every partition, staged for joining with the log."""
-    return stage(resolve_start(offset_bounds(log), checkpoints), "starts")
+def start_positions(log: DataFrame, checkpoints: DataFrame, *, out_of_range: str = "keep") -> DataFrame:
+    """Start offset of every partition, staged for joining with the log.
+
+    A saved offset past the end is kept, which reads nothing until the log has grown that far. With
+    ``out_of_range`` it is set to ``earliest`` or ``latest``, or the job is made to ``fail``.
+    """
+    bounds = offsets.offset_bounds(log)
+    starts = offsets.resolve_start(bounds, checkpoints)
+    if out_of_range != "keep":
+        repaired = offsets.out_of_range(bounds, starts, policy=out_of_range, position="start_off")
+        starts = repaired.select(*LOG_KEYS, F.col("reset_off").alias("start_off"))
+    return stage(starts, "starts")
 
 
-def resume(log: DataFrame, checkpoints: DataFrame) -> DataFrame:
+def resume(log: DataFrame, checkpoints: DataFrame, *, out_of_range: str = "keep") -> DataFrame:
     """The rows that a run starting from the saved offsets has to copy."""
-    return log_ops.scan_from(log, start_positions(log, checkpoints))
+    return log_ops.scan_from(log, start_positions(log, checkpoints, out_of_range=out_of_range))
 
 
 def mirror_batch(
@@ -34,6 +42,7 @@ def mirror_batch(
     batch_rows: int = 100,
     key: str = "keep",
     as_text: bool = False,
+    out_of_range: str = "keep",
     span: int = SEGMENT_SPAN,
 ) -> DataFrame:
     """Rows for the target topic with their send batch.
@@ -44,7 +53,7 @@ def mirror_batch(
     """
     if key not in ("keep", "sequence"):
         raise ValueError(f"key must be 'keep' or 'sequence', not {key!r}")
-    rows = assign_batches(resume(log, checkpoints), batch_rows, span=span)
+    rows = assign_batches(resume(log, checkpoints, out_of_range=out_of_range), batch_rows, span=span)
     if key == "sequence":
         rows = rows.withColumn("key", log_ops.sequence_key(F.col("rn"), batch_rows))
     if as_text:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ferrylog.operators.ordered import segment_of
 from ferrylog.settings import LOG_KEYS
+from ferrylog.staging import children, exists
 
 LAYOUT_SPAN = 1 << 17  # rows, about one row group of kilobyte messages
 
@@ -61,6 +62,12 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(batch_path(path, batch_id))
 
 
+def last_batch(spark: SparkSession, path: str) -> int:
+    """Highest batch id that was written completely, -1 when there is none."""
+    ids = sorted((int(name.split("=")[1]) for name in children(spark, path) if name.startswith("batch_id=")), reverse=True)
+    return next((n for n in ids if exists(spark, f"{batch_path(path, n)}/_SUCCESS")), -1)
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """All batches written so far, with ``batch_id``."""
     reader = spark.read if schema is None else spark.read.schema(schema)

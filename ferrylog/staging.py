@@ -53,6 +53,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none when it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return the table that reads it back."""
     spark = df.sparkSession

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,7 +38,8 @@ class StreamMirror:
 
     ``key="sequence"`` numbers rows 1 .. ``cycle`` along each partition; it needs a source that
     delivers a partition in offset order, batch after batch, as a topic does. ``starts`` is a table
-    of start offsets (topic, part, start_off); rows below them are dropped.
+    of start offsets (topic, part, start_off); rows below them are dropped. A micro-batch is read two
+    or three times; ``cache`` keeps it on the executors, for sources that are costly to read again.
     """
 
     root: str
@@ -47,6 +49,7 @@ class StreamMirror:
     cycle: int = 100
     as_text: bool = False
     starts: DataFrame | None = None
+    cache: bool = False
 
     @property
     def data(self) -> str:
@@ -67,32 +70,52 @@ class StreamMirror:
 
     def copy(self, batch: DataFrame, batch_id: int) -> None:
         """Write one micro-batch, then the position it reached."""
+        if not self.cache:
+            return self._copy(batch, batch_id)
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._copy(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _copy(self, batch: DataFrame, batch_id: int) -> None:
         rows = batch if self.starts is None else log_ops.scan_from(batch, self.starts)
-        before = self._progress_before(batch.sparkSession, batch_id)
-        out = self._sequenced(rows, before) if self.key == "sequence" else rows
+        went_back = Observation()
+        progress = self._progress(rows, self._progress_of(batch.sparkSession, batch_id - 1))
+        progress = stage(progress.observe(went_back, F.count_if("went_back").alias("partitions")), "progress")
+        if self.key == "sequence":
+            if went_back.get.get("partitions"):
+                raise OutOfOrder("a partition came out of offset order; use key='keep' for such a source")
+            rows = self._sequenced(rows, progress)
         if self.as_text:
-            out = out.withColumn(self.value, decode_payload(F.col(self.value)))
-        table.write_batch(log_ops.retopic(out, target_topic(self.target)), self.data, batch_id)
-        self._save_progress(rows, before, batch_id)
+            rows = rows.withColumn(self.value, decode_payload(F.col(self.value)))
+        table.write_batch(log_ops.retopic(rows, target_topic(self.target)), self.data, batch_id)
+        table.write_batch(progress.select(*LOG_KEYS, "sent", "position"), self.progress, batch_id)
 
-    def _progress_before(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        if batch_id == 0:
+    def _progress_of(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        if batch_id < 0:
             return spark.createDataFrame([], PROGRESS_SCHEMA)
-        return spark.read.schema(PROGRESS_SCHEMA).parquet(table.batch_path(self.progress, batch_id - 1))
-
-    def _sequenced(self, rows: DataFrame, before: DataFrame) -> DataFrame:
-        here = rows.groupBy(*LOG_KEYS).agg(F.min("off").alias("__lowest"))
-        known = stage(here.join(before, _KEYS, "left"), "sent")
-        if not known.where(F.col("__lowest") < F.col("position")).isEmpty():
-            raise OutOfOrder("a partition was delivered out of offset order; use key='keep' for such a source")
-        counted = number_rows(rows, "__rn").join(known.select(*LOG_KEYS, "sent"), _KEYS)
-        nth = F.col("__rn") + F.coalesce(F.col("sent"), F.lit(0))
-        return counted.withColumn("key", log_ops.sequence_key(nth, self.cycle)).drop("__rn", "sent")
-
-    def _save_progress(self, rows: DataFrame, before: DataFrame, batch_id: int) -> None:
-        sent = rows.groupBy(*LOG_KEYS).agg(F.count("*").alias("sent"), (F.max("off") + 1).alias("position"))
-        total = before.unionByName(sent).groupBy(*LOG_KEYS).agg(F.sum("sent").alias("sent"), F.max("position").alias("position"))
-        table.write_batch(total, self.progress, batch_id)
+        return spark.read.schema(PROGRESS_SCHEMA).parquet(table.batch_path(self.progress, batch_id))
+
+    @staticmethod
+    def _progress(rows: DataFrame, before: DataFrame) -> DataFrame:
+        """Rows sent and position reached in every partition, before and after the batch."""
+        here = rows.groupBy(*LOG_KEYS).agg(
+            F.min("off").alias("lowest"), (F.max("off") + 1).alias("end"), F.count("*").alias("n")
+        )
+        sent = F.coalesce(F.col("sent"), F.lit(0))
+        return here.join(before, _KEYS, "full").select(
+            *LOG_KEYS,
+            sent.alias("sent_before"),
+            (sent + F.coalesce(F.col("n"), F.lit(0))).alias("sent"),
+            F.greatest("position", "end").alias("position"),
+            (F.col("lowest") < F.col("position")).alias("went_back"),
+        )
+
+    def _sequenced(self, rows: DataFrame, progress: DataFrame) -> DataFrame:
+        counted = number_rows(rows, "__rn").join(progress.select(*LOG_KEYS, "sent_before"), _KEYS)
+        nth = F.col("__rn") + F.col("sent_before")
+        return counted.withColumn("key", log_ops.sequence_key(nth, self.cycle)).drop("__rn", "sent_before")
 
     def mirrored(self, spark: SparkSession) -> DataFrame:
         """Everything copied so far."""
@@ -100,5 +123,5 @@ class StreamMirror:
 
     def positions(self, spark: SparkSession) -> DataFrame:
         """The saved position of every partition, usable as a checkpoint table."""
-        saved = table.read_batches(spark, self.progress)
-        return saved.groupBy(*LOG_KEYS).agg(F.max("position").alias("committed"))
+        saved = self._progress_of(spark, table.last_batch(spark, self.progress))
+        return saved.select(*LOG_KEYS, F.col("position").alias("committed"))

@@ -124,8 +124,10 @@ def test_endpoints(make):
     )
 
 
-def test_broker_json(make):
+def test_node_bodies(make):
     from pyspark.sql import functions as F
 
+    state = make([(None, [1, 2])], "leader INT, isr ARRAY<INT>").select(metadata.state_json(F.col("leader"), F.col("isr")).alias("j"))
+    assert state.first().j == '{"controller_epoch":1,"isr":[1,2],"leader":null,"leader_epoch":0,"version":1}'
     row = make([("h", 1)], "host STRING, port INT").select(metadata.broker_json(F.col("host"), F.col("port")).alias("j"))
     assert row.first().j == '{"host":"h","jmx_port":9999,"port":1,"version":1}'

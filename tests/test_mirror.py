@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ferrylog.plans import mirror
 from ferrylog.settings import MirrorSettings
 from ferrylog.sources import generate, kafka, table
+from ferrylog.sources.checkpoints import CheckpointStore
 from ferrylog.staging import new_folder, shared_root, stage
 
 LOG_SCHEMA = "off BIGINT, value BINARY, topic STRING, part INT"
@@ -53,6 +54,31 @@ def test_mirror_of_a_mirror_is_the_mirror(log, nothing_saved, folder):
     assert mirror.audit(log, stored).isEmpty()
 
 
+@pytest.mark.parametrize("policy, rows", [("keep", 0), ("latest", 0), ("earliest", 3)])
+def test_a_position_past_the_end_is_repaired_on_request(make, log, policy, rows):
+    saved = make([("t", 1, 99)], "topic STRING, part INT, committed BIGINT")
+    copied = mirror.mirror_batch(log.where("part = 1"), saved, target="t", out_of_range=policy)
+    assert copied.count() == rows
+
+
+def test_a_position_past_the_end_can_fail_the_mirror(make, log):
+    saved = make([("t", 1, 99)], "topic STRING, part INT, committed BIGINT")
+    with pytest.raises(Exception, match="out of range"):
+        mirror.mirror_batch(log, saved, target="t", out_of_range="fail")
+
+
+def test_checkpoint_snapshots(spark, make, folder):
+    commits = "topic STRING, part INT, seq BIGINT, off BIGINT"
+    store = CheckpointStore(folder)
+    assert store.latest(spark) == -1 and rows_of(store.read(spark, -1)) == []
+    store.save(make([("t", 0, 1, 50), ("t", 0, 2, 40), ("t", 1, 1, 7)], commits), 0, job_id="a")
+    for _ in range(2):
+        store.save(make([("t", 0, 1, 10), ("u", 0, 1, 3)], commits), 1, job_id="b")
+    assert store.latest(spark) == 1
+    assert rows_of(store.read(spark, 0)) == [("t", 0, "a", 40), ("t", 1, "a", 7)]
+    assert rows_of(store.read(spark, 1)) == [("t", 0, "b", 10), ("t", 1, "a", 7), ("u", 0, "b", 3)]
+
+
 def test_audit_sees_both_sides(make_log):
     left, right = make_log([("t", 0, 1), ("t", 0, 2)]), make_log([("t", 0, 2), ("t", 0, 3)])
     assert rows_of(mirror.audit(left, right)) == [("t", 0, 1, "missing"), ("t", 0, 3, "extra")]

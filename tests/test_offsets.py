@@ -79,6 +79,13 @@ def test_out_of_range_policy_is_checked(bounds, saved):
         offsets.out_of_range(bounds, saved, policy="newest")
 
 
+def test_out_of_range_can_fail_the_job(make, bounds, saved):
+    fine = saved.where("part IN (2, 3)")
+    assert by_part(offsets.out_of_range(bounds, fine, policy="fail"), "reset_off")[3] == 200
+    with pytest.raises(Exception, match="offset 201 of t, partition 4, is out of range"):
+        offsets.out_of_range(bounds, saved.where("part = 4"), policy="fail").collect()
+
+
 def test_default_offset(bounds):
     got = offsets.default_offset(bounds.where("part = 0"), False).unionByName(offsets.default_offset(bounds.where("part = 0"), True))
     assert sorted(row.off for row in got.collect()) == [100, 200]

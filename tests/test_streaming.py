@@ -73,7 +73,7 @@ def test_mirror_batch_done_twice_adds_nothing(spark, make_log, folder):
 
 def test_mirror_drops_rows_below_the_start(spark, make, make_log, folder):
     starts = make([("t", 0, 3)], "topic STRING, part INT, start_off BIGINT")
-    copy = StreamMirror(folder, "t", starts=starts)
+    copy = StreamMirror(folder, "t", starts=starts, cache=True)
     copy.copy(make_log([("t", 0, off) for off in range(6)]), 0)
     assert offsets(copy.mirrored(spark)) == [("t", 0, 3), ("t", 0, 4), ("t", 0, 5)]
 
