@@ -32,7 +32,8 @@ def rows_at(log: DataFrame, failed: DataFrame) -> DataFrame:
     """The rows of a log at the given offsets.
 
     Only rows between the lowest and the highest offset asked for in their partition are shuffled
-    to meet the list, on a key that includes the offset and so has no hot value.
+    to meet the list, on a key that includes the offset and so has no hot value. The list should be
+    staged, so that its size is known.
     """
     near = log.join(stage(_ranges(failed), "ranges"), _KEYS)
     near = near.where(F.col("off").between(F.col("__low"), F.col("__high"))).select(log.columns)
@@ -42,8 +43,10 @@ def rows_at(log: DataFrame, failed: DataFrame) -> DataFrame:
 def replay_failed(log: DataFrame, failed: DataFrame, starts: DataFrame) -> DataFrame:
     """Partitions with failed offsets yield those rows only; the others go on from their start.
 
-    What is known about a partition decides which of its rows can matter before any is shuffled.
+    What is known about a partition decides which of its rows can matter before any is shuffled. The
+    list of failures is staged, so that a short one is broadcast and the log stays where it is.
     """
+    failed = stage(failed.select(*_ROW), "failed")
     facts = stage(starts.select(*LOG_KEYS, "start_off").join(_ranges(failed), _KEYS, "full"), "replay")
     rows = log.join(facts, _KEYS)
     fresh = rows.where(F.col("__low").isNull() & (F.col("off") >= F.col("start_off")))
@@ -57,7 +60,7 @@ def replay_failed(log: DataFrame, failed: DataFrame, starts: DataFrame) -> DataF
 
 def still_failed(log: DataFrame, failed: DataFrame) -> DataFrame:
     """Failed offsets that the log does not hold, which a replay leaves in the list."""
-    return failed.join(log.select(*_ROW), _ROW, "left_anti")
+    return failed.join(rows_at(log.select(*_ROW), failed), _ROW, "left_anti")
 
 
 def emit_state(log: DataFrame, starts: DataFrame, bounds: DataFrame) -> DataFrame:
