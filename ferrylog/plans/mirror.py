@@ -9,7 +9,7 @@ from ferrylog.functions.text import decode_payload
 from ferrylog.operators import log as log_ops, offsets
 from ferrylog.operators.batching import assign_batches
 from ferrylog.operators.ordered import SEGMENT_SPAN
-from ferrylog.settings import LOG_KEYS
+from ferrylog.settings import LOG_KEYS, MirrorSettings
 from ferrylog.sources import table
 from ferrylog.staging import stage
 
@@ -61,6 +61,21 @@ def mirror_batch(
     return log_ops.retopic(rows, target_topic(target)).drop("rn")
 
 
+def mirror_job(log: DataFrame, checkpoints: DataFrame, settings: MirrorSettings, **options) -> DataFrame:
+    """``mirror_batch`` for the source and target that the settings name."""
+    if settings.target is None:
+        raise ValueError("the settings name no target")
+    reset = settings.starting if settings.starting in ("earliest", "latest") else "earliest"
+    return mirror_batch(
+        log.where(F.col("topic") == settings.source),
+        checkpoints,
+        target=settings.target,
+        batch_rows=settings.batch_rows,
+        out_of_range="fail" if settings.on_out_of_range == "fail" else reset,
+        **options,
+    )
+
+
 def target_topic(target: str):
     """Expression for the target topic; a name ending in ``_`` is put before the source topic."""
     return F.concat(F.lit(target), F.col("topic")) if target.endswith("_") else F.lit(target)

@@ -67,6 +67,17 @@ def test_a_position_past_the_end_can_fail_the_mirror(make, log):
         mirror.mirror_batch(log, saved, target="t", out_of_range="fail")
 
 
+def test_mirror_by_settings(make, make_log):
+    log = make_log([("a", 0, 1), ("a", 0, 2), ("b", 0, 1)])
+    saved = make([("a", 0, 99)], "topic STRING, part INT, committed BIGINT")
+    copied = mirror.mirror_job(log, saved, MirrorSettings(source="a", target="copy", batch_rows=1))
+    assert rows_of(copied.select("topic", "off", "batch_id")) == [("copy", 1, 0), ("copy", 2, 1)]
+    with pytest.raises(Exception, match="out of range"):
+        mirror.mirror_job(log, saved, MirrorSettings(source="a", target="copy", on_out_of_range="fail"))
+    with pytest.raises(ValueError):
+        mirror.mirror_job(log, saved, MirrorSettings(source="a"))
+
+
 def test_checkpoint_snapshots(spark, make, folder):
     commits = "topic STRING, part INT, seq BIGINT, off BIGINT"
     store = CheckpointStore(folder)

@@ -6,7 +6,6 @@ import time
 import pytest
 from conftest import rows_of
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import functions as F
 
 from ferrylog.operators import monitor
 from ferrylog.plans import mirror
