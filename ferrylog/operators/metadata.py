@@ -203,22 +203,25 @@ def assignment_changed(diff: DataFrame) -> DataFrame:
     return diff.groupBy("broker_id").agg(F.bool_or(F.col("change") != "kept").alias("changed"))
 
 
+def _leader_history(states: DataFrame) -> DataFrame:
+    """Each snapshot of a partition with the leader of the snapshot before it."""
+    return accumulate(
+        states.select("snap", *LOG_KEYS, "leader"),
+        order="snap",
+        sums={"nth": F.lit(1).cast("bigint")},
+        previous={"old_leader": F.col("leader")},
+    )
+
+
 def leader_changes(states: DataFrame) -> DataFrame:
     """Snapshots at which a partition's leader differs from the snapshot before.
 
     ``no_leader`` when it was lost, ``elected`` when there is one again, ``moved`` otherwise.
     """
-    rows = accumulate(
-        states.select("snap", *LOG_KEYS, "leader"),
-        order="snap",
-        sums={"__nth": F.lit(1).cast("bigint")},
-        previous={"old_leader": F.col("leader")},
-    )
     old, new = F.col("old_leader"), F.col("leader")
     kind = F.when(new.isNull(), "no_leader").when(old.isNull(), "elected").otherwise("moved")
-    return rows.where((F.col("__nth") > 1) & ~old.eqNullSafe(new)).select(
-        *LOG_KEYS, "snap", "old_leader", new.alias("new_leader"), kind.alias("kind")
-    )
+    changed = _leader_history(states).where((F.col("nth") > 1) & ~old.eqNullSafe(new))
+    return changed.select(*LOG_KEYS, "snap", "old_leader", new.alias("new_leader"), kind.alias("kind"))
 
 
 def accept_leader(tries: DataFrame, *, keys: Sequence[str] = LOG_KEYS, max_tries: int = 3) -> DataFrame:
@@ -235,18 +238,12 @@ def accept_leader(tries: DataFrame, *, keys: Sequence[str] = LOG_KEYS, max_tries
 
 def registrations(states: DataFrame) -> DataFrame:
     """Register and unregister events that the snapshots imply, in the order of ``seq``."""
-    changes = leader_changes(states)
-    first = states.join(states.groupBy(*LOG_KEYS).agg(F.min("snap").alias("snap")), [*LOG_KEYS, "snap"])
-    gone = changes.where("old_leader IS NOT NULL").select(
-        F.col("old_leader").alias("broker_id"), *LOG_KEYS, (F.col("snap") * 2).alias("seq"), F.lit("unregister").alias("action")
-    )
-    come = changes.select("snap", *LOG_KEYS, F.col("new_leader").alias("leader")).unionByName(
-        first.select("snap", *LOG_KEYS, "leader")
-    )
-    come = come.where("leader IS NOT NULL").select(
-        F.col("leader").alias("broker_id"), *LOG_KEYS, (F.col("snap") * 2 + 1).alias("seq"), F.lit("register").alias("action")
-    )
-    return gone.unionByName(come)
+    old, new = F.col("old_leader"), F.col("leader")
+    gone = F.struct(old.alias("broker_id"), (F.col("snap") * 2).alias("seq"), F.lit("unregister").alias("action"))
+    come = F.struct(new.alias("broker_id"), (F.col("snap") * 2 + 1).alias("seq"), F.lit("register").alias("action"))
+    moved = _leader_history(states).where((F.col("nth") == 1) | ~old.eqNullSafe(new))
+    events = moved.select(*LOG_KEYS, F.inline(F.array(gone, come)))
+    return events.where("broker_id IS NOT NULL").select("broker_id", *LOG_KEYS, "seq", "action")
 
 
 def broker_partitions(events: DataFrame) -> DataFrame:

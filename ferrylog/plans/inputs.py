@@ -83,7 +83,7 @@ class Inputs:
             F.col("text").alias("payload"),
         )
         ranked = number_rows(documents, "rn", order="doc_id")
-        return ranked.select(*LOG_KEYS, (F.col("rn") - 1).alias("off"), "n_bytes", "payload")
+        return ranked.select(*LOG_KEYS, (F.col("rn") - 1).alias("off"), "doc_id", "n_bytes", "payload")
 
     def checkpoints(self) -> DataFrame:
         """No record for part 0, a trimmed offset for 1, one in range for 2, past the end for (view, 3)."""

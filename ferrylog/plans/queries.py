@@ -59,8 +59,11 @@ def bounded_read(inputs):
 
 @query
 def earliest_dump(inputs):
-    rows = batching.first_fetch(inputs.doclog(), 65_536, size="n_bytes")
-    line = dump_line(F.col("off"), F.col("payload"))
+    """The rows of the first fetch are found by size alone; only then are their texts looked up."""
+    sizes = inputs.doclog().select(*LOG_KEYS, "off", "doc_id", "n_bytes")
+    head = stage(batching.first_fetch(sizes, 65_536, size="n_bytes"), "head")
+    line = dump_line(F.col("off"), F.col("text"))
+    rows = inputs.table("documents").select("doc_id", "text").join(head, "doc_id")
     return rows.select(*LOG_KEYS, "off", "n_bytes", F.char_length(line).cast("bigint").alias("line_len"))
 
 
