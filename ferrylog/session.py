@@ -47,8 +47,8 @@ def build_session(
 ) -> SparkSession:
     """A session with the library's settings; ``shuffle_partitions`` is AQE's starting number.
 
-    For a large cluster start with two to four times its cores: AQE merges what turns out small,
-    and cannot split what an aggregation was given too few partitions for.
+    Choose it so that a partition of the largest shuffle holds a few hundred megabytes: AQE merges what
+    turns out small, but cannot split what an aggregation or a window was given too few partitions for.
     """
     builder = SparkSession.builder.appName(name)
     if master:

@@ -19,10 +19,14 @@ LAYOUT_SPAN = 1 << 17  # rows, about one row group of kilobyte messages
 
 
 def laid_out(log: DataFrame, span: int = LAYOUT_SPAN) -> DataFrame:
-    """Rows placed by (topic, part, segment) and sorted by offset."""
+    """Rows placed by (topic, part, segment) and sorted by offset.
+
+    Rebalancing lets AQE cut what is larger than its advisory size and join what is smaller, so file
+    sizes do not depend on the number of shuffle partitions.
+    """
     return (
         log.withColumn("__seg", segment_of("off", span))
-        .repartition(*LOG_KEYS, "__seg")
+        .hint("rebalance", *[F.col(name) for name in (*LOG_KEYS, "__seg")])
         .sortWithinPartitions(*LOG_KEYS, "off")
         .drop("__seg")
     )
