@@ -1,12 +1,13 @@
 import pytest
-from conftest import plan_of, rows_of
+from conftest import DATA, plan_of, rows_of
 from pyspark.sql import functions as F
 
 from ferrylog.plans import mirror
+from ferrylog.plans.inputs import Inputs
 from ferrylog.settings import MirrorSettings
 from ferrylog.sources import generate, kafka, table
 from ferrylog.sources.checkpoints import CheckpointStore
-from ferrylog.staging import new_folder, shared_root, stage
+from ferrylog.staging import drop_staged, new_folder, shared_root, stage
 
 LOG_SCHEMA = "off BIGINT, value BINARY, topic STRING, part INT"
 
@@ -186,3 +187,15 @@ def test_settings_are_checked():
         MirrorSettings(on_out_of_range="guess")
     with pytest.raises(ValueError):
         MirrorSettings(max_bytes=0)
+
+
+def test_input_log_is_stored_again_after_a_clean_up(spark):
+    folder = DATA / "sf0.001"
+    if not folder.exists():
+        pytest.skip("no test data")
+    stored = Inputs(spark, str(folder)).log_folder()
+    rows = Inputs(spark, str(folder)).log().count()
+    assert Inputs(spark, str(folder)).log_folder() == stored
+    assert drop_staged(spark)
+    again = Inputs(spark, str(folder))
+    assert again.log().count() == rows and again.log_folder() != stored
