@@ -14,23 +14,45 @@ from ferrylog.sources import table
 from ferrylog.staging import stage
 
 
-def start_positions(log: DataFrame, checkpoints: DataFrame, *, out_of_range: str = "keep") -> DataFrame:
+def _first_offsets(log: DataFrame, bounds: DataFrame, starting: str, ts: str) -> DataFrame:
+    """Bounds whose ``earliest`` is the configured start."""
+    if starting == "earliest":
+        return bounds
+    if starting == "latest":
+        return bounds.withColumn("earliest", F.col("latest"))
+    at = F.lit(starting).cast(log.schema[ts].dataType)
+    timed = offsets.offset_at_time(log, at, ts=ts).withColumnRenamed("off", "earliest")
+    return bounds.drop("earliest").join(timed, list(LOG_KEYS))
+
+
+def start_positions(
+    log: DataFrame,
+    checkpoints: DataFrame,
+    *,
+    starting: str = "earliest",
+    force: bool = False,
+    out_of_range: str = "keep",
+    ts: str = "ts",
+) -> DataFrame:
     """Start offset of every partition, staged for joining with the log.
 
-    A saved offset past the end is kept, which reads nothing until the log has grown that far. With
-    ``out_of_range`` it is set to ``earliest`` or ``latest``, or the job is made to ``fail``.
+    ``starting`` is ``earliest``, ``latest`` or a timestamp text; it serves partitions without a usable
+    saved offset, and all of them when ``force`` is set. A saved offset past the end is kept, which
+    reads nothing until the log has grown that far; with ``out_of_range`` it is set to ``earliest``
+    or ``latest``, or the job is made to ``fail``.
     """
     bounds = offsets.offset_bounds(log)
-    starts = offsets.resolve_start(bounds, checkpoints)
+    saved = checkpoints.where(F.lit(not force))
+    starts = offsets.resolve_start(_first_offsets(log, bounds, starting, ts), saved)
     if out_of_range != "keep":
         repaired = offsets.out_of_range(bounds, starts, policy=out_of_range, position="start_off")
         starts = repaired.select(*LOG_KEYS, F.col("reset_off").alias("start_off"))
     return stage(starts, "starts")
 
 
-def resume(log: DataFrame, checkpoints: DataFrame, *, out_of_range: str = "keep") -> DataFrame:
+def resume(log: DataFrame, checkpoints: DataFrame, **start_options) -> DataFrame:
     """The rows that a run starting from the saved offsets has to copy."""
-    return log_ops.scan_from(log, start_positions(log, checkpoints, out_of_range=out_of_range))
+    return log_ops.scan_from(log, start_positions(log, checkpoints, **start_options))
 
 
 def mirror_batch(
@@ -42,18 +64,19 @@ def mirror_batch(
     batch_rows: int = 100,
     key: str = "keep",
     as_text: bool = False,
-    out_of_range: str = "keep",
     span: int = SEGMENT_SPAN,
+    **start_options,
 ) -> DataFrame:
     """Rows for the target topic with their send batch.
 
     ``target`` is the new topic name, or a prefix of the old one when it ends in ``_``.
     ``key="sequence"`` replaces the source key by the count 1 .. ``batch_rows`` along the
-    partition. ``as_text`` decodes values; bytes are copied unchanged otherwise.
+    partition. ``as_text`` decodes values; bytes are copied unchanged otherwise. Other options are those
+    of ``start_positions``.
     """
     if key not in ("keep", "sequence"):
         raise ValueError(f"key must be 'keep' or 'sequence', not {key!r}")
-    rows = assign_batches(resume(log, checkpoints, out_of_range=out_of_range), batch_rows, span=span)
+    rows = assign_batches(resume(log, checkpoints, **start_options), batch_rows, span=span)
     if key == "sequence":
         rows = rows.withColumn("key", log_ops.sequence_key(F.col("rn"), batch_rows))
     if as_text:
@@ -71,6 +94,8 @@ def mirror_job(log: DataFrame, checkpoints: DataFrame, settings: MirrorSettings,
         checkpoints,
         target=settings.target,
         batch_rows=settings.batch_rows,
+        starting=settings.starting,
+        force=settings.force_start,
         out_of_range="fail" if settings.on_out_of_range == "fail" else reset,
         **options,
     )

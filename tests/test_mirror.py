@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from conftest import DATA, plan_of, rows_of
 from pyspark.sql import functions as F
@@ -79,6 +81,24 @@ def test_mirror_by_settings(make, make_log):
         mirror.mirror_job(log, saved, MirrorSettings(source="a"))
 
 
+@pytest.mark.parametrize(
+    "starting, force, offs",
+    [
+        ("earliest", False, [12, 13]),
+        ("earliest", True, [10, 11, 12, 13]),
+        ("latest", True, []),
+        ("2024-01-01 00:03:00", True, [13]),
+        ("2024-01-02 00:00:00", True, []),
+    ],
+)
+def test_where_a_mirror_starts(make, starting, force, offs):
+    rows = [("t", 0, 10 + n, dt.datetime(2024, 1, 1, 0, n)) for n in range(4)]
+    log = make(rows, "topic STRING, part INT, off BIGINT, ts TIMESTAMP_NTZ")
+    saved = make([("t", 0, 12)], "topic STRING, part INT, committed BIGINT")
+    got = mirror.resume(log, saved, starting=starting, force=force, out_of_range="fail")
+    assert sorted(row.off for row in got.collect()) == offs
+
+
 def test_checkpoint_snapshots(spark, make, folder):
     commits = "topic STRING, part INT, seq BIGINT, off BIGINT"
     store = CheckpointStore(folder)
