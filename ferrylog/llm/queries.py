@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrylog.llm import exact, mixing
+from ferrylog.llm import exact, mixing, ngram_join
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Four-word shingles that overlap to 85 in 100."""
+    return ngram_join.link_classes(table(spark, folder, "documents"), ngram_join.Rule(words=4, num=85, den=100))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.dedup(table(spark, folder, "documents"))
 
@@ -21,6 +26,7 @@ def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_ngram_join": op2_ngram_join,
     "op4_exact_dedup": op4_exact_dedup,
     "op9_mix_sources": op9_mix_sources,
 }
