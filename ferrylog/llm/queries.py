@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrylog.llm import exact, mixing, ngram_join
+from ferrylog.llm import exact, mixing, ngram_join, token_counts
+from ferrylog.staging import new_folder
+
+TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,6 +25,12 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.dedup(table(spark, folder, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Each run begins with an empty cache of its own, so all distinct texts are encoded."""
+    cache = new_folder(spark, "token-cache")
+    return token_counts.count_tokens(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", cache)
+
+
 def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.shares(table(spark, folder, "documents"))
     return rows.selectExpr("doc_id", "size", "source_size", "target", "copies * size AS taken", "copies")
@@ -28,6 +39,7 @@ def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op2_ngram_join": op2_ngram_join,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_token_counts": op5_token_counts,
     "op9_mix_sources": op9_mix_sources,
 }
 
