@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ferrylog.llm import exact, mixing, ngram_join, token_counts
+from ferrylog.llm import exact, langid, mixing, ngram_join, piece_codec, token_counts
 from ferrylog.staging import new_folder
 
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
@@ -21,6 +22,12 @@ def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.link_classes(table(spark, folder, "documents"), ngram_join.Rule(words=4, num=85, den=100))
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    rows = langid.identify(docs, langid.fit(docs))
+    return rows.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.dedup(table(spark, folder, "documents"))
 
@@ -36,11 +43,18 @@ def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return rows.selectExpr("doc_id", "size", "source_size", "target", "copies * size AS taken", "copies")
 
 
+def op10_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
+    model = piece_codec.read_model(f"{TOKENIZERS}/piece_bpe_32k.model")
+    return piece_codec.encode(table(spark, folder, "documents"), model).drop("ids")
+
+
 QUERIES = {
     "op2_ngram_join": op2_ngram_join,
+    "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_token_counts": op5_token_counts,
     "op9_mix_sources": op9_mix_sources,
+    "op10_piece_codec": op10_piece_codec,
 }
 
 EXACT_SQL = r"""
