@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrylog.llm import exact, langid, mixing, ngram_join, piece_codec, token_counts
+from ferrylog.llm import embedding_forest, exact, langid, mixing, ngram_join, piece_codec, token_counts
 from ferrylog.staging import new_folder
 
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
@@ -38,6 +38,10 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", cache)
 
 
+def op7_embedding_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_forest.link_vectors(table(spark, folder, "embeddings"), cosine=0.95)
+
+
 def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.shares(table(spark, folder, "documents"))
     return rows.selectExpr("doc_id", "size", "source_size", "target", "copies * size AS taken", "copies")
@@ -53,6 +57,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_token_counts": op5_token_counts,
+    "op7_embedding_forest": op7_embedding_forest,
     "op9_mix_sources": op9_mix_sources,
     "op10_piece_codec": op10_piece_codec,
 }
