@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrylog.llm import embedding_forest, exact, langid, mixing, ngram_join, piece_codec, token_counts
+from ferrylog.llm import embedding_forest, exact, langid, mixing, ngram_join, ordinal_quality, piece_codec, token_counts, toxicity
 from ferrylog.staging import new_folder
 
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
@@ -17,6 +17,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def labelled(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that have labels, with quality and toxic."""
+    labels = table(spark, folder, "labels").select("doc_id", "quality", "toxic")
+    return table(spark, folder, "documents").select("doc_id", "text", "lang").join(labels, "doc_id")
+
+
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxic at all, then in English, then in another language, where the offensive words are others."""
+    toxic, english = F.col("toxic") == 1, F.coalesce(F.col("lang") == "en", F.lit(False))
+    categories = {"toxic": toxic, "toxic_en": toxic & english, "toxic_other": toxic & ~english}
+    chain = toxicity.fit(labelled(spark, folder), categories)
+    return toxicity.score(table(spark, folder, "documents"), chain, list(categories))
+
+
 def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """Four-word shingles that overlap to 85 in 100."""
     return ngram_join.link_classes(table(spark, folder, "documents"), ngram_join.Rule(words=4, num=85, den=100))
@@ -42,6 +56,13 @@ def op7_embedding_forest(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_forest.link_vectors(table(spark, folder, "embeddings"), cosine=0.95)
 
 
+def op8_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Grade 0: low quality; 1: good but toxic; 2: good and clean. Selected are texts that are likely good."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, F.when(F.col("toxic") == 1, 1).otherwise(2))
+    model = ordinal_quality.fit(labelled(spark, folder), grade, 2)
+    return ordinal_quality.score(table(spark, folder, "documents"), model, 1)
+
+
 def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.shares(table(spark, folder, "documents"))
     return rows.selectExpr("doc_id", "size", "source_size", "target", "copies * size AS taken", "copies")
@@ -53,11 +74,13 @@ def op10_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_ngram_join": op2_ngram_join,
     "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_token_counts": op5_token_counts,
     "op7_embedding_forest": op7_embedding_forest,
+    "op8_ordinal_quality": op8_ordinal_quality,
     "op9_mix_sources": op9_mix_sources,
     "op10_piece_codec": op10_piece_codec,
 }
