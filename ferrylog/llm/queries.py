@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrylog.llm import embedding_forest, exact, langid, mixing, ngram_join, ordinal_quality, piece_codec, token_counts, toxicity
+from ferrylog.llm import embedding_forest, exact, langid, mixing, ngram_join, ordinal_quality, piece_codec, pseudonyms, token_counts, toxicity
 from ferrylog.staging import new_folder
 
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
@@ -52,6 +52,12 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", cache)
 
 
+def op6_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """A fixed key, so that reruns agree; a real run takes its own."""
+    rows = pseudonyms.hide(table(spark, folder, "documents"), b"key of the test tables")
+    return rows.select("doc_id", "text", "values", F.size("values").alias("n_values"))
+
+
 def op7_embedding_forest(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_forest.link_vectors(table(spark, folder, "embeddings"), cosine=0.95)
 
@@ -79,6 +85,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_token_counts": op5_token_counts,
+    "op6_pseudonyms": op6_pseudonyms,
     "op7_embedding_forest": op7_embedding_forest,
     "op8_ordinal_quality": op8_ordinal_quality,
     "op9_mix_sources": op9_mix_sources,
