@@ -7,11 +7,12 @@ driver, on a bounded sample of labelled rows (``PER_LANG`` rows or so of each of
 frequent languages). Pieces that the sample does not have keep a zero embedding and vote for nobody.
 
 Rejection is calibrated on rows of the sample that the training does not see: a temperature is fitted
-to their likelihood, and the threshold is the score that all but ``REJECT`` of them reach. Texts in a
-language that was not learned get even scores and fall below it.
+to their likelihood, and the threshold is the score that all but ``REJECT`` of them reach. The share of
+a text's pieces that the sample has is calibrated in the same way, with half of what those rows reach.
+Texts in a language that was not learned have few known pieces and even scores, and fall below.
 
-To predict, the embedding and the softmax are multiplied out to one table of scores per piece, a
-megabyte or so, which goes to the tasks; each text is read once, whole.
+To predict, the embedding and the softmax are multiplied out to one table of scores per piece, a few
+megabytes, which goes to the tasks; each text is read once, whole.
 
 Results in special cases: a null text and one without a letter are ``und`` with score 0 and rejected;
 without any labelled row every text is; a null doc_id is not held out; an empty table gives no row.
@@ -30,14 +31,14 @@ from pyspark.sql import functions as F
 
 from ferrylog.llm.words import slices
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 18
 DIM = 16
 PER_LANG = 1000
 MAX_LANGS = 200
 EPOCHS = 4
 RATE = 0.5
 REJECT = 0.001
-HIGHEST_THRESHOLD = 0.5
+HIGHEST_THRESHOLD = 0.4
 UNKNOWN = "und"
 
 _TEXT = np.arange(256, dtype=np.uint32)
@@ -56,8 +57,8 @@ def pieces(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     three = (padded[:count] << 16) | (padded[1 : count + 1] << 8) | padded[2 : count + 2]
     four = (three << 8) | padded[3 : count + 3]
     bucket = np.empty((count, 2), dtype=np.uint32)
-    bucket[:, 0] = (three * np.uint32(2654435761)) >> 16
-    bucket[:, 1] = ((four ^ np.uint32(0x5BD1E995)) * np.uint32(2246822519)) >> 16
+    bucket[:, 0] = (three * np.uint32(2654435761)) >> 14
+    bucket[:, 1] = ((four ^ np.uint32(0x5BD1E995)) * np.uint32(2246822519)) >> 14
     used = np.empty((count, 2), dtype=bool)
     used[:, 0] = solid[1 : count + 1]
     used[:, 1] = solid[1 : count + 1] & solid[2 : count + 2]
@@ -67,22 +68,26 @@ def pieces(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 @dataclass(frozen=True)
 class Model:
-    """Scores of every piece for every language, and how scores become probabilities."""
+    """Scores of every piece for every language and whether it is known; how scores become probabilities."""
 
     langs: list[str]
     table: np.ndarray
     bias: np.ndarray
     temperature: float
     threshold: float
+    floor: float
 
-    def probabilities(self, texts: pa.Array) -> np.ndarray:
-        """A row of probabilities for each text; texts without a piece get those of the bias."""
+    def probabilities(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """A row of probabilities for each text, and the share of known pieces; without pieces those of the bias, and 0."""
         out = []
         for _, _, raw, offsets in slices(texts):
             found, bounds = pieces(raw, offsets)
             out.append(row_sums(self.table, found, bounds) / np.maximum(np.diff(bounds), 1)[:, None])
-        scores = np.concatenate(out) if out else np.zeros((0, len(self.langs)))
-        return softmax((scores + self.bias) / self.temperature)
+        found = np.concatenate(out) if out else np.zeros((0, len(self.langs) + 1))
+        return softmax((found[:, :-1] + self.bias) / self.temperature), found[:, -1]
+
+    def accepts(self, probabilities: np.ndarray, known: np.ndarray) -> np.ndarray:
+        return (probabilities.max(axis=1) >= self.threshold) & (known >= self.floor)
 
 
 def row_sums(table: np.ndarray, found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -136,15 +141,18 @@ def train(texts: list[str], labels: list[str], *, seed: int = 3) -> Model | None
         bias -= rate * slope
         # the mean spreads a step over the pieces, so embeddings take a longer one
         embed[at] -= rate * 20 * share * back
-    table = (embed @ weights).astype(np.float32)
-    raw = Model(langs, table, bias, 1.0, 0.0)
-    logits = np.log(np.maximum(raw.probabilities(pa.array([texts[i] for i in held], pa.string())), 1e-300))
+    table = np.hstack([embed @ weights, seen[:, None]]).astype(np.float32)
+    raw = Model(langs, table, bias, 1.0, 0.0, 0.0)
+    found, known = raw.probabilities(pa.array([texts[i] for i in held], pa.string()))
+    logits = np.log(np.maximum(found, 1e-300))
     loss = lambda t: -np.log(np.maximum(softmax(logits / t)[np.arange(len(held)), truth[held]], 1e-12)).mean()
-    temperature = min(np.geomspace(0.1, 10, 41), key=loss)
+    temperature = min(np.geomspace(0.5, 10, 41), key=loss)
     right = logits.argmax(axis=1) == truth[held]
+    if not right.any():
+        return Model(langs, table, bias, float(temperature), 0.0, 0.0)
     top = softmax(logits[right] / temperature).max(axis=1)
-    threshold = min(float(np.quantile(top, REJECT)), HIGHEST_THRESHOLD) if len(top) else 0.0
-    return Model(langs, table, bias, float(temperature), threshold)
+    threshold = min(float(np.quantile(top, REJECT)), HIGHEST_THRESHOLD)
+    return Model(langs, table, bias, float(temperature), threshold, float(np.quantile(known[right], REJECT)) / 2)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -174,12 +182,12 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             letters = batch.column("letter").to_numpy(zero_copy_only=False)
             if model is None:
-                best, top = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
+                best, top, letters = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
             else:
-                p = model.probabilities(batch.column("text"))
+                p, known = model.probabilities(batch.column("text"))
                 best = [model.langs[k] if ok else UNKNOWN for k, ok in zip(p.argmax(axis=1), letters, strict=True)]
                 top = np.where(letters, p.max(axis=1), 0.0)
-            rejected = ~letters | (top < (model.threshold if model else 1))
+            rejected = ~letters if model is None else ~letters | ~model.accepts(p, known)
             cols = [pa.array(best, pa.string()), pa.array(top), pa.array(rejected)]
             names = ["doc_id", "lang_pred", "score", "rejected"]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cols], names=names)
@@ -199,8 +207,7 @@ def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:
         import pandas as pd
 
         model = sent.value
-        p = model.probabilities(pa.Array.from_pandas(texts, type=pa.string()))
-        return pd.Series(p.max(axis=1) >= model.threshold)
+        return pd.Series(model.accepts(*model.probabilities(pa.Array.from_pandas(texts, type=pa.string()))))
 
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     if model is None:
