@@ -24,9 +24,10 @@ doc_id are one node with the links of all its texts; an empty table gives no row
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,19 @@ class Rule:
         top = int(self.bands[space + 1]) - 1
         return (self.den - self.num) * (top + top * self.den // self.num) // (self.den + self.num)
 
+    @lru_cache(maxsize=256)  # noqa: B019  one rule to a worker
+    def blocks(self, space: int) -> int:
+        """How many blocks a space deals shingles to: so many that its smallest sets fill more than ``differences``.
+
+        ``low`` shingles leave about ``n * exp(-low / n)`` of ``n`` blocks empty; a deviation is added.
+        """
+        low, k = int(self.bands[space]), self.differences(space)
+        for n in range(k + 1, 2 * k + 2):
+            empty = n * math.exp(-low / n)
+            if n - empty - math.sqrt(empty) > k:
+                return n
+        return 2 * k + 1
+
     def links(self, common: int, a: int, b: int) -> bool:
         return self.den * common >= self.num * (a + b - common)
 
@@ -93,7 +107,7 @@ def block_keys(values: np.ndarray, rule: Rule) -> np.ndarray:
             k = rule.differences(space)
             if not k:  # only equal sets link here
                 continue
-            blocks = k + 1 + k // 16
+            blocks = rule.blocks(space)
             for seed in range(MAX_SEEDS + 1):
                 tag = mix(np.array([(space << 16) + seed + 1], dtype=np.uint64))[0]
                 dealt = mix(values ^ tag)
