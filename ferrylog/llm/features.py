@@ -13,8 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ferrylog.llm.words import Words, mix, slices
+from ferrylog.staging import stage
 
 BUCKETS = 1 << 18
 SHAPES = 1 << 12
@@ -116,6 +119,26 @@ def features(texts: pa.Array, *makers: Callable[[Words], Rows]) -> Rows:
     return stacked(parts)
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, stratum: Column, wanted: dict[int, int], salt: str) -> DataFrame:
+    """Documents with their labels, about ``wanted[s]`` of each stratum, chosen by a hash of doc_id.
+
+    ``stratum`` is an expression over the labels; null ones are left out. The labels are drawn first,
+    at most twice what is wanted, so their size is bounded and the texts are found by a broadcast
+    join, without a shuffle of documents.
+    """
+    known = labels.withColumn("__stratum", stratum.cast("int")).where(F.col("__stratum").isin(*wanted))
+    counts = dict(known.groupBy("__stratum").count().collect())
+    space = 1 << 20
+    share = F.lit(0)
+    for kind, n in counts.items():
+        share = F.when(F.col("__stratum") == kind, min(space, -(-wanted[kind] * space // n))).otherwise(share)
+    drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(space)) < share).limit(2 * sum(wanted.values()))
+    named = drawn.drop("text").withColumnRenamed("doc_id", "__id")
+    own = [c for c in docs.columns if c in ("doc_id", "text") or c not in labels.columns]
+    found = docs.select(*own).join(F.broadcast(stage(named, "drawn")), F.col("doc_id") == F.col("__id"))
+    return found.where(F.col("text").isNotNull()).drop("__id")
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 

@@ -22,7 +22,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrylog.llm.features import BUCKETS, SHAPES, Rows, features, sigmoid, train, word_presence, word_shapes
+from ferrylog.llm.features import (
+    BUCKETS,
+    SHAPES,
+    Rows,
+    features,
+    labelled_sample,
+    sigmoid,
+    train,
+    word_presence,
+    word_shapes,
+)
 
 PER_GRADE = 2500
 SELECT = 0.5
@@ -67,19 +77,17 @@ def fit_ordinal(rows: Rows, grades: np.ndarray, top: int) -> Ordinal:
     return Ordinal(weights.astype(np.float32), _thresholds(extra))
 
 
-def fit(rated: DataFrame, grade: Column, top: int, *, per_grade: int = PER_GRADE) -> Ordinal | None:
-    """Train on a bounded sample of ``rated(doc_id, text, ..)``; ``grade`` is 0 .. ``top`` or null."""
-    known = rated.where(F.col("text").isNotNull()).select("doc_id", "text", grade.cast("int").alias("grade"))
-    known = known.where(F.col("grade").between(0, top))
-    counts = known.groupBy("grade").count().collect()
-    if not counts:
+def fit(docs: DataFrame, ratings: DataFrame, grade: Column, top: int, *, per_grade: int = PER_GRADE) -> Ordinal | None:
+    """Train on a bounded sample of ``docs(doc_id, text)`` that have ``ratings(doc_id, ..)``.
+
+    ``grade`` is an expression over the ratings, 0 .. ``top`` or null.
+    """
+    drawn = labelled_sample(docs, ratings, grade, dict.fromkeys(range(top + 1), per_grade), "quality")
+    found = drawn.select("text", grade.cast("int").alias("grade")).collect()
+    if not found:
         return None
-    space = 1 << 20
-    share = F.create_map(*[F.lit(x) for g, n in counts for x in (g, min(space, -(-per_grade * space // n)))])
-    drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(space)) < share[F.col("grade")])
-    drawn = drawn.limit(2 * per_grade * len(counts)).collect()
-    rows = features(pa.array([r["text"] for r in drawn], pa.string()), word_presence, word_shapes)
-    return fit_ordinal(rows, np.array([r["grade"] for r in drawn], dtype=np.int64), top)
+    rows = features(pa.array([r["text"] for r in found], pa.string()), word_presence, word_shapes)
+    return fit_ordinal(rows, np.array([r["grade"] for r in found], dtype=np.int64), top)
 
 
 def score(docs: DataFrame, model: Ordinal | None, wanted: int) -> DataFrame:

@@ -17,18 +17,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def labelled(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents that have labels, with quality and toxic."""
-    labels = table(spark, folder, "labels").select("doc_id", "quality", "toxic")
-    return table(spark, folder, "documents").select("doc_id", "text", "lang").join(labels, "doc_id")
-
-
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxic at all, then in English, then in another language, where the offensive words are others."""
     toxic, english = F.col("toxic") == 1, F.coalesce(F.col("lang") == "en", F.lit(False))
     categories = {"toxic": toxic, "toxic_en": toxic & english, "toxic_other": toxic & ~english}
-    chain = toxicity.fit(labelled(spark, folder), categories)
-    return toxicity.score(table(spark, folder, "documents"), chain, list(categories))
+    docs = table(spark, folder, "documents")
+    chain = toxicity.fit(docs, table(spark, folder, "labels"), categories)
+    return toxicity.score(docs, chain, list(categories))
 
 
 def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -65,8 +60,9 @@ def op7_embedding_forest(spark: SparkSession, folder: str) -> DataFrame:
 def op8_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Grade 0: low quality; 1: good but toxic; 2: good and clean. Selected are texts that are likely good."""
     grade = F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, F.when(F.col("toxic") == 1, 1).otherwise(2))
-    model = ordinal_quality.fit(labelled(spark, folder), grade, 2)
-    return ordinal_quality.score(table(spark, folder, "documents"), model, 1)
+    docs = table(spark, folder, "documents")
+    model = ordinal_quality.fit(docs, table(spark, folder, "labels"), grade, 2)
+    return ordinal_quality.score(docs, model, 1)
 
 
 def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:

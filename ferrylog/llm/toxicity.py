@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrylog.llm.features import BUCKETS, Rows, features, from_columns, sigmoid, train, word_presence
+from ferrylog.llm.features import BUCKETS, Rows, features, from_columns, labelled_sample, sigmoid, train, word_presence
 
 TRAIN_ROWS = 6000
 FOLDS = 3
@@ -85,25 +85,20 @@ def fit_chain(rows: Rows, labels: np.ndarray, names: Sequence[str], *, folds: in
     return chain
 
 
-def fit(labelled: DataFrame, categories: dict[str, Column], *, rows: int = TRAIN_ROWS) -> Chain | None:
-    """Train on a bounded sample of ``labelled(doc_id, text, ..)``; a category is a boolean column of it.
+def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, rows: int = TRAIN_ROWS) -> Chain | None:
+    """Train on a bounded sample of ``docs(doc_id, text, ..)`` that have ``labels(doc_id, ..)``.
 
-    The sample is drawn by a hash of doc_id, positives and negatives of the first category apart.
+    A category is a boolean column of both; the first one, by which positives and negatives are drawn,
+    of the labels alone.
     """
-    labels = [F.coalesce(c, F.lit(False)).cast("int").alias(f"c{i}") for i, c in enumerate(categories.values())]
-    known = labelled.where(F.col("text").isNotNull() & next(iter(categories.values())).isNotNull())
-    known = known.select("doc_id", "text", *labels)
-    counts = dict(known.groupBy("c0").count().collect())
-    if not counts:
-        return None
-    space = 1 << 20
     parts = {1: rows // 3, 0: rows - rows // 3}
-    wanted = {kind: min(space, -(-parts[kind] * space // n)) for kind, n in counts.items()}
-    share = F.when(F.col("c0") == 1, wanted.get(1, 0)).otherwise(wanted.get(0, 0))
-    drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(space)) < share).limit(2 * rows).collect()
-    texts = pa.array([r["text"] for r in drawn], pa.string())
-    truth = np.array([[r[f"c{i}"] for i in range(len(labels))] for r in drawn], dtype=np.int64).reshape(len(drawn), len(labels))
-    return fit_chain(features(texts, word_presence), truth, list(categories))
+    drawn = labelled_sample(docs, labels, next(iter(categories.values())), parts, "toxicity")
+    truth = [F.coalesce(c, F.lit(False)).cast("int").alias(f"c{i}") for i, c in enumerate(categories.values())]
+    found = drawn.select("text", *truth).collect()
+    if not found:
+        return None
+    texts = pa.array([r["text"] for r in found], pa.string())
+    return fit_chain(features(texts, word_presence), np.array([tuple(r)[1:] for r in found], dtype=np.int64), list(categories))
 
 
 def score(docs: DataFrame, chain: Chain | None, names: Sequence[str]) -> DataFrame:

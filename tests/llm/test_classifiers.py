@@ -59,10 +59,15 @@ def made(seed, count):
     return rows
 
 
+def split(frame):
+    """Documents and labels; the documents have a column of a clashing name."""
+    return frame.select("doc_id", "text", "lang", F.lit(1).alias("named")), frame.select("doc_id", "toxic", "quality")
+
+
 def test_toxicity_chain(make, docs):
     schema = "doc_id BIGINT, text STRING, toxic INT, quality INT, lang STRING"
     names = {"toxic": F.col("toxic") == 1, "toxic_en": (F.col("toxic") == 1) & (F.col("lang") == "en")}
-    chain = toxicity.fit(make(made(1, 4000), schema), names)
+    chain = toxicity.fit(*split(make(made(1, 4000), schema)), names)
     test = make([(i + 5000, *row[1:]) for i, row in enumerate(made(2, 400))], schema)
     got = test.join(toxicity.score(test, chain, list(names)).withColumnRenamed("toxic", "flag"), "doc_id").collect()
     assert sum(r.flag == bool(r.toxic) for r in got) >= 0.97 * len(got)
@@ -72,7 +77,7 @@ def test_toxicity_chain(make, docs):
     assert len(rows) == len(EDGES) and not any(r.toxic for r in rows if r.doc_id in (1, 2, 3))
     assert toxicity.score(docs([]), chain, list(names)).count() == 0
     unlabelled = make([(1, "a", None, None, None)], schema)
-    assert toxicity.fit(unlabelled, names) is None
+    assert toxicity.fit(*split(unlabelled), names) is None
     assert [tuple(r) for r in toxicity.score(unlabelled, None, ["toxic"]).collect()] == [(1, 0.0, False)]
 
 
@@ -89,7 +94,7 @@ def test_later_models_get_predictions_made_out_of_fold():
 def test_ordinal_quality(make, docs):
     schema = "doc_id BIGINT, text STRING, toxic INT, quality INT, lang STRING"
     grade = F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, F.when(F.col("toxic") == 1, 1).otherwise(2))
-    model = ordinal_quality.fit(make(made(4, 1500), schema), grade, 2)
+    model = ordinal_quality.fit(*split(make(made(4, 1500), schema)), grade, 2)
     assert model.thresholds[0] < model.thresholds[1]
     test = make(made(5, 400), schema)
     got = test.join(ordinal_quality.score(test, model, 1), "doc_id").collect()
@@ -101,7 +106,7 @@ def test_ordinal_quality(make, docs):
     assert rows == {(1, 0.0, False), (2, 0.0, False), (3, 0.0, False)}
     assert ordinal_quality.score(docs(EDGES), model, 2).count() == len(EDGES)
     assert ordinal_quality.score(docs([]), model, 1).count() == 0
-    assert ordinal_quality.fit(make([(1, "a", None, None, None)], schema), grade, 2) is None
+    assert ordinal_quality.fit(*split(make([(1, "a", None, None, None)], schema)), grade, 2) is None
     assert [r.selected for r in ordinal_quality.score(docs([(1, "a")]), None, 1).collect()] == [False]
 
 
