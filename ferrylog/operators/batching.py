@@ -11,7 +11,7 @@ from ferrylog.settings import LOG_KEYS, MIB
 
 
 def _size(size: Column | str) -> Column:
-    return F.col(size) if isinstance(size, str) else size
+    return F.coalesce(F.col(size) if isinstance(size, str) else size, F.lit(0)).cast("bigint")
 
 
 def fetch_budget(
@@ -30,13 +30,16 @@ def fetch_budget(
 def first_fetch(
     log: DataFrame, budget: int = MIB, *, size: Column | str | None = None, span: int = SEGMENT_SPAN
 ) -> DataFrame:
-    """What one read from the start returns: rows within the byte budget, one row at least."""
+    """What one read from the start returns: rows within the byte budget, one row at least.
+
+    Empty payloads at the end of the budget are within it, also when one opens a segment.
+    """
     size = size_of(F.col("value")) if size is None else _size(size)
     rows = accumulate(
         log.withColumn("__size", size),
         sums={"__cum": F.col("__size"), "__rn": F.lit(1).cast("bigint")},
         span=span,
-        reach=lambda before: (before["__rn"] == 0) | (before["__cum"] < budget),
+        reach=lambda before: (before["__rn"] == 0) | (before["__cum"] <= budget),
     )
     return rows.where((F.col("__cum") <= budget) | (F.col("__rn") == 1)).drop("__cum", "__rn", "__size")
 

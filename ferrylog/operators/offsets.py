@@ -45,17 +45,18 @@ def next_offset(log: DataFrame, positions: DataFrame, *, position: str = "commit
     )
 
 
-def resolve_start(bounds: DataFrame, checkpoints: DataFrame) -> DataFrame:
-    """Saved offset, or earliest when there is none, or it is negative or trimmed away.
+def resolve_start(bounds: DataFrame, checkpoints: DataFrame, *, start: str = "earliest") -> DataFrame:
+    """Saved offset, or the column ``start`` when there is none, or it is negative or trimmed away.
 
     A saved offset past the end is kept; ``out_of_range`` repairs it.
     """
     saved, earliest = F.col("committed"), F.col("earliest")
     unusable = saved.isNull() | (saved < earliest) | (saved < 0)
     return (
-        bounds.select(*LOG_KEYS, "earliest")
+        bounds.select(*LOG_KEYS, "earliest", F.col(start).alias("__start"))
         .join(checkpoints.select(*LOG_KEYS, "committed"), _KEYS, "left")
-        .withColumn("start_off", F.when(unusable, earliest).otherwise(saved))
+        .withColumn("start_off", F.when(unusable, F.col("__start")).otherwise(saved))
+        .drop("__start")
     )
 
 
@@ -130,6 +131,18 @@ def offset_lag(bounds: DataFrame, checkpoints: DataFrame, *, max_behind: int = 2
     )
 
 
+def inflight_after(emitted: DataFrame, finished: DataFrame, *, position: str = "committed") -> DataFrame:
+    """``inflight_offsets`` where all offsets below a position are finished, without a shuffle of rows.
+
+    ``finished`` has one row per partition and should be staged; partitions without one are unfinished.
+    """
+    joined = emitted.select(*LOG_KEYS, "off").join(finished.select(*LOG_KEYS, position), _KEYS, "left")
+    still = F.coalesce(F.col("off") >= F.col(position), F.lit(True))
+    return joined.groupBy(*LOG_KEYS).agg(
+        F.count_if(still).alias("n_inflight"), F.coalesce(F.min(F.when(still, F.col("off"))), F.max("off") + 1).alias("safe_off")
+    )
+
+
 def inflight_offsets(emitted: DataFrame, finished: DataFrame) -> DataFrame:
     """Unfinished rows per partition, and the position that is safe to save.
 

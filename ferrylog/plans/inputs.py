@@ -17,7 +17,7 @@ from ferrylog.functions.text import size_of
 from ferrylog.operators.ordered import number_rows
 from ferrylog.sources import table
 from ferrylog.settings import LOG_KEYS
-from ferrylog.staging import exists, new_folder
+from ferrylog.staging import exists, new_folder, state_of
 
 LOG_SCHEMA = "off BIGINT, event_id BIGINT, payload STRING, ts TIMESTAMP_NTZ, topic STRING, part INT"
 SNAPSHOTS = 4
@@ -25,7 +25,7 @@ SNAPSHOTS = 4
 # Brokers 0, 1 and 3 of the test cluster; broker 2 leads partitions but is not listed.
 BROKERS = ((0, "node0.example", 9092), (1, "node1.example", 9093), (3, "node3.example", 9092))
 
-_logs: dict[tuple[str, str], str] = {}
+_logs: dict[tuple, str] = {}
 
 
 class Inputs:
@@ -42,23 +42,20 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def _kept_events(self) -> DataFrame:
-        return self.table("events").where(F.col("event_id") % 7 != 0)
-
     def derive_log(self) -> DataFrame:
-        """Offsets start at ``100 * part`` and every seventh event is compacted away afterwards."""
+        """Every event; offsets start at ``100 * part``, and one is missing after every six rows."""
         part = (F.col("user_id") % 4).cast("int").alias("part")
         events = self.table("events").select(
             F.col("event_type").alias("topic"), part, "event_id", F.col("props").alias("payload"), "ts"
         )
         ranked = number_rows(events, "rn", order="event_id")
-        return ranked.where(F.col("event_id") % 7 != 0).select(
-            (F.col("rn") - 1 + 100 * F.col("part")).alias("off"), "event_id", "payload", "ts", *LOG_KEYS
-        )
+        off = F.expr("rn - 1 + (rn - 1) div 6 + 100 * part")
+        return ranked.select(off.alias("off"), "event_id", "payload", "ts", *LOG_KEYS)
 
     def log_folder(self) -> str:
-        """Folder of the stored log; it is written again if it has been cleared away."""
-        key = (self.spark.sparkContext.applicationId, self.folder)
+        """Folder of the stored log; it is written again if it was cleared away or its source has changed."""
+        source = state_of(self.spark, f"{self.folder}/events.parquet")
+        key = (self.spark.sparkContext.applicationId, self.folder, source)
         if key not in _logs or not exists(self.spark, f"{_logs[key]}/_SUCCESS"):
             path = new_folder(self.spark, "log")
             table.write_log(self.derive_log(), path)
@@ -71,7 +68,7 @@ class Inputs:
     def partitions(self) -> DataFrame:
         """Known partitions; no offsets are needed for that."""
         part = (F.col("user_id") % 4).cast("int").alias("part")
-        return self._kept_events().select(F.col("event_type").alias("topic"), part).distinct()
+        return self.table("events").select(F.col("event_type").alias("topic"), part).distinct()
 
     def doclog(self) -> DataFrame:
         """Documents as messages; ``n_bytes`` is taken at the scan, so that texts need not be shuffled."""
@@ -102,17 +99,14 @@ class Inputs:
         )
 
     def commits(self) -> DataFrame:
-        """Every tenth event saves a position; one in six of them goes back."""
+        """Every event saves a position; one in six of them goes back."""
         back = F.greatest(F.col("off") - 60, F.lit(0))
-        off = F.when(F.col("event_id") % 70 == 10, back).otherwise(F.col("off") + 1)
-        return (
-            self.log()
-            .where("event_id % 10 = 0")
-            .select(*LOG_KEYS, F.col("event_id").alias("seq"), off.alias("off"), "ts")
-        )
+        off = F.when(F.col("event_id") % 6 == 1, back).otherwise(F.col("off") + 1)
+        return self.log().select(*LOG_KEYS, F.col("event_id").alias("seq"), off.alias("off"), "ts")
 
     def failed(self) -> DataFrame:
-        return self.log().where("event_id % 97 = 1").select(*LOG_KEYS, "off")
+        """The list of failed rows, reported as they were written."""
+        return self.log().where("event_id % 97 = 1").select(*LOG_KEYS, "off", F.col("ts").alias("failed_at"))
 
     def topic_state(self) -> DataFrame:
         """Leaders at four snapshots: ``click`` moves at the second, (view, 3) has none at the first."""

@@ -14,15 +14,13 @@ from ferrylog.sources import table
 from ferrylog.staging import stage
 
 
-def _first_offsets(log: DataFrame, bounds: DataFrame, starting: str, ts: str) -> DataFrame:
-    """Bounds whose ``earliest`` is the configured start."""
-    if starting == "earliest":
-        return bounds
-    if starting == "latest":
-        return bounds.withColumn("earliest", F.col("latest"))
+def _configured(log: DataFrame, bounds: DataFrame, starting: str, ts: str) -> DataFrame:
+    """Bounds with the configured start as ``configured``."""
+    if starting in ("earliest", "latest"):
+        return bounds.withColumn("configured", F.col(starting))
     at = F.lit(starting).cast(log.schema[ts].dataType)
-    timed = offsets.offset_at_time(log, at, ts=ts).withColumnRenamed("off", "earliest")
-    return bounds.drop("earliest").join(timed, list(LOG_KEYS))
+    timed = offsets.offset_at_time(log, at, ts=ts).withColumnRenamed("off", "configured")
+    return bounds.join(timed, list(LOG_KEYS))
 
 
 def start_positions(
@@ -43,7 +41,7 @@ def start_positions(
     """
     bounds = offsets.offset_bounds(log)
     saved = checkpoints.where(F.lit(not force))
-    starts = offsets.resolve_start(_first_offsets(log, bounds, starting, ts), saved)
+    starts = offsets.resolve_start(_configured(log, bounds, starting, ts), saved, start="configured")
     if out_of_range != "keep":
         repaired = offsets.out_of_range(bounds, starts, policy=out_of_range, position="start_off")
         starts = repaired.select(*LOG_KEYS, F.col("reset_off").alias("start_off"))

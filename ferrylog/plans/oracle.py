@@ -5,13 +5,11 @@ from __future__ import annotations
 # Input tables, in the order in which they build on each other.
 CTES = {
     "log": """
-SELECT topic, part, off, event_id, payload, ts FROM (
+SELECT topic, part, CAST(rn - 1 + (rn - 1) // 6 + 100 * part AS BIGINT) AS off, event_id, payload, ts FROM (
   SELECT event_type AS topic, CAST(user_id % 4 AS INT) AS part,
-         CAST(row_number() OVER (PARTITION BY event_type, user_id % 4 ORDER BY event_id) - 1
-              + 100 * (user_id % 4) AS BIGINT) AS off,
+         row_number() OVER (PARTITION BY event_type, user_id % 4 ORDER BY event_id) AS rn,
          event_id, props AS payload, ts
-  FROM events) x
-WHERE event_id % 7 <> 0""",
+  FROM events) x""",
     "doclog": """
 SELECT source AS topic, CAST(doc_id % 4 AS INT) AS part,
        CAST(row_number() OVER (PARTITION BY source, doc_id % 4 ORDER BY doc_id) - 1 AS BIGINT) AS off,
@@ -25,8 +23,8 @@ SELECT topic, part, CASE WHEN topic < 'f' THEN 'job-a' ELSE 'job-b' END AS job_i
 FROM log WHERE part <> 0 GROUP BY topic, part""",
     "commits": """
 SELECT topic, part, event_id AS seq,
-       CASE WHEN event_id % 70 = 10 THEN greatest(off - 60, 0) ELSE off + 1 END AS off, ts
-FROM log WHERE event_id % 10 = 0""",
+       CASE WHEN event_id % 6 = 1 THEN greatest(off - 60, 0) ELSE off + 1 END AS off, ts
+FROM log""",
     "failed": "SELECT topic, part, off FROM log WHERE event_id % 97 = 1",
     "topic_state": """
 SELECT snap, topic, part,
@@ -403,9 +401,9 @@ _STREAMS = {
     ),
     "replay_stream": (
         "log failed",
-        """SELECT topic, part, off, false AS replayed FROM log
+        """SELECT topic, part, off, payload, false AS replayed FROM log
            UNION ALL
-           SELECT topic, part, off, true FROM log SEMI JOIN failed USING (topic, part, off)""",
+           SELECT topic, part, off, payload, true FROM log SEMI JOIN failed USING (topic, part, off)""",
     ),
     "replay_from_log": (
         "log failed",
@@ -415,7 +413,7 @@ _STREAMS = {
     ),
     "throttled_stream": (
         "log",
-        """SELECT topic, part, count(*) AS n, CAST(sum(strlen(payload)) AS BIGINT) AS bytes
+        """SELECT topic, part, count(*) AS n, CAST(sum(strlen(payload)) AS BIGINT) AS bytes, true AS kept_limit
            FROM log GROUP BY topic, part""",
     ),
     "idle_stream": (

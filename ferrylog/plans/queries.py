@@ -170,7 +170,7 @@ def resolve_start_job(inputs):
 def replay_failed(inputs):
     log = inputs.log()
     starts = offsets.resolve_start(offsets.offset_bounds(log), inputs.checkpoints())
-    return replay.replay_failed(log, inputs.failed(), starts).select(*LOG_KEYS, "off", "payload", "replayed")
+    return replay.replay_failed(log, inputs.failed().drop("failed_at"), starts).select(*LOG_KEYS, "off", "payload", "replayed")
 
 
 @query
@@ -309,10 +309,7 @@ def offset_lag(inputs):
 
 @query
 def inflight_offsets(inputs):
-    log = inputs.log()
-    saved = stage(inputs.checkpoints(), "checkpoints")
-    finished = log.join(saved, list(LOG_KEYS)).where(F.col("off") < F.col("committed"))
-    return offsets.inflight_offsets(log, finished)
+    return offsets.inflight_after(inputs.log(), stage(inputs.checkpoints(), "checkpoints"))
 
 
 # --- the mirror

@@ -17,13 +17,17 @@ from ferrylog.streaming.metadata import Refreshing, with_leaders
 from ferrylog.streaming.mirror import StreamMirror
 from ferrylog.streaming.replay import ReplayFromLog, replay_stream as replayed, tagged
 from ferrylog.streaming.runs import run_available
-from ferrylog.streaming.throttle import stored_bytes, throttled_stream as throttled
+from ferrylog.streaming.throttle import kept_limit, throttled_stream as throttled
 from ferrylog.streaming.volume import volume_stream as volumes
 
 
-def _log_stream(inputs: Inputs, *, triggers: int = 1) -> DataFrame:
-    """The stored log as a stream that takes about ``triggers`` micro-batches."""
-    limit = None if triggers == 1 else max(stored_bytes(inputs.log()) // triggers, 1)
+# Admission limit of the test streams, fixed and small, as the test tables are; a job sets its own.
+BYTES_PER_TRIGGER = 64 << 10
+
+
+def _log_stream(inputs: Inputs, *, limited: bool = False) -> DataFrame:
+    """The stored log as a stream, all of it at once or by the admission limit."""
+    limit = BYTES_PER_TRIGGER if limited else None
     return table.stream_log(inputs.spark, inputs.log_folder(), LOG_SCHEMA, bytes_per_trigger=limit)
 
 
@@ -58,40 +62,51 @@ def mirror_stream(inputs: Inputs) -> DataFrame:
 
 
 def throttled_stream(inputs: Inputs) -> DataFrame:
-    """Rows and bytes that came through at a quarter of the log per trigger, over all micro-batches."""
-    limit = max(stored_bytes(inputs.log()) // 4, 1)
+    """Rows and bytes that came through, and whether every micro-batch kept the admission limit."""
     taken = throttled(
         inputs.spark,
         inputs.log_folder(),
         LOG_SCHEMA,
         new_folder(inputs.spark, "throttled"),
-        bytes_per_trigger=limit,
+        bytes_per_trigger=BYTES_PER_TRIGGER,
         value="payload",
     )
-    return taken.groupBy(*LOG_KEYS).agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    judged = taken.join(kept_limit(taken, BYTES_PER_TRIGGER), "batch_id")
+    return judged.groupBy(*LOG_KEYS).agg(
+        F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.bool_and("kept_limit").alias("kept_limit")
+    )
 
 
 def volume_stream(inputs: Inputs) -> DataFrame:
-    stream = volumes(_log_stream(inputs, triggers=2), width="1 day", limit=150, size=size_of(F.col("payload")))
-    result = _whole_result(stream, new_folder(inputs.spark, "volume"))
+    """Updated windows of each micro-batch, the last of each being kept; files come in any order of time."""
+    root = new_folder(inputs.spark, "volume")
+    stream = volumes(
+        _log_stream(inputs, limited=True), width="1 day", limit=150, late="60 days", size=size_of(F.col("payload"))
+    )
+    run_available(stream, lambda batch, n: table.write_batch(batch, f"{root}/out", n), f"{root}/checkpoint", mode="update")
+    windows = table.read_batches(inputs.spark, f"{root}/out").groupBy(*LOG_KEYS, "win_start")
+    result = windows.agg(*[F.max_by(c, "batch_id").alias(c) for c in ("bytes", "over_limit")])
     return result.withColumn("win_start", F.col("win_start").cast("timestamp_ntz"))
 
 
 def _failed_stream(inputs: Inputs, root: str) -> DataFrame:
     inputs.failed().write.parquet(f"{root}/failed")
-    return inputs.spark.readStream.schema("topic STRING, part INT, off BIGINT").parquet(f"{root}/failed")
+    schema = "topic STRING, part INT, off BIGINT, failed_at TIMESTAMP_NTZ"
+    return inputs.spark.readStream.schema(schema).parquet(f"{root}/failed")
 
 
 def replay_stream(inputs: Inputs) -> DataFrame:
-    """Rows kept as state; their payload is not asked for and so not kept."""
+    """Rows kept as state, for a week after their time."""
     root = new_folder(inputs.spark, "replay")
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         table.write_batch(batch, f"{root}/out", batch_id)
 
-    rows = replayed(_log_stream(inputs), _failed_stream(inputs, root), value=None)
+    failed = _failed_stream(inputs, root)
+    rows = replayed(_log_stream(inputs), failed, value="payload", ts="ts", keep="7 days")
     run_available(rows, keep, f"{root}/checkpoint")
-    return table.read_batches(inputs.spark, f"{root}/out").select(*LOG_KEYS, "off", "replayed")
+    out = table.read_batches(inputs.spark, f"{root}/out")
+    return out.select(*LOG_KEYS, "off", F.col("value").alias("payload"), "replayed")
 
 
 def replay_from_log(inputs: Inputs) -> DataFrame:
@@ -125,7 +140,7 @@ def metadata_refresh_stream(inputs: Inputs) -> DataFrame:
         named = with_leaders(batch.select(*LOG_KEYS, "off"), leaders.current(batch.sparkSession))
         table.write_batch(named, f"{root}/out", batch_id)
 
-    run_available(_log_stream(inputs, triggers=2), keep, f"{root}/checkpoint")
+    run_available(_log_stream(inputs, limited=True), keep, f"{root}/checkpoint")
     return table.read_batches(inputs.spark, f"{root}/out").select(*LOG_KEYS, "off", "host")
 
 

@@ -73,6 +73,8 @@ def last_batch(spark: SparkSession, path: str) -> int:
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """All batches written so far, with ``batch_id``."""
+    """All batches that are written completely, with ``batch_id``; those before the last one are."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.option("basePath", path).parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    last = last_batch(spark, path)
+    rows = reader.option("basePath", path).parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return rows.where(F.col("batch_id") <= last)

@@ -10,20 +10,24 @@ shuffled to meet a small table.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, a temporary one in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
@@ -60,9 +64,30 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
 
 
+def state_of(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Names, sizes and times of the files of a table; it differs once the table was written again."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = file.getFileSystem(spark._jsc.hadoopConfiguration())
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in files.listStatus(file)))
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return the table that reads it back."""
     spark = df.sparkSession
     path = new_folder(spark, label)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is deleted at the end; for work whose results are written inside too, such as a micro-batch."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -20,7 +20,7 @@ from ferrylog.operators.ordered import number_rows
 from ferrylog.plans.mirror import target_topic
 from ferrylog.settings import LOG_KEYS
 from ferrylog.sources import table
-from ferrylog.staging import stage
+from ferrylog.staging import scratch, stage
 from ferrylog.streaming.runs import run_available
 
 _KEYS = list(LOG_KEYS)
@@ -38,7 +38,8 @@ class StreamMirror:
 
     ``key="sequence"`` numbers rows 1 .. ``cycle`` along each partition; it needs a source that
     delivers a partition in offset order, batch after batch, as a topic does. ``starts`` is a table
-    of start offsets (topic, part, start_off); rows below them are dropped. A micro-batch is read two
+    of start offsets (topic, part, start_off); rows below them are dropped, and a partition without a
+    start, such as one that is new, is copied from its first row. A micro-batch is read two
     or three times; ``cache`` keeps it on the executors, for sources that are costly to read again.
     """
 
@@ -70,16 +71,17 @@ class StreamMirror:
 
     def copy(self, batch: DataFrame, batch_id: int) -> None:
         """Write one micro-batch, then the position it reached."""
-        if not self.cache:
-            return self._copy(batch, batch_id)
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        if self.cache:
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._copy(batch, batch_id)
+            with scratch(batch.sparkSession):
+                self._copy(batch, batch_id)
         finally:
-            batch.unpersist()
+            if self.cache:
+                batch.unpersist()
 
     def _copy(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch if self.starts is None else log_ops.scan_from(batch, self.starts)
+        rows = batch if self.starts is None else log_ops.drop_old(batch, self.starts, position="start_off")
         went_back = Observation()
         progress = self._progress(rows, self._progress_of(batch.sparkSession, batch_id - 1))
         progress = stage(progress.observe(went_back, F.count_if("went_back").alias("partitions")), "progress")
@@ -89,7 +91,8 @@ class StreamMirror:
             rows = self._sequenced(rows, progress)
         if self.as_text:
             rows = rows.withColumn(self.value, decode_payload(F.col(self.value)))
-        table.write_batch(log_ops.retopic(rows, target_topic(self.target)), self.data, batch_id)
+        rows = log_ops.retopic(rows, target_topic(self.target))
+        table.write_batch(table.laid_out(rows), self.data, batch_id)
         table.write_batch(progress.select(*LOG_KEYS, "sent", "position"), self.progress, batch_id)
 
     def _progress_of(self, spark: SparkSession, batch_id: int) -> DataFrame:

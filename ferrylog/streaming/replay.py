@@ -2,107 +2,54 @@
 
 ``ReplayFromLog`` reads failed rows again from the log, as a reader does that goes back to the
 lowest failed offset. Its state is the list of failures still open, and all of it stays on the JVM
-side. ``replay_stream`` is for sources that cannot be read again: it keeps the rows themselves as
-state for as long as they may be replayed.
+side. ``replay_stream`` is for sources that cannot be read again: it joins the rows with the failures
+and keeps them as state for as long as they may be replayed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor
 
-from ferrylog.operators.ordered import segment_of
 from ferrylog.operators.replay import rows_at
 from ferrylog.settings import LOG_KEYS
 from ferrylog.sources import table
-from ferrylog.staging import stage
-
-SPAN = 1 << 14
-
-OUTPUT = "topic STRING, part INT, off BIGINT, value BINARY, replayed BOOLEAN"
-
-
-class Replay(StatefulProcessor):
-    """Remembers the rows of one segment of offsets and the failures that wait for their row."""
-
-    def __init__(self, keep_ms: int | None):
-        self.keep_ms = keep_ms
-
-    def init(self, handle) -> None:
-        self.rows = handle.getListState("rows", "off BIGINT, value BINARY", self.keep_ms)
-        self.waiting = handle.getListState("waiting", "off BIGINT", self.keep_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(rows)
-        is_failure = frame["failed"].astype(bool)
-        fresh = frame.loc[~is_failure, ["off", "value"]]
-        waiting = {off for (off,) in self.waiting.get()} if self.waiting.exists() else set()
-        wanted = waiting | set(frame.loc[is_failure, "off"])
-        if wanted:
-            stored = [row for row in self.rows.get() if row[0] in wanted] if self.rows.exists() else []
-            again = pd.concat([pd.DataFrame(stored, columns=["off", "value"]), fresh[fresh["off"].isin(wanted)]])
-            self._wait_for(wanted - set(again["off"]), waiting)
-            if len(again):
-                yield self._output(key, again, True)
-        if len(fresh):
-            self.rows.appendList(list(fresh.itertuples(index=False, name=None)))
-            yield self._output(key, fresh, False)
-
-    def _wait_for(self, missing: set, before: set) -> None:
-        if missing == before:
-            return
-        if missing:
-            self.waiting.put([(int(off),) for off in sorted(missing)])
-        else:
-            self.waiting.clear()
-
-    @staticmethod
-    def _output(key, rows: pd.DataFrame, replayed: bool) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "topic": key[0],
-                "part": key[1],
-                "off": rows["off"].astype("int64").to_numpy(),
-                "value": rows["value"].to_numpy(),
-                "replayed": replayed,
-            }
-        )
-
-    def close(self) -> None:
-        pass
-
+from ferrylog.staging import scratch, stage
 
 def replay_stream(
-    log: DataFrame, failed: DataFrame, *, value: str | None = "value", keep: int | None = None, span: int = SPAN
+    log: DataFrame,
+    failed: DataFrame,
+    *,
+    value: str = "value",
+    ts: str | None = None,
+    failed_at: str = "failed_at",
+    keep: str = "1 day",
+    late: str = "10 minutes",
 ) -> DataFrame:
     """New rows as they come, and once more every row whose offset is reported as failed.
 
-    State is kept per segment of ``span`` offsets, so a hot partition is spread over many tasks and
-    a task never holds more than ``span`` rows of it. ``keep`` is the time in milliseconds for which
-    a row can still be replayed; without it rows are kept for ever. ``value=None`` keeps offsets
-    only. Needs the RocksDB state store.
+    Rows and failures meet in a stream-stream join on (topic, part, off), so no key is hot and all of it
+    stays on the JVM side; a failure may come before its row. An offset reported again is replayed once.
+    With ``ts``, the column of a row's time, a failure counts if its own time ``failed_at`` is within
+    ``keep`` after it. Both sides then have a watermark that allows for ``late`` rows, and rows and
+    failures leave the state when it has passed. Without ``ts`` they are kept for ever.
     """
-    segment = segment_of("off", span).alias("seg")
-    payload = F.lit(None) if value is None else F.col(value)
-    rows = log.select(*LOG_KEYS, segment, "off", payload.cast("binary").alias("value"), F.lit(False).alias("failed"))
-    notices = failed.select(
-        *LOG_KEYS, segment, "off", F.lit(None).cast("binary").alias("value"), F.lit(True).alias("failed")
-    )
-    return (
-        rows.unionByName(notices)
-        .groupBy(*LOG_KEYS, "seg")
-        .transformWithStateInPandas(
-            statefulProcessor=Replay(keep),
-            outputStructType=OUTPUT,
-            outputMode="append",
-            timeMode="ProcessingTime" if keep else "None",
-        )
-    )
+    rows = log.select(*LOG_KEYS, "off", F.col(value).alias("value"), *([F.col(ts).cast("timestamp").alias("__ts")] if ts else []))
+    key = ["topic", "part", "off"]
+    names = [F.col(c).alias(f"__{c}") for c in key]
+    same = (F.col("topic") == F.col("__topic")) & (F.col("part") == F.col("__part")) & (F.col("off") == F.col("__off"))
+    if ts:
+        kept = rows.withWatermark("__ts", late)
+        notices = failed.select(*names, F.col(failed_at).cast("timestamp").alias("__at")).withWatermark("__at", late)
+        notices = notices.dropDuplicatesWithinWatermark(["__topic", "__part", "__off"])
+        same &= F.expr(f"__at >= __ts AND __at <= __ts + INTERVAL {keep}")
+    else:
+        kept, notices = rows, failed.select(*names).dropDuplicates()
+    again = kept.join(notices, same).select(*key, "value", F.lit(True).alias("replayed"))
+    return rows.select(*key, "value", F.lit(False).alias("replayed")).unionByName(again)
 
 
 @dataclass(frozen=True)
@@ -119,11 +66,20 @@ class ReplayFromLog:
 
     def copy(self, batch: DataFrame, batch_id: int) -> None:
         """Take rows with ``failed = false`` as new, and offsets with ``failed = true`` as notices."""
+        with scratch(batch.sparkSession):
+            self._copy(batch, batch_id)
+
+    def _copy(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         notices = batch.where("failed").select(*LOG_KEYS, "off")
         wanted = stage(self._open_before(spark, batch_id).unionByName(notices).distinct(), "wanted")
-        again = rows_at(self.read_log(spark), wanted)
-        fresh = batch.where(~F.col("failed")).select(again.columns)
+        log = self.read_log(spark)
+        fresh = batch.where(~F.col("failed")).select(log.columns)
+        if wanted.isEmpty():  # the log is not read again
+            table.write_batch(fresh.withColumn("replayed", F.lit(False)), f"{self.root}/out", batch_id)
+            table.write_batch(wanted, f"{self.root}/open", batch_id)
+            return
+        again = stage(rows_at(log, wanted).select(log.columns), "again")
         out = again.withColumn("replayed", F.lit(True)).unionByName(fresh.withColumn("replayed", F.lit(False)))
         table.write_batch(out, f"{self.root}/out", batch_id)
         left = wanted.join(again.select(*LOG_KEYS, "off"), [*LOG_KEYS, "off"], "left_anti")

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -22,6 +23,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="ferrylog-"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

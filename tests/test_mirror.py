@@ -219,3 +219,15 @@ def test_input_log_is_stored_again_after_a_clean_up(spark):
     assert drop_staged(spark)
     again = Inputs(spark, str(folder))
     assert again.log().count() == rows and again.log_folder() != stored
+
+
+@pytest.mark.parametrize("starting, expected", [("latest", [50, 100]), ("2024-01-01 01:30:00", [50, 90]), ("earliest", [50, 0])])
+def test_a_configured_start_leaves_valid_saved_offsets_alone(make, starting, expected):
+    """Part 0 has a valid saved offset, part 1 has none."""
+    begin = dt.datetime(2024, 1, 1)
+    rows = [("t", part, off, begin + dt.timedelta(minutes=off)) for part in (0, 1) for off in range(100)]
+    log = make(rows, "topic STRING, part INT, off BIGINT, ts TIMESTAMP_NTZ")
+    saved = make([("t", 0, 50)], "topic STRING, part INT, committed BIGINT")
+    starts = mirror.start_positions(log, saved, starting=starting)
+    assert [row.start_off for row in starts.orderBy("part").collect()] == expected
+    assert mirror.resume(log, saved, starting=starting).count() == 200 - sum(expected)

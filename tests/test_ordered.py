@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from ferrylog.operators.batching import fetch_budget, first_fetch, summarize_batches
 from ferrylog.operators.ordered import accumulate, number_rows
 
 
@@ -109,3 +110,24 @@ def test_rows_are_shuffled_once_without_broadcasts(spark, make):
     by_segment = [line for line in rows_side.splitlines() if "Exchange hashpartitioning" in line and "off" not in line]
     assert sum("__level" in line for line in by_segment) == 2  # the rows, and their segments
     assert "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("span", [1, 2, 3, 16])
+def test_first_fetch_does_not_depend_on_segments(make, span):
+    """NULL and empty payloads have no bytes and are within the budget, wherever a segment begins."""
+    for sizes in ([10, 0, 1], [None, None, None], [10, None, 0, 5], [12, 0, 1], [0, 0, 10, 0, 0, 1, 0], [3, 3, 4, 0, 0]):
+        rows = [("t", 0, off, None if n is None else b"x" * n) for off, n in enumerate(sizes)]
+        want, total = [], 0
+        for off, n in enumerate(sizes):
+            total += n or 0
+            if total <= 10 or not off:
+                want.append(off)
+        got = first_fetch(make(rows, "topic STRING, part INT, off BIGINT, value BINARY"), 10, span=span)
+        assert sorted(row.off for row in got.collect()) == want
+
+
+def test_null_payloads_count_as_empty(make):
+    rows = [("t", 0, off, b"xy" if off == 2 else None) for off in range(4)]
+    log = make(rows, "topic STRING, part INT, off BIGINT, value BINARY")
+    assert [(r.cum_bytes, r.fetch_id) for r in fetch_budget(log, 2, span=1).orderBy("off").collect()] == [(0, 0), (0, 0), (2, 0), (2, 1)]
+    assert [r.bytes for r in summarize_batches(log, 2, span=1).orderBy("batch_id").collect()] == [0, 2]

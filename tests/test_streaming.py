@@ -2,6 +2,7 @@
 
 import datetime as dt
 import time
+from collections import Counter
 
 import pytest
 from conftest import rows_of
@@ -10,12 +11,13 @@ from pyspark.errors import StreamingQueryException
 from ferrylog.operators import monitor
 from ferrylog.plans import mirror
 from ferrylog.sources import table
+from ferrylog.staging import app_folder, children
 from ferrylog.streaming.idle import activity_sessions, idle_alarms
 from ferrylog.streaming.metadata import Refreshing, with_leaders
 from ferrylog.streaming.mirror import StreamMirror
 from ferrylog.streaming.replay import ReplayFromLog, replay_stream, tagged
 from ferrylog.streaming.runs import late_rows, run_available
-from ferrylog.streaming.throttle import stored_bytes, throttled_stream
+from ferrylog.streaming.throttle import kept_limit, stored_bytes, throttled_stream
 from ferrylog.streaming.volume import volume_stream
 
 SCHEMA = "off BIGINT, value BINARY, topic STRING, part INT"
@@ -70,6 +72,33 @@ def test_mirror_batch_done_twice_adds_nothing(spark, make_log, folder):
     assert rows_of(copy.positions(spark)) == [("t", 0, 6)]
 
 
+def test_mirror_copies_a_partition_that_has_no_start(spark, make, make_log, folder):
+    starts = make([("t", 0, 3)], "topic STRING, part INT, start_off BIGINT")
+    copy = StreamMirror(folder, "t", starts=starts)
+    copy.copy(make_log([("t", 0, off) for off in range(6)]), 0)
+    copy.copy(make_log([("t", 1, off) for off in range(4)]), 1)
+    assert [row[1:] for row in offsets(copy.mirrored(spark))] == [(0, 3), (0, 4), (0, 5), (1, 0), (1, 1), (1, 2), (1, 3)]
+    assert rows_of(copy.positions(spark)) == [("t", 0, 6), ("t", 1, 4)]
+
+
+def test_staged_folders_of_a_micro_batch_are_deleted(spark, make_log, folder):
+    copy = StreamMirror(folder, "t", key="sequence")
+    copy.copy(make_log([("t", 0, 0)]), 0)
+    before = len(children(spark, app_folder(spark)))
+    for batch_id in range(1, 4):
+        copy.copy(make_log([("t", 0, batch_id)]), batch_id)
+    assert len(children(spark, app_folder(spark))) == before
+
+
+def test_batches_that_are_not_complete_are_not_read(spark, make_log, folder):
+    copy = StreamMirror(folder, "t")
+    copy.copy(make_log([("t", 0, 0)]), 0)
+    make_log([("t", 0, 1)]).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        table.batch_path(copy.data, 1)
+    )
+    assert offsets(copy.mirrored(spark)) == [("t", 0, 0)]
+
+
 def test_mirror_drops_rows_below_the_start(spark, make, make_log, folder):
     starts = make([("t", 0, 3)], "topic STRING, part INT, start_off BIGINT")
     copy = StreamMirror(folder, "t", starts=starts, cache=True)
@@ -90,14 +119,21 @@ def test_a_source_that_goes_back_is_refused_when_counting(spark, make_log, folde
     assert keeping.mirrored(spark).count() == 2
 
 
+def make_taken(spark, rows):
+    return spark.createDataFrame(rows, "batch_id BIGINT, topic STRING, part INT, n BIGINT, bytes BIGINT, file STRING, file_bytes BIGINT")
+
+
 def test_throttle_takes_whole_files_up_to_the_limit(spark, make_log, folder):
     feed = f"{folder}/feed"
     for at in range(4):
         arrive(make_log, feed, [("t", 0, at)])
-    size = stored_bytes(table.read_log(spark, feed, SCHEMA)) // 4
+    size = stored_bytes(spark, feed) // 4
     got = rows_of(throttled_stream(spark, feed, SCHEMA, f"{folder}/run", bytes_per_trigger=2 * size + 1))
-    assert len(got) >= 2 and all(row[3] <= 2 for row in got)
+    assert len({row[0] for row in got}) >= 2 and max(Counter(row[0] for row in got).values()) <= 2
     assert sum(row[3] for row in got) == 4 and sum(row[4] for row in got) == 8
+    taken = make_taken(spark, got)
+    assert {row.kept_limit for row in kept_limit(taken, 2 * size + 1).collect()} == {True}
+    assert False in {row.kept_limit for row in kept_limit(taken, 1).collect()}
 
 
 def timed(make, rows):
@@ -191,7 +227,7 @@ def test_failures_are_replayed_even_when_they_come_later_or_earlier(spark, make,
     def run():
         log, failed = table.stream_log(spark, feed, SCHEMA), spark.readStream.schema(FAILED).parquet(failures)
         if form == "state":
-            run_available(replay_stream(log, failed, span=4), keep, f"{folder}/run/checkpoint")
+            run_available(replay_stream(log, failed), keep, f"{folder}/run/checkpoint")
         else:
             run_available(tagged(log, failed), reread.copy, f"{folder}/run/checkpoint")
 
@@ -217,3 +253,29 @@ def test_metadata_is_read_again_when_old(spark, make, make_log):
     cached = Refreshing(load, seconds=3600)
     assert cached.current(spark) is cached.current(spark) and cached.loads == 1
     assert rows_of(with_leaders(log, cached.current(spark)).select("part", "host")) == [(0, "third"), (1, None)]
+
+
+def test_replay_state_shrinks_behind_the_watermark_and_stays_on_the_jvm(spark, make, folder):
+    feed, failures = f"{folder}/feed", f"{folder}/failed"
+    schema = f"{FAILED}, failed_at TIMESTAMP"
+    at = lambda minutes: START + dt.timedelta(minutes=minutes)
+    sizes, out = [], []
+
+    def run():
+        log, failed = table.stream_log(spark, feed, TIMED), spark.readStream.schema(schema).parquet(failures)
+        stream = replay_stream(log, failed, ts="ts", keep="30 minutes", late="0 seconds")
+        query = run_available(stream, lambda batch, _: out.extend(map(tuple, batch.collect())), f"{folder}/checkpoint")
+        sizes.append(sum(op["numRowsTotal"] for op in query.lastProgress["stateOperators"]))
+        assert "Python" not in query._jsq.explainInternal(False)
+
+    table.write_log(timed(make, [("t", 0, off, off % 10) for off in range(500)]), feed)
+    make([("t", 0, 3, at(9)), ("t", 0, 3, at(9)), ("t", 0, 4, at(300))], schema).write.parquet(failures)
+    run()
+    table.write_log(timed(make, [("t", 0, 1000, 400)]), feed, mode="append")
+    make([("t", 0, 1000, at(401))], schema).write.mode("append").parquet(failures)
+    run()
+    table.write_log(timed(make, [("t", 0, 1001, 402)]), feed, mode="append")
+    run()
+    assert sorted(row[2] for row in out if row[4]) == [3, 1000]
+    assert len([row for row in out if not row[4]]) == 502
+    assert sizes[0] >= 500 and sizes[-1] < 20
