@@ -114,7 +114,8 @@ def dedup(docs: DataFrame, *, chars: int = BLOCK_CHARS, hasher: Callable[[Column
     """
     named = stage(identities(docs, chars=chars, hasher=hasher), "identities")
     best = F.min(F.struct((-F.col("n_chars")).alias("c"), F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d")))
-    groups = named.groupBy("level", "name").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
+    # staged, so that the join has exchanges of its own, which AQE may split for a hot name
+    groups = stage(named.groupBy("level", "name").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size")), "groups")
     kept = F.col("doc_id").eqNullSafe(F.col("best.d")) & (F.col("n_chars") == -F.col("best.c"))
     return named.join(groups, ["level", "name"]).select(
         "doc_id", F.col("best.d").alias("keep_id"), "group_size", kept.alias("kept"), F.col("sha").alias("text_sha256"), "n_chars"
