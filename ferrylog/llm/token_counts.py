@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrylog.staging import exists
+from ferrylog.staging import exists, stage
 
 #: Fixed value: the pattern by which byte-level BPE of this kind cuts a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -111,6 +111,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, cache: str, *, limit: in
     misses = misses.groupBy("digest").agg(F.first("text").alias("text"))
     encode_counts(misses, vocabulary, tokenizer).write.mode("append").parquet(cache)
     sized = keyed.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), "digest")
-    return sized.join(known(), "digest").select(
+    # staged, so that the join has exchanges of its own, which AQE may split for a hot digest
+    return sized.join(stage(known(), "counts"), "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
