@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ferrylog.functions.text import decode_payload, hash_partition, java_hash
 from ferrylog.operators.ordered import SEGMENT_SPAN, number_rows
+from ferrylog.operators.segments import from_positions
 from ferrylog.settings import LOG_KEYS
 from ferrylog.staging import stage
 
@@ -18,14 +19,14 @@ def scan_from(log: DataFrame, starts: DataFrame, *, position: str = "start_off")
 
     ``starts`` has one row per partition and should be staged, so that its size is known.
     """
-    return (
-        log.join(starts.select(*LOG_KEYS, position), list(LOG_KEYS)).where(F.col("off") >= F.col(position)).drop(position)
-    )
+    near = from_positions(log, starts, position)
+    return near.join(starts.select(*LOG_KEYS, position), list(LOG_KEYS)).where(F.col("off") >= F.col(position)).drop(position)
 
 
 def drop_old(log: DataFrame, positions: DataFrame, *, position: str = "committed") -> DataFrame:
     """Rows at or above the requested offset; a partition without a request is read whole."""
-    joined = log.join(positions.select(*LOG_KEYS, position), list(LOG_KEYS), "left")
+    near = from_positions(log, positions, position, keep_unknown=True)
+    joined = near.join(positions.select(*LOG_KEYS, position), list(LOG_KEYS), "left")
     return joined.where(F.col("off") >= F.coalesce(F.col(position), F.lit(0))).drop(position)
 
 

@@ -20,6 +20,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from ferrylog.operators.segments import LAYOUT_SPAN, SEGMENT, only_segments, segment_name
 from ferrylog.settings import LOG_KEYS
 from ferrylog.staging import stage
 
@@ -96,7 +97,10 @@ def accumulate(
     rows = rows.withColumn(level, segment_of(order, span))
     if reach is not None:
         wanted = before.where(reach({name: F.col(f"__base_{name}") for name in sums}))
-        rows = rows.join(stage(wanted, "reach"), [*keys, level])
+        wanted = stage(wanted, "reach")
+        if tuple(keys) == LOG_KEYS and LAYOUT_SPAN % span == 0:  # a segment lies in one directory
+            rows = only_segments(rows, wanted.withColumn(SEGMENT, segment_name(F.expr(f"{level} div {LAYOUT_SPAN // span}"))))
+        rows = rows.join(wanted, [*keys, level])
 
     if previous:
         rows = rows.withColumn("__nth", F.row_number().over(Window.partitionBy(*keys, level).orderBy(order)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ferrylog.operators.segments import at_offsets, from_positions
 from ferrylog.settings import LOG_KEYS
 from ferrylog.staging import stage
 
@@ -35,7 +36,7 @@ def rows_at(log: DataFrame, failed: DataFrame) -> DataFrame:
     to meet the list, on a key that includes the offset and so has no hot value. The list should be
     staged, so that its size is known.
     """
-    near = log.join(stage(_ranges(failed), "ranges"), _KEYS)
+    near = at_offsets(log, failed).join(stage(_ranges(failed), "ranges"), _KEYS)
     near = near.where(F.col("off").between(F.col("__low"), F.col("__high"))).select(log.columns)
     return _matching(near, failed)
 
@@ -48,9 +49,12 @@ def replay_failed(log: DataFrame, failed: DataFrame, starts: DataFrame) -> DataF
     """
     failed = stage(failed.select(*_ROW), "failed")
     facts = stage(starts.select(*LOG_KEYS, "start_off").join(_ranges(failed), _KEYS, "full"), "replay")
-    rows = log.join(facts, _KEYS)
-    fresh = rows.where(F.col("__low").isNull() & (F.col("off") >= F.col("start_off")))
-    again = _matching(rows.where(F.col("off").between(F.col("__low"), F.col("__high"))), failed)
+    # partitions without failures from their start, the others in the segments of their failures
+    going = facts.where("__low IS NULL").select(*LOG_KEYS, "start_off")
+    fresh_log, again_log = from_positions(log, going, "start_off"), at_offsets(log, failed)
+    fresh = fresh_log.join(facts, _KEYS)
+    fresh = fresh.where(F.col("__low").isNull() & (F.col("off") >= F.col("start_off")))
+    again = _matching(again_log.join(facts, _KEYS).where(F.col("off").between(F.col("__low"), F.col("__high"))), failed)
     return (
         fresh.select(log.columns)
         .withColumn("replayed", F.lit(False))
@@ -74,8 +78,9 @@ def emit_state(log: DataFrame, starts: DataFrame, bounds: DataFrame) -> DataFram
         ),
         "emit",
     )
+    near = from_positions(log, facts.where("start_off IS NOT NULL"), "start_off")
     taken = (
-        log.select(*_ROW)
+        near.select(*_ROW)
         .join(facts, _KEYS)
         .where(F.col("off") >= F.col("start_off"))
         .select(*_ROW, F.when(F.col("off") == F.col("__last"), END).otherwise(MORE_LEFT).alias("state"))

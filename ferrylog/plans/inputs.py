@@ -19,7 +19,7 @@ from ferrylog.sources import table
 from ferrylog.settings import LOG_KEYS
 from ferrylog.staging import exists, new_folder, state_of
 
-LOG_SCHEMA = "off BIGINT, event_id BIGINT, payload STRING, ts TIMESTAMP_NTZ, topic STRING, part INT"
+LOG_SCHEMA = "off BIGINT, event_id BIGINT, payload STRING, ts TIMESTAMP_NTZ, topic STRING, part INT, seg STRING"
 SNAPSHOTS = 4
 
 # Brokers 0, 1 and 3 of the test cluster; broker 2 leads partitions but is not listed.
@@ -58,7 +58,7 @@ class Inputs:
         key = (self.spark.sparkContext.applicationId, self.folder, source)
         if key not in _logs or not exists(self.spark, f"{_logs[key]}/_SUCCESS"):
             path = new_folder(self.spark, "log")
-            table.write_log(self.derive_log(), path)
+            table.write_log(self.derive_log(), path, segments=True)
             _logs[key] = path
         return _logs[key]
 

@@ -1,7 +1,8 @@
 """Logs kept as Parquet.
 
-Layout: one directory per topic and partition, rows sorted by offset inside each file. Topic and
-partition filters prune directories, offset filters skip row groups. A hot partition is written by
+Layout: one directory per topic and partition, and per segment of offsets if asked for, rows sorted by
+offset inside each file. Topic and partition filters prune directories, offset filters skip row groups,
+and start offsets prune segments (``operators/segments.py``). A hot partition is written by
 many tasks, one per segment of offsets, and each file covers its own range.
 """
 
@@ -12,12 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrylog.operators.ordered import segment_of
+from ferrylog.operators.segments import LAYOUT_SPAN, SEGMENT, segment_name
 from ferrylog.settings import LOG_KEYS
 from ferrylog.staging import children, exists
 
-LAYOUT_SPAN = 1 << 17  # rows, about one row group of kilobyte messages
-
-
 def laid_out(log: DataFrame, span: int = LAYOUT_SPAN) -> DataFrame:
     """Rows placed by (topic, part, segment) and sorted by offset.
 
@@ -32,8 +31,14 @@ def laid_out(log: DataFrame, span: int = LAYOUT_SPAN) -> DataFrame:
     )
 
 
-def write_log(log: DataFrame, path: str, *, mode: str = "errorifexists", span: int = LAYOUT_SPAN) -> None:
-    laid_out(log, span).write.partitionBy(*LOG_KEYS).mode(mode).parquet(path)
+def write_log(
+    log: DataFrame, path: str, *, mode: str = "errorifexists", span: int = LAYOUT_SPAN, segments: bool = False
+) -> None:
+    """Store a log; with ``segments`` each segment has a directory, column ``seg``, for scans that start anywhere."""
+    if segments:
+        log = log.withColumn(SEGMENT, segment_name(segment_of("off", LAYOUT_SPAN)))
+    keys = [*LOG_KEYS, SEGMENT] if segments else LOG_KEYS
+    laid_out(log, span).write.partitionBy(*keys).mode(mode).parquet(path)
 
 
 def log_schema(log: DataFrame) -> T.StructType:

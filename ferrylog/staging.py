@@ -81,6 +81,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_bytes(df: DataFrame) -> int:
+    """Size of the files behind a staged table, as the optimizer sees it."""
+    return int(df._jdf.queryExecution().analyzed().stats().sizeInBytes())
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """What is staged inside is deleted at the end; for work whose results are written inside too, such as a micro-batch."""

@@ -4,6 +4,7 @@ import pytest
 from conftest import DATA, plan_of, rows_of
 from pyspark.sql import functions as F
 
+from ferrylog.operators import log as log_ops, replay, segments
 from ferrylog.plans import mirror
 from ferrylog.plans.inputs import Inputs
 from ferrylog.settings import MirrorSettings
@@ -231,3 +232,48 @@ def test_a_configured_start_leaves_valid_saved_offsets_alone(make, starting, exp
     starts = mirror.start_positions(log, saved, starting=starting)
     assert [row.start_off for row in starts.orderBy("part").collect()] == expected
     assert mirror.resume(log, saved, starting=starting).count() == 200 - sum(expected)
+
+
+def files_read(frame):
+    """Files that the scans of an executed plan opened for rows, by the plan's own counts."""
+    frame.collect()
+    plan, found, todo = frame._jdf.queryExecution().executedPlan(), [], []
+    todo.append(plan)
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif name == "FileSourceScanExec" and "payload" in node.schema().simpleString():
+            found.append(node.metrics().apply("numFiles").value())
+        else:
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return sum(found)
+
+
+def test_scans_open_only_segments_that_can_matter(spark, make, folder):
+    """Forty segments of two partitions; a resume at the end, a head and a replay need a few of them."""
+    rows = [("t", part, seg * segments.LAYOUT_SPAN + off, f"p{off}") for part in (0, 1) for seg in range(20) for off in range(3)]
+    table.write_log(make(rows, "topic STRING, part INT, off BIGINT, payload STRING"), folder, segments=True)
+    log = table.read_log(spark, folder, "off BIGINT, payload STRING, topic STRING, part INT, seg STRING")
+    assert files_read(log.select("payload")) == 40
+    last = 19 * segments.LAYOUT_SPAN
+    starts = stage(make([("t", 0, last + 1), ("t", 1, last - 10)], "topic STRING, part INT, start_off BIGINT"), "starts")
+    resumed = log_ops.scan_from(log, starts)
+    assert files_read(resumed) == 3 and resumed.count() == 5
+    kept = log_ops.drop_old(log, starts.where("part = 0"), position="start_off")
+    assert files_read(kept) == 21 and kept.count() == 62
+    head = log_ops.bounded_read(log, 3)
+    assert files_read(head) == 2 and head.count() == 6
+    failed = make([("t", 0, last + 2), ("t", 1, 1)], "topic STRING, part INT, off BIGINT")
+    again = replay.rows_at(log, stage(failed, "failed"))
+    assert files_read(again) == 2 and again.count() == 2
+    # without a broadcast the scan reads all, with the same result
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert log_ops.scan_from(log, starts).count() == 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
