@@ -7,6 +7,7 @@ from conftest import DATA
 import corpus_pipeline
 from ferrylog.llm import langid, mixing, piece_codec
 from ferrylog.llm.ngram_join import Rule
+from ferrylog.staging import stage
 
 from .test_exact import brute as exact_brute
 from .test_ngram_join import brute as ngram_brute
@@ -42,7 +43,9 @@ def test_rows_of_all_kinds(spark, make):
     texts = [None, "", "5 5", "ein Text", "ein Text", "einText", None, "una casa grande", "x " * 40_000]
     rows = [(i if i % 4 else None, t, "de" if i % 2 else None, None if i % 3 else "s", None, "c", 1) for i, t in enumerate(texts * 3)]
     docs = make(rows, schema)
-    for count in range(1, 5):
-        assert staged(spark, docs, count).columns == docs.columns
-    assert staged(spark, docs, 5).count() <= 3 * len(rows)
+    for _, function in corpus_pipeline.STAGES[:-1]:
+        after = stage(function(spark, docs, ""), "test")
+        assert after.columns == docs.columns
+        docs = after
     assert staged(spark, make([], schema), 5).count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == docs.count() <= 3 * len(rows)
