@@ -22,9 +22,6 @@ from ferrylog.staging import exists, new_folder, state_of
 LOG_SCHEMA = "off BIGINT, event_id BIGINT, payload STRING, ts TIMESTAMP_NTZ, topic STRING, part INT, seg STRING"
 SNAPSHOTS = 4
 
-# Brokers 0, 1 and 3 of the test cluster; broker 2 leads partitions but is not listed.
-BROKERS = ((0, "node0.example", 9092), (1, "node1.example", 9093), (3, "node3.example", 9092))
-
 _logs: dict[tuple, str] = {}
 
 
@@ -128,8 +125,14 @@ class Inputs:
         return rows.select("snap", *LOG_KEYS, state.alias("state"))
 
     def brokers(self) -> DataFrame:
-        values = ", ".join(f"({broker_id}, '{host}', {port})" for broker_id, host, port in BROKERS)
-        rows = self.spark.sql(f"SELECT * FROM VALUES {values} AS b(broker_id, host, port)")
+        """One broker per supplier; the ids leave out 2, which leads partitions but is not listed."""
+        key = F.col("s_suppkey")
+        broker_id = F.when(key >= 2, key + 1).otherwise(key).cast("int")
+        rows = self.table("supplier").select(broker_id.alias("broker_id")).select(
+            "broker_id",
+            F.format_string("node%d.example", "broker_id").alias("host"),
+            (F.col("broker_id") % 2 + 9092).alias("port"),
+        )
         info = F.format_string('{"host":"%s","jmx_port":9999,"port":%d,"version":1}', "host", "port")
         return rows.select("broker_id", info.alias("info"))
 

@@ -37,7 +37,8 @@ FROM (SELECT DISTINCT topic, part FROM log) l
 CROSS JOIN (VALUES (0), (1), (2), (3)) AS s(snap)""",
     "brokers": """
 SELECT broker_id, '{"host":"' || host || '","jmx_port":9999,"port":' || CAST(port AS VARCHAR) || ',"version":1}' AS info
-FROM (VALUES (0, 'node0.example', 9092), (1, 'node1.example', 9093), (3, 'node3.example', 9092)) AS b(broker_id, host, port)""",
+FROM (SELECT broker_id, 'node' || CAST(broker_id AS VARCHAR) || '.example' AS host, 9092 + broker_id % 2 AS port
+      FROM (SELECT CAST(CASE WHEN s_suppkey >= 2 THEN s_suppkey + 1 ELSE s_suppkey END AS INT) AS broker_id FROM supplier) s) b""",
     "znode_dump": """
 SELECT '/consumers/demo/offsets/' || topic || '/' || CAST(part AS VARCHAR) AS path, CAST(committed AS VARCHAR) AS data FROM ckpt
 UNION ALL
