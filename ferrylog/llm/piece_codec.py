@@ -5,8 +5,11 @@ ends there; each relaxes the best score at its end from the best score at its st
 with the highest sum of piece scores wins, the semantics of unigram models. A character that no piece
 covers costs ``lowest score - 10`` and is written as its UTF-8 bytes (or as the unknown piece, if the
 model has no bytes). Of segmentations with equal sums the one whose last piece is longest wins, then
-the same rule before it. For a model trained by pair merging this is the best segmentation under the
-model's own scores, which is not always the one that replaying the merges gives.
+the same rule before it.
+
+The scores of a model trained by pair merging are the places of its merges and mean nothing as a sum.
+``encode(.., as_trained=True)`` replays the merges of such a model (``MergeCodec``), which gives the ids
+of its own tokenizer; unigram models are searched as above.
 
 White space is escaped and a dummy prefix added as the model's settings say. Pieces hold the escape
 mark at their beginning only, so the search can be cut before each run of marks without losing a
@@ -21,10 +24,11 @@ mark; ids outside the model raise ValueError; an empty table gives no row. Texts
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, pairwise
 
 import ahocorasick
 import numpy as np
@@ -35,8 +39,10 @@ from pyspark.sql import DataFrame
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
+MERGES = 2  # the model type of pair merging
 UNKNOWN_SURFACE = " ⁇ "
 KEPT_STRETCHES = 200_000
+SHORT = 64
 
 
 class Codec:
@@ -151,10 +157,116 @@ class Codec:
         return text.removeprefix(" ") if self.prefix else text
 
 
+class MergeCodec(Codec):
+    """Codec of a model trained by pair merging: of all neighbours the pair with the highest score is merged first."""
+
+    def __init__(self, model: bytes):
+        super().__init__(model)
+        # a piece that is listed twice counts by its last place, as in the automaton
+        self.known = {p: (s, i, kind) for i, (p, s, kind) in enumerate(self.pieces) if kind in (NORMAL, USER, UNUSED)}
+        # pieces of users are found first and are not merged with others
+        users = sorted((p for p, (_, _, kind) in self.known.items() if kind == USER), key=len, reverse=True)
+        self.symbols = re.compile("(?s)" + "|".join([*map(re.escape, users), "."])).findall
+        self.users = frozenset(users)
+        self.plain = all(kind == NORMAL for _, _, kind in self.known.values())
+        if not self.plain:
+            self.cut = re.compile("(?s).+").findall
+        self.turns = {p: -s for p, (s, _, _) in self.known.items()}
+        self.ids = {p: i for p, (_, i, _) in self.known.items()}
+
+    def search(self, stretch: str) -> list[int]:
+        """The segmentation that the merges leave, as ids; of pairs with equal scores the first one goes first."""
+        if not self.plain or len(stretch) > SHORT:
+            return self._search_queue(stretch)
+        # a word's few pairs are looked through at each merge
+        parts, turn, never = list(stretch), self.turns.get, np.inf
+        turns = [turn(a + b, never) for a, b in pairwise(parts)]
+        while turns:
+            first = min(turns)
+            if first == never:
+                break
+            at = turns.index(first)
+            parts[at] += parts.pop(at + 1)
+            del turns[at]
+            if at:
+                turns[at - 1] = turn(parts[at - 1] + parts[at], never)
+            if at < len(turns):
+                turns[at] = turn(parts[at] + parts[at + 1], never)
+        try:
+            return [self.ids[p] for p in parts]
+        except KeyError:
+            return self._named(parts, {})
+
+    def _search_queue(self, stretch: str) -> list[int]:
+        """``search`` with a queue of pairs, for stretches of any length."""
+        parts, known, users = self.symbols(stretch), self.known, self.users
+        n = len(parts)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        open_pairs: list[tuple[float, int, int, str]] = []
+        made: dict[str, tuple[str, str]] = {}
+
+        def meet(left: int, right: int) -> None:
+            if left < 0 or right >= n or parts[left] in users or parts[right] in users:
+                return
+            both = parts[left] + parts[right]
+            hit = known.get(both)
+            if hit is not None:
+                heapq.heappush(open_pairs, (-hit[0], left, right, both))
+                if hit[2] == UNUSED:
+                    made[both] = (parts[left], parts[right])
+
+        for i in range(n - 1):
+            meet(i, i + 1)
+        while open_pairs:
+            _, left, right, both = heapq.heappop(open_pairs)
+            if not parts[left] or not parts[right] or len(parts[left]) + len(parts[right]) != len(both):
+                continue
+            parts[left], parts[right] = both, ""
+            after[left] = after[right]
+            if after[left] < n:
+                before[after[left]] = left
+            meet(before[left], left)
+            meet(left, after[left])
+        return self._named(parts, made)
+
+    def _named(self, parts: list[str], made: dict[str, tuple[str, str]]) -> list[int]:
+        """Ids of parts; unused pieces are taken apart into what they were ``made`` of."""
+        ids: list[int] = []
+        todo = [p for p in reversed(parts) if p]
+        while todo:
+            part = todo.pop()
+            hit = self.known.get(part)
+            if hit is not None and hit[2] == UNUSED and part in made:
+                todo += reversed(made[part])
+            elif hit is not None:
+                ids.append(hit[1])
+            elif self.bytes:
+                ids.extend(self.bytes[b] for b in part.encode())
+            else:
+                ids.append(self.unknown)
+        return ids
+
+    def encode(self, text: str | None) -> list[int]:
+        ids = super().encode(text)
+        if self.bytes:
+            return ids
+        # a run of unknown characters is one unknown piece
+        return [i for k, i in enumerate(ids) if i != self.unknown or not k or ids[k - 1] != i]
+
+
 @lru_cache(maxsize=2)
-def codec(model: bytes) -> Codec:
+def codec(model: bytes, as_trained: bool = False) -> Codec:
     """One codec per model and Python worker."""
-    return Codec(model)
+    return MergeCodec(model) if as_trained and model_type(model) == MERGES else Codec(model)
+
+
+def model_type(model: bytes) -> int:
+    """How the model was trained."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(model)
+    return proto.trainer_spec.model_type
 
 
 def read_model(path: str) -> bytes:
@@ -163,15 +275,16 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
-def encode(docs: DataFrame, model: bytes) -> DataFrame:
+def encode(docs: DataFrame, model: bytes, *, as_trained: bool = False) -> DataFrame:
     """``(doc_id, n_pieces, ids, ids_sha256, round_trip)``, a row per row of ``docs(doc_id, text)``.
 
+    ``as_trained`` takes the segmentation that the model was trained for, by merges or by scores.
     ``ids_sha256`` is the digest of the ids as little-endian 32-bit numbers; ``round_trip`` tells
     whether decoding them gives the text again.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = codec(model)
+        one = codec(model, as_trained)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)

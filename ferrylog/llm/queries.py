@@ -72,7 +72,7 @@ def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
     model = piece_codec.read_model(f"{TOKENIZERS}/piece_bpe_32k.model")
-    return piece_codec.encode(table(spark, folder, "documents"), model).drop("ids")
+    return piece_codec.encode(table(spark, folder, "documents"), model, as_trained=True).drop("ids")
 
 
 QUERIES = {

@@ -82,3 +82,47 @@ def test_rows_of_all_kinds(docs, model, codec):
     assert piece_codec.encode(docs([]), model).count() == 0
     with pytest.raises(ValueError):
         codec.decode([40_000])
+
+
+def test_merge_models_get_the_ids_of_their_own_tokenizer(docs, model, spark):
+    import sentencepiece
+    from conftest import DATA
+
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    given = spark.read.parquet(str(DATA / "sf0.001" / "documents.parquet")).collect()
+    texts = [r.text for r in random.Random(2).sample(given, 60)]
+    texts += ["tab\there", "that and", "一二三😀", "a" * 3000, "  b \n c", "ab▁▁c ▁d", ""]
+    got = piece_codec.encode(docs(list(enumerate(texts))), model, as_trained=True)
+    assert {r.doc_id: list(r.ids) for r in got.collect()} == {i: library.encode(t) for i, t in enumerate(texts)}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.one_of(st.text(max_size=40), st.text(alphabet="the ing\n éß▁.", max_size=40)))
+def test_merges_are_those_of_the_library(model, text):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    own = piece_codec.codec(model, True)
+    if "\0" not in text:
+        assert own.encode(text) == library.encode(text)
+
+
+@pytest.mark.parametrize("drop_bytes", [False, True])
+def test_merges_with_pieces_of_users_and_unused_ones(model, drop_bytes):
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(model)
+    proto.trainer_spec.byte_fallback = not drop_bytes
+    for piece in proto.pieces:
+        if drop_bytes and piece.type == piece_codec.BYTE:
+            piece.type = piece_codec.NORMAL
+        if piece.piece in ("he", "▁th"):
+            piece.type = piece_codec.UNUSED
+        if piece.piece == "ing":
+            piece.type = piece_codec.USER
+    changed = proto.SerializeToString()
+    library, own = sentencepiece.SentencePieceProcessor(model_proto=changed), piece_codec.codec(changed, True)
+    for text in ("the thing sings other", "heathen", "ingest 😀😀 ſ he", "\U0001f9ff\U0001f9ff ok"):
+        assert own.encode(text) == library.encode(text)
