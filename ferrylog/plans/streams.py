@@ -77,13 +77,23 @@ def throttled_stream(inputs: Inputs) -> DataFrame:
     )
 
 
+def _lateness(log: DataFrame) -> str:
+    """How late a row can come when files are read in any order of time: the span of ``ts``, and a second."""
+    time = F.unix_micros(F.col("ts").cast("timestamp"))
+    micros = log.agg((F.max(time) - F.min(time)).alias("span")).first().span or 0
+    return f"{micros // 1_000_000 + 1} seconds"
+
+
 def volume_stream(inputs: Inputs) -> DataFrame:
-    """Updated windows of each micro-batch, the last of each being kept; files come in any order of time."""
+    """Updated windows of each micro-batch, the last of each being kept; files come in any order of time.
+
+    The watermark stays behind the first row of the stored log; the query fails if it drops a row all the same.
+    """
     root = new_folder(inputs.spark, "volume")
-    stream = volumes(
-        _log_stream(inputs, limited=True), width="1 day", limit=150, late="60 days", size=size_of(F.col("payload"))
-    )
-    run_available(stream, lambda batch, n: table.write_batch(batch, f"{root}/out", n), f"{root}/checkpoint", mode="update")
+    late = _lateness(table.read_log(inputs.spark, inputs.log_folder(), LOG_SCHEMA))
+    stream = volumes(_log_stream(inputs, limited=True), width="1 day", limit=150, late=late, size=size_of(F.col("payload")))
+    write = lambda batch, n: table.write_batch(batch, f"{root}/out", n)
+    run_available(stream, write, f"{root}/checkpoint", mode="update", none_late=True)
     windows = table.read_batches(inputs.spark, f"{root}/out").groupBy(*LOG_KEYS, "win_start")
     result = windows.agg(*[F.max_by(c, "batch_id").alias(c) for c in ("bytes", "over_limit")])
     return result.withColumn("win_start", F.col("win_start").cast("timestamp_ntz"))

@@ -17,21 +17,38 @@ def run_available(
     *,
     mode: str = "append",
     name: str | None = None,
+    none_late: bool = False,
 ) -> StreamingQuery:
-    """Hand every micro-batch available now to ``on_batch``; return the finished query."""
+    """Hand every micro-batch available now to ``on_batch``; return the finished query.
+
+    With ``none_late`` the run fails if the watermark dropped a row. Progress is read while the query
+    runs, as ``recentProgress`` keeps the last reports only.
+    """
     writer = stream.writeStream.foreachBatch(on_batch).outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     with stream_conf(stream.sparkSession):
         query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
+    if none_late:
+        seen = {}
+        done = False
+        while not done:
+            done = query.awaitTermination(1)
+            for p in query.recentProgress:
+                seen[p["batchId"]] = max(_dropped(p), seen.get(p["batchId"], 0))
+        if seen and len(seen) != max(seen) - min(seen) + 1:
+            raise RuntimeError("the progress of some micro-batches is not known, so late rows cannot be ruled out")
+        if any(seen.values()):
+            raise RuntimeError(f"the watermark dropped {sum(seen.values())} rows")
+    else:
+        query.awaitTermination()
     return query
 
 
+def _dropped(progress) -> int:
+    return sum(operator.get("numRowsDroppedByWatermark", 0) for operator in progress["stateOperators"])
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows the query dropped because they came after the watermark."""
-    return sum(
-        operator.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+    return sum(map(_dropped, query.recentProgress))

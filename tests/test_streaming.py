@@ -279,3 +279,25 @@ def test_replay_state_shrinks_behind_the_watermark_and_stays_on_the_jvm(spark, m
     assert sorted(row[2] for row in out if row[4]) == [3, 1000]
     assert len([row for row in out if not row[4]]) == 502
     assert sizes[0] >= 500 and sizes[-1] < 20
+
+
+def test_volume_query_keeps_rows_of_any_age(spark, make, folder, monkeypatch):
+    from types import SimpleNamespace
+
+    from ferrylog.plans import streams
+    from ferrylog.plans.inputs import LOG_SCHEMA
+
+    feed = f"{folder}/feed"
+    days = [400, 399, 200, 100, 1, 0]  # newest files first
+    for n, day in enumerate(days):
+        row = (n, n, "x" * 10, START + dt.timedelta(days=day), "t", 0, "s")
+        table.write_log(make([row], LOG_SCHEMA), feed, mode="append")
+        time.sleep(0.02)
+    monkeypatch.setattr(streams, "BYTES_PER_TRIGGER", 1)
+    log = table.read_log(spark, feed, LOG_SCHEMA)
+    inputs = SimpleNamespace(spark=spark, log_folder=lambda: feed, log=lambda: log)
+    got = rows_of(streams.volume_stream(inputs).select("win_start", "bytes"))
+    assert got == sorted((START + dt.timedelta(days=day), 10) for day in days)
+    monkeypatch.setattr(streams, "_lateness", lambda log: "60 days")
+    with pytest.raises(RuntimeError, match="dropped"):
+        streams.volume_stream(inputs)
