@@ -6,13 +6,15 @@ lengths stay (a day or month of one digit is written with two). A value is a lis
 two halves of the list, with keyed BLAKE2 as its round function, permutes all lists of the same kind
 and radices. Where only some lists are valid the permutation is repeated until the result is. So equal
 values get equal pseudonyms in every document, however they are punctuated, different values never
-share one, and who holds the key can go back (``reveal``).
+share one, and who holds the key can go back (``reveal``). Where numbers stand beside each other a
+pseudonym can make another cut of them valid; ``reveal`` is sure there when it is given the values.
 
 Results in special cases: null texts stay null and have no values; texts without values come back
-unchanged; of values that overlap, the first by position and then by the order of ``KINDS`` counts;
+unchanged; of valid values that overlap, the first by position, then by the order of ``KINDS``, then the longest counts;
 rows are handled alone, so ties and repeated rows do not matter; an empty table gives no row. Texts are
-searched whole. Candidates that do not pass validation (a card number with a wrong sum, 31 February)
-are left as they are.
+searched whole, from every start; a card number may end at any end of a group of digits and an account
+number where its country says or at any end of a word, whatever stands beside it. Candidates that do
+not pass validation at any length (a card number with a wrong sum, 31 February) are left as they are.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from heapq import heappop, heappush
 from math import prod
 
 import pyarrow as pa
@@ -30,6 +33,19 @@ from pyspark.sql import DataFrame
 ROUNDS = 10
 FIRST_DAY, DAYS = datetime.date(1900, 1, 1), 73_049  # to the end of 2099
 MAX_WALK = 10_000
+SECRET_PIECE = 200
+#: Lengths of account numbers by country, as the registry of ISO 13616 lists them.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+_IBAN_SPAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}")
 
 
 class Feistel:
@@ -89,11 +105,15 @@ def iban_check(country: str, rest: str) -> str:
 
 @dataclass(frozen=True)
 class Kind:
-    """How values of a kind are found and replaced; ``swap`` gives None for what is not valid."""
+    """How values of a kind are found and replaced; ``swap`` gives None for what is not valid.
+
+    ``ends`` lists where a value that starts at a match may end, the likeliest first; else it ends with the match.
+    """
 
     name: str
     pattern: str
     swap: Callable[[Feistel, str, bool], str | None]
+    ends: Callable[[str, int], list[int]] | None = None
 
 
 def _digits(text: str) -> list[int]:
@@ -115,6 +135,30 @@ def _walk(step: Callable[[list[int]], list[int]], values: list[int], valid: Call
     raise RuntimeError("no valid value found")
 
 
+def card_ends(text: str, start: int) -> list[int]:
+    """Ends of groups of digits, 13 to 19 digits away, the farthest first."""
+    end = re.compile(r"\d(?:[ -]?\d){12,18}").match(text, start).end()
+    ends, n = [], 0
+    for at in range(start, end):
+        n += text[at].isdigit()
+        if n >= 13 and text[at].isdigit() and not text[at + 1 : at + 2].isdigit():
+            ends.append(at + 1)
+    return ends[::-1]
+
+
+def iban_ends(text: str, start: int) -> list[int]:
+    """The end by the country's length, then ends of words, the farthest first."""
+    end = _IBAN_SPAN.match(text, start).end()
+    own, ends, n = [], [], 0
+    for at in range(start, end):
+        n += text[at] != " "
+        if text[at] != " " and n == IBAN_LENGTHS.get(text[start : start + 2]):
+            own = [at + 1]
+        if text[at] != " " and n >= 15 and not text[at + 1 : at + 2].isalnum():
+            ends.append(at + 1)
+    return own + ends[::-1]
+
+
 def swap_card(feistel: Feistel, text: str, back: bool) -> str | None:
     digits = _digits(text)
     if not 13 <= len(digits) <= 19 or luhn_digit(digits[:-1]) != digits[-1] or not any(digits):
@@ -205,11 +249,19 @@ def swap_key(feistel: Feistel, text: str, back: bool) -> str | None:
 
 
 def _swap_hex(feistel: Feistel, word: str, back: bool) -> str:
-    """Letters and digits of a secret; hexadecimal ones stay hexadecimal."""
-    if re.fullmatch(r"[0-9a-f]+", word):
-        values = [int(c, 16) for c in word]
-        return "".join("0123456789abcdef"[v] for v in feistel.permute(values, [16] * len(values), b"hex", back))
-    return _swap_word(feistel, word, b"secret", back)
+    """Letters and digits of a secret; hexadecimal ones stay hexadecimal.
+
+    Long secrets are permuted in pieces, each under a tweak of its own, so that the work stays linear.
+    """
+    kind, out = b"hex" if re.fullmatch(r"[0-9a-f]+", word) else b"secret", []
+    for at in range(0, len(word), SECRET_PIECE):
+        piece, tweak = word[at : at + SECRET_PIECE], kind + (b"%d" % at if at else b"")
+        if kind == b"hex":
+            values = [int(c, 16) for c in piece]
+            out += ["0123456789abcdef"[v] for v in feistel.permute(values, [16] * len(values), tweak, back)]
+        else:
+            out.append(_swap_word(feistel, piece, tweak, back))
+    return "".join(out)
 
 
 def swap_secret(feistel: Feistel, text: str, back: bool) -> str | None:
@@ -220,13 +272,13 @@ def swap_secret(feistel: Feistel, text: str, back: bool) -> str | None:
 KINDS = (
     Kind("email", r"[\w.+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}", swap_email),
     Kind("key", r"\bAKIA[A-Z0-9]{16}\b", swap_key),
-    Kind("secret", r"(?i:\b(?:password|passwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?[\w/+-]{8,200})", swap_secret),
-    Kind("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", swap_iban),
+    Kind("secret", r"(?i:\b(?:password|passwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?[\w/+-]{8,})", swap_secret),
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11}", swap_iban, iban_ends),
     Kind("ip", r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)", swap_ip),
     Kind("date", r"(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?!\d)", swap_date),
     Kind("social", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", swap_social),
     Kind("phone", r"(?<![\w(+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\d-])", swap_phone),
-    Kind("card", r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])", swap_card),
+    Kind("card", r"(?<!\d)\d(?:[ -]?\d){12}", swap_card, card_ends),
 )
 _FOUND = {kind: re.compile(kind.pattern) for kind in KINDS}
 _NUMBER = re.compile(r"\d[\d ().+/-]{5,}\d")
@@ -251,25 +303,40 @@ class Value:
 
 def pseudonymise(text: str, feistel: Feistel, *, back: bool = False) -> tuple[str, list[Value]]:
     """The text with all valid values replaced, and the values with their places in the original text."""
-    found = []
-    for rank, kind in _kinds_in(text):
-        found += [(m.start(), rank, m.end(), m.group(0)) for m in _FOUND[kind].finditer(text)]
     out, values, upto = [], [], 0
-    for start, rank, end, value in sorted(found):
-        if start < upto:
-            continue
-        fresh = KINDS[rank].swap(feistel, value, back)
-        if fresh is None:
-            continue
-        out += [text[upto:start], fresh]
-        values.append(Value(KINDS[rank].name, start, end, fresh))
-        upto = end
+    heads = []  # the next match of each kind
+    for rank, kind in _kinds_in(text):
+        if m := _FOUND[kind].search(text):
+            heappush(heads, (m.start(), rank, m.end()))
+    while heads:
+        start, rank, end = heappop(heads)
+        kind, after = KINDS[rank], upto
+        if start >= upto:
+            after = start + 1
+            for end in kind.ends(text, start) if kind.ends else [end]:
+                fresh = kind.swap(feistel, text[start:end], back)
+                if fresh is not None:
+                    out += [text[upto:start], fresh]
+                    values.append(Value(kind.name, start, end, fresh))
+                    upto = after = end
+                    break
+        if m := _FOUND[kind].search(text, after):
+            heappush(heads, (m.start(), rank, m.end()))
     return "".join([*out, text[upto:]]), values
 
 
-def reveal(text: str, feistel: Feistel) -> str:
-    """The text before ``pseudonymise``, for who holds the key."""
-    return pseudonymise(text, feistel, back=True)[0]
+def reveal(text: str, feistel: Feistel, values: Sequence[Value] | None = None) -> str:
+    """The text before ``pseudonymise``, for who holds the key; ``values`` are those it gave."""
+    if values is None:
+        return pseudonymise(text, feistel, back=True)[0]
+    swaps = {kind.name: kind.swap for kind in KINDS}
+    out, upto, shift = [], 0, 0
+    for v in values:
+        start = v.start + shift
+        out += [text[upto:start], swaps[v.kind](feistel, v.pseudonym, True)]
+        upto = start + len(v.pseudonym)
+        shift += len(v.pseudonym) - (v.end - v.start)
+    return "".join([*out, text[upto:]])
 
 
 def hide(docs: DataFrame, key: bytes) -> DataFrame:

@@ -87,3 +87,38 @@ def test_rows_of_all_kinds(docs):
     assert hide(docs([]), b"test").count() == 0
     with pytest.raises(ValueError):
         Feistel(b"")
+
+
+@pytest.mark.parametrize(
+    "before, value, after, kind",
+    [
+        ("", "4111 1111 1111 1111", " 12/27", "card"),
+        ("", "4111111111111111", " 20 EUR", "card"),
+        ("no 12 ", "4111 1111 1111 1111", "", "card"),
+        ("12-", "4111-1111-1111-1111", "-9", "card"),
+        ("1-800-555-1212 ", "4111 1111 1111 1111", "", "card"),
+        ("", "BE68 5390 0754 7034", " EUR", "iban"),
+        ("", "ES91 2100 0418 4502 0005 1332", " BIC", "iban"),
+        ("AB12 CDEF ", "BE68539007547034", "EUR", "iban"),
+    ],
+)
+def test_values_beside_digits_and_capitals(before, value, after, kind):
+    text = before + value + after
+    fresh, values = pseudonymise(text, KEY)
+    hit = next(v for v in values if v.kind == kind)
+    assert text[hit.start : hit.end] == value and hit.pseudonym != value
+    assert value not in fresh and reveal(fresh, KEY, values) == text
+
+
+@pytest.mark.parametrize("letters", ["a1b2c", "xY7-z"])
+def test_secrets_of_any_length(letters):
+    secret = letters * 60
+    fresh, values = pseudonymise(f"token={secret} end", KEY)
+    assert [v.end for v in values] == [306] and fresh[206:306] != secret[200:]
+    assert reveal(fresh, KEY) == f"token={secret} end"
+
+
+def test_values_lead_back_where_numbers_are_crowded():
+    text = " ".join(f"4111 1111 1111 1111 {n:02d}" for n in range(40))
+    fresh, values = pseudonymise(text, KEY)
+    assert fresh != text and reveal(fresh, KEY, values) == text
