@@ -11,6 +11,7 @@ pseudonym can make another cut of them valid; ``reveal`` is sure there when it i
 
 Results in special cases: null texts stay null and have no values; texts without values come back
 unchanged; of valid values that overlap, the first by position, then by the order of ``KINDS``, then the longest counts;
+digits of other scripts count as the ASCII ones and keep their script;
 rows are handled alone, so ties and repeated rows do not matter; an empty table gives no row. Texts are
 searched whole, from every start; a card number may end at any end of a group of digits and an account
 number where its country says or at any end of a word, whatever stands beside it. Candidates that do
@@ -22,8 +23,9 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from heapq import heappop, heappush
 from math import prod
 
@@ -280,6 +282,8 @@ KINDS = (
     Kind("phone", r"(?<![\w(+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\d-])", swap_phone),
     Kind("card", r"(?<!\d)\d(?:[ -]?\d){12}", swap_card, card_ends),
 )
+#: Digits of any script, and those that are not ASCII; a text is searched with ASCII digits in their places.
+_DIGIT, _FOREIGN = re.compile(r"\d"), re.compile(r"[^\D0-9]")
 _FOUND = {kind: re.compile(kind.pattern) for kind in KINDS}
 _NUMBER = re.compile(r"\d[\d ().+/-]{5,}\d")
 
@@ -301,8 +305,36 @@ class Value:
     pseudonym: str
 
 
+def plain_digits(text: str) -> str:
+    """The text with ASCII digits in the place of those of other scripts, each in its place."""
+    return text if text.isascii() else _FOREIGN.sub(lambda m: str(unicodedata.decimal(m.group(0))), text)
+
+
+def in_script(fresh: str, value: str) -> str:
+    """A pseudonym with the digits of the value it stands for: place by place, else in the script of its first digit."""
+    zeros = [ord(c) - unicodedata.decimal(c) if _DIGIT.match(c) else None for c in value]
+    if [z is not None for z in zeros] != [c in "0123456789" for c in fresh]:
+        zeros = [next(z for z in zeros if z is not None)] * len(fresh)
+    return "".join(chr(z + int(c)) if c in "0123456789" else c for c, z in zip(fresh, zeros, strict=True))
+
+
 def pseudonymise(text: str, feistel: Feistel, *, back: bool = False) -> tuple[str, list[Value]]:
     """The text with all valid values replaced, and the values with their places in the original text."""
+    given, text = text, plain_digits(text)
+    fresh, values = _pseudonymise(text, feistel, back)
+    if given == text:
+        return fresh, values
+    out, upto = [], 0
+    for at, v in enumerate(values):
+        value = given[v.start : v.end]
+        if _FOREIGN.search(value):
+            values[at] = v = replace(v, pseudonym=in_script(v.pseudonym, value))
+        out += [given[upto : v.start], v.pseudonym]
+        upto = v.end
+    return "".join([*out, given[upto:]]), values
+
+
+def _pseudonymise(text: str, feistel: Feistel, back: bool) -> tuple[str, list[Value]]:
     out, values, upto = [], [], 0
     heads = []  # the next match of each kind
     for rank, kind in _kinds_in(text):
@@ -333,7 +365,8 @@ def reveal(text: str, feistel: Feistel, values: Sequence[Value] | None = None) -
     out, upto, shift = [], 0, 0
     for v in values:
         start = v.start + shift
-        out += [text[upto:start], swaps[v.kind](feistel, v.pseudonym, True)]
+        value = swaps[v.kind](feistel, plain_digits(v.pseudonym), True)
+        out += [text[upto:start], in_script(value, v.pseudonym) if _FOREIGN.search(v.pseudonym) else value]
         upto = start + len(v.pseudonym)
         shift += len(v.pseudonym) - (v.end - v.start)
     return "".join([*out, text[upto:]])

@@ -122,3 +122,23 @@ def test_values_lead_back_where_numbers_are_crowded():
     text = " ".join(f"4111 1111 1111 1111 {n:02d}" for n in range(40))
     fresh, values = pseudonymise(text, KEY)
     assert fresh != text and reveal(fresh, KEY, values) == text
+
+
+@pytest.mark.parametrize("zero", [0x660, 0x966, 0xFF10])
+@pytest.mark.parametrize(
+    "value", ["988-555-2485", "123-45-6789", "4111 1111 1111 1111", "2024-01-31", "142.144.135.254", "bo42@mail8.example.com", "password=b7db7aa4a5fc"]
+)
+def test_digits_of_other_scripts(zero, value):
+    script = str.maketrans("0123456789", "".join(chr(zero + i) for i in range(10)))
+    text = f"see {value} here"
+    fresh, values = pseudonymise(text.translate(script), KEY)
+    # equal values get equal pseudonyms, in the digits of their script
+    assert fresh == swapped(text).translate(script) and fresh != text.translate(script)
+    assert reveal(fresh, KEY) == reveal(fresh, KEY, values) == text.translate(script)
+
+
+def test_mixed_scripts_and_a_whole_table(docs):
+    texts = ["١٢٣-456-7890", "١٢٣-45-6789", "1.٢.3.4", "²³ x²"]
+    got = {r.doc_id: r.text for r in hide(docs(list(enumerate(texts))), b"test").collect()}
+    assert got == {i: swapped(t) for i, t in enumerate(texts)}
+    assert got[3] == texts[3] and all(got[i] != texts[i] for i in range(3))
