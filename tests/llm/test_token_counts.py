@@ -48,3 +48,9 @@ def test_counts_of_another_tokenizer_are_not_taken(docs, folder, spark, vocabula
     assert spark.read.schema(digest).parquet(folder).count() == 1
     assert [r.n_tokens for r in token_counts.count_tokens(docs([(1, "a b")]), VOCABULARY, folder).collect()] == [2]
     assert token_counts.tokenizer_digest(vocabulary) != token_counts.tokenizer_digest(vocabulary + b" ")
+
+
+@pytest.mark.parametrize("space", [" ", "\n"])
+def test_very_long_runs_of_white_space(vocabulary, library, space):
+    text = "a" + space * 1_200_000 + "b c"
+    assert token_counts.counter(vocabulary)([text, "a b"]) == [library(text), library("a b")]
