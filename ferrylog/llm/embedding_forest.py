@@ -11,9 +11,10 @@ takes something away; what is left of them, a dense spot, is compared in tiles o
 Equal vectors are one vector with a count. A link is counted in the first leaf that its two ends share,
 and a tile returns sums of counts and one edge per vector, so no list of pairs is ever made.
 
-Results in special cases: a vector that is null, zero, empty, holds a null or a non-finite number, or
-has another length than most, links with nothing and is its own component; a null vec_id gets no
-component and lends none; rows that share a vec_id are one node, and each row counts for itself; an
+Vectors of each length have a forest of their own; vectors of different lengths do not link.
+
+Results in special cases: a vector that is null, zero, empty, holds a null or a non-finite number links
+with nothing and is its own component; a null vec_id gets no component and lends none; rows that share a vec_id are one node, and each row counts for itself; an
 empty table gives no row.
 """
 
@@ -230,36 +231,40 @@ def compare(table: pa.Table, cosine: float) -> pa.Table:
     return pa.Table.from_arrays(cols, names=["rep", "links", "near"])
 
 
+def _links(distinct: DataFrame, dim: int, rows: int, cosine: float) -> DataFrame:
+    """``(rep, links, near)`` of the distinct vectors of one length."""
+    share = min(1.0, SAMPLE / rows)
+    drawn = distinct.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < share * (1 << 20)).limit(2 * SAMPLE)
+    sample = np.array([r[0] for r in drawn.select("embedding").collect()], dtype=np.float64).reshape(-1, dim)
+    forest = Forest.fit(unit_rows(sample), rows, cosine)
+    leaves = cut_on(stage(place(distinct, forest), "leaves"), forest)
+    run = lambda table: compare(table, cosine)
+    found = tiles(leaves, distinct).groupBy("code", "i", "j").applyInArrow(run, "rep bigint, links bigint, near bigint")
+    return stage(found, "links")
+
+
 def link_vectors(vectors: DataFrame, *, cosine: float = 0.95) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)``, a row per row of ``vectors(vec_id, embedding)``."""
     spark = vectors.sparkSession
     distinct = stage(usable(vectors), "vectors")
-    lengths = distinct.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
+    # a single vector of its length has no link but those of its copies
+    lengths = distinct.groupBy(F.size("embedding").alias("d")).count().where("count > 1").orderBy("d").collect()
     given = vectors.select(
         F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")
     )
-    if lengths:
-        dim, rows = lengths[0]
-        distinct = distinct.where(F.size("embedding") == dim)
-        share = min(1.0, SAMPLE / rows)
-        drawn = distinct.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < share * (1 << 20)).limit(2 * SAMPLE)
-        sample = np.array([r[0] for r in drawn.select("embedding").collect()], dtype=np.float64).reshape(-1, dim)
-        forest = Forest.fit(unit_rows(sample), rows, cosine)
-        leaves = cut_on(stage(place(distinct, forest), "leaves"), forest)
-        run = lambda table: compare(table, cosine)
-        found = tiles(leaves, distinct).groupBy("code", "i", "j").applyInArrow(run, "rep bigint, links bigint, near bigint")
-        found = stage(found, "links")
-    else:
-        found = spark.createDataFrame([], "rep bigint, links bigint, near bigint")
+    found = spark.createDataFrame([], "rep bigint, links bigint, near bigint, d int")
+    for dim, rows in lengths:
+        found = found.union(_links(distinct.where(F.size("embedding") == dim), dim, rows, cosine).withColumn("d", F.lit(dim)))
     edges = found.where("rep <> near").select(F.col("rep").alias("a"), F.col("near").alias("b"))
     copies = given.where("vec_id IS NOT NULL").join(distinct, "embedding").select("vec_id", "rep", "n", F.lit(1).alias("one"))
     copies = stage(copies, "copies")
     again = copies.groupBy("vec_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
     edges = edges.union(copies.join(again, "vec_id").select("vec_id", "rep"))
     roots = stage(components(edges), "roots")
-    counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    counts = found.groupBy("rep", "d").agg(F.sum("links").alias("links"))
     facts = (
-        distinct.join(counts, "rep", "left")
+        distinct.withColumn("d", F.size("embedding"))
+        .join(counts, ["rep", "d"], "left")
         .join(roots, F.col("rep") == F.col("node"), "left")
         .select("embedding", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "rep").alias("class"))
     )

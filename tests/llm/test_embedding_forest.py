@@ -50,3 +50,12 @@ def test_rows_without_id_repeated_rows_and_an_empty_table(make):
     assert got == sorted(want, key=str)
     assert embedding_forest.link_vectors(make([], schema)).count() == 0
     assert [tuple(r) for r in embedding_forest.link_vectors(make([(1, None)], schema)).collect()] == [(1, 0, 1, True)]
+
+
+def test_vectors_of_every_length_are_linked(make):
+    rows = [(i, [1.0, 0.01 * i, 0.0]) for i in range(6)]
+    rows += [(10 + i, [0.01 * i, 1.0]) for i in range(3)] + [(20, [1.0] * 5), (21, [1.0] * 5), (0, [0.0, 1.0])]
+    got = embedding_forest.link_vectors(make(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")).collect()
+    # 0 has a vector of each length, which joins their components
+    want = [(i, 5, 0, i == 0) for i in range(6)] + [(0, 3, 0, True)] + [(10 + i, 3, 0, False) for i in range(3)]
+    assert sorted(map(tuple, got)) == sorted([*want, (20, 1, 20, True), (21, 1, 20, False)])
