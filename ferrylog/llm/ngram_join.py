@@ -17,6 +17,9 @@ member. What is still open after these rounds is compared block by block in tile
 where the parity bitmaps of two sets bound their overlap from above: |A & B| <= (|A| + |B| - bits that
 differ) / 2. Pairs that pass are checked by intersecting the sorted arrays.
 
+``link_counts`` gives the number of links of each row too. It compares the members of each component once
+more, all with all, so its work grows with the square of a component's distinct sets.
+
 Results in special cases: without words (also null or empty texts) a document has an empty set and
 links with nothing; a row without doc_id gets its size, no component and no link; rows that share a
 doc_id are one node with the links of all its texts; an empty table gives no row.
@@ -41,6 +44,7 @@ from ferrylog.staging import stage
 MAX_SEEDS = 32
 LEADER_ROUNDS = 3
 OPEN_ROWS, TILE_ROWS = 256, 1024
+LINK_SETS, LINK_ITEMS = 512, 1 << 20
 MIN_BITS, MAX_BITS = 64, 1 << 14
 
 
@@ -205,7 +209,7 @@ class NgramJoin:
         return self.docs.where("doc_id IS NOT NULL").mapInArrow(deal, "key bigint, k1 bigint")
 
     def sets(self, wanted: DataFrame) -> DataFrame:
-        """Sorted arrays and bitmaps of the wanted doc_ids: ``(rep, n, bits, items)``."""
+        """Sorted arrays and bitmaps of the wanted doc_ids: ``(rep, n, k1, k2, bits, items)``."""
         size = self.rule.words
 
         def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +217,7 @@ class NgramJoin:
                 ids, found, held = batch.column("doc_id").to_pylist(), [], 0
                 for i, values in enumerate(sets_of(batch.column("text"), size)):
                     if len(values):
-                        found.append((ids[i], len(values), parity_bits(values), values.view(np.int64)))
+                        found.append((ids[i], len(values), *set_keys(values), parity_bits(values), values.view(np.int64)))
                         held += len(values)
                     if held > 1 << 20:
                         yield _batch(found)
@@ -222,14 +226,14 @@ class NgramJoin:
                     yield _batch(found)
 
         def _batch(found):
-            rep, n, bits, items = zip(*found, strict=True)
+            *numbers, bits, items = zip(*found, strict=True)
             offsets = np.cumsum([0, *map(len, items)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(items)))
-            cols = [pa.array(rep, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.binary()), lists]
-            return pa.RecordBatch.from_arrays(cols, names=["rep", "n", "bits", "items"])
+            cols = [*(pa.array(x, pa.int64()) for x in numbers), pa.array(bits, pa.binary()), lists]
+            return pa.RecordBatch.from_arrays(cols, names=["rep", "n", "k1", "k2", "bits", "items"])
 
         some = self.docs.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
-        return some.mapInArrow(arrays, "rep bigint, n bigint, bits binary, items array<bigint>")
+        return some.mapInArrow(arrays, "rep bigint, n bigint, k1 bigint, k2 bigint, bits binary, items array<bigint>")
 
     def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """``(a, b, linked)`` of candidate pairs ``(a, b)``."""
@@ -305,6 +309,10 @@ class NgramJoin:
 
     def classes(self) -> DataFrame:
         """``(doc_id, n_shingles, component_id)``, a row per row of the documents."""
+        return self.found()[0].select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+    def found(self) -> tuple[DataFrame, DataFrame]:
+        """``(doc_id, n, k1, k2, component_id)`` of each row, and the sets that share a tile with another one."""
         facts = stage(self.facts(), "facts")
         reps = facts.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "k1", "k2").agg(
             F.min("doc_id").alias("rep"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("c")
@@ -356,7 +364,84 @@ class NgramJoin:
         reps = reps.join(roots, F.col("rep") == F.col("node"), "left").select("n", "k1", "k2", root("rep").alias("class"))
         out = facts.join(reps, ["n", "k1", "k2"], "left")
         label = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))
-        return out.select("doc_id", F.col("n").alias("n_shingles"), label.alias("component_id"))
+        return out.select("doc_id", "n", "k1", "k2", label.alias("component_id")), sets
+
+
+    def linked(self) -> DataFrame:
+        """``(doc_id, n_shingles, component_id, n_links)``, a row per row of the documents.
+
+        A link lies within a component, so all members of each component are compared, in pieces of
+        bounded size that each pair meets in once. Equal sets count by their rows with a doc_id.
+        """
+        rule = self.rule
+        facts, sets = self.found()
+        named = facts.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "k1", "k2")
+        groups = named.agg(F.min("component_id").alias("label"), F.count(F.lit(1)).alias("c"))
+        known = sets.select("n", "k1", "k2").distinct()
+        groups = stage(groups.join(known.withColumn("met", F.lit(True)), ["n", "k1", "k2"], "left"), "groups")
+        sizes = groups.where("met").groupBy("label").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("items"))
+        parts = F.greatest(F.ceil(F.col("m") / LINK_SETS), F.ceil(F.col("items") / LINK_ITEMS)).cast("int")
+        sizes = stage(sizes.where("m > 1").select("label", parts.alias("parts")), "sizes")
+        mates = stage(groups.where("met").join(sizes, "label").select("n", "k1", "k2", "label", "c", "parts"), "mates")
+        dealt = (
+            sets.join(mates, ["n", "k1", "k2"])
+            .withColumn("mine", F.pmod(F.xxhash64("k1", "k2"), F.col("parts")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .select("label", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "k1", "k2", "c", "bits", "items")
+        )
+        run = lambda table: count_links(table, rule)
+        counts = dealt.groupBy("label", "i", "j").applyInArrow(run, "k1 bigint, k2 bigint, links bigint")
+        counts = stage(counts.groupBy("k1", "k2").agg(F.sum("links").alias("links")), "links")
+        total = groups.join(counts, ["k1", "k2"], "left").select("n", "k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("c") - 1).alias("links"))
+        out = facts.join(stage(total, "totals"), ["n", "k1", "k2"], "left")
+        links = F.when(F.col("doc_id").isNotNull(), F.coalesce("links", F.lit(0))).otherwise(0).cast("bigint")
+        return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", links.alias("n_links"))
+
+
+def count_links(table: pa.Table, rule: Rule) -> pa.Table:
+    """Links within a tile: ``(k1, k2, links)``; the tile is a piece of a component, or two of its pieces."""
+    names = np.stack([table.column(c).to_numpy() for c in ("k1", "k2")], axis=1)
+    # rows of one doc_id or text can be repeated
+    _, once = np.unique(names, axis=0, return_index=True)
+    table, names = table.take(pa.array(once)).combine_chunks(), names[once]
+    c, mine = (table.column(x).to_numpy() for x in ("c", "mine"))
+    across = table.column("i")[0].as_py() != table.column("j")[0].as_py()
+    items = table.column("items").combine_chunks()
+    offsets, values = items.offsets.to_numpy(), items.values.to_numpy(zero_copy_only=False)
+    n = np.diff(offsets).astype(np.int64)
+    sets = [values[a:b].view(np.uint64) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    bits = [np.frombuffer(x, dtype=np.uint8) for x in table.column("bits").to_pylist()]
+    size = min(map(len, bits), default=0)
+    bits = np.stack([folded(b, size) for b in bits])
+    kinds, place = np.unique(values[offsets[0] : offsets[-1]], return_inverse=True)
+    starts, held = (offsets[:-1] - offsets[0]).astype(np.int64), np.zeros(len(kinds), dtype=np.int32)
+    links = np.zeros(len(c), dtype=np.int64)
+    for a in range(len(c)):
+        js = np.arange(a + 1, len(c))
+        if across:
+            js = js[mine[js] != mine[a]]
+        bound = overlap_bound(n[a], n[js], bits[a], bits[js])
+        js = js[rule.den * bound >= rule.num * (n[a] + n[js] - bound)]
+        if len(js) > 16:  # against all sets behind it at once
+            own = place[starts[a] : starts[a] + n[a]]
+            held[own] = 1
+            both = np.add.reduceat(held[place[starts[js[0]] :]], starts[js[0] :] - starts[js[0]])
+            # no set is empty, so each has a sum of its own
+            both = both[js - js[0]].astype(np.int64)
+            held[own] = 0
+        else:
+            both = np.array([common(sets[a], sets[j]) for j in js], dtype=np.int64)
+        js = js[rule.den * both >= rule.num * (n[a] + n[js] - both)]
+        links[a] += c[js].sum()
+        links[js] += c[a]
+    some = np.flatnonzero(links)
+    cols = [pa.array(names[some, 0]), pa.array(names[some, 1]), pa.array(links[some])]
+    return pa.Table.from_arrays(cols, names=["k1", "k2", "links"])
+
+
+def link_counts(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, n_links)``: ``link_classes`` and the number of links of each row."""
+    return NgramJoin(docs, rule or Rule()).linked()
 
 
 def link_classes(docs: DataFrame, rule: Rule | None = None) -> DataFrame:

@@ -27,8 +27,8 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
-    """Four-word shingles that overlap to 85 in 100."""
-    return ngram_join.link_classes(table(spark, folder, "documents"), ngram_join.Rule(words=4, num=85, den=100))
+    """Four-word shingles that overlap to 85 in 100; classes and numbers of links."""
+    return ngram_join.link_counts(table(spark, folder, "documents"), ngram_join.Rule(words=4, num=85, den=100))
 
 
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:

@@ -95,3 +95,23 @@ def test_sets_with_empty_blocks_meet_all_the_same(monkeypatch):
         b = a[1:]
         if rule.links(len(b), len(a), len(b)):
             assert set(block_keys(a, rule).tolist()) & set(block_keys(b, rule).tolist())
+
+
+@pytest.mark.parametrize("size", [512, 8])
+def test_numbers_of_links_are_those_of_all_pairs(docs, monkeypatch, size):
+    monkeypatch.setattr(ngram_join, "LINK_SETS", size)
+    rule, rows = Rule(4, 85, 100), variants(7) + EDGES + [(9100, "A b")]
+    sets = {i: {tuple(w[j : j + 4]) for j in range(len(w) - 3)} or {tuple(w)} - {()} for i, t in rows for w in [plain_words(t)]}
+    near = lambda a, b: a and b and 100 * len(a & b) >= 85 * len(a | b)
+    want = {(i, sum(j != i and bool(near(s, sets[j])) for j in sets)) for i, s in sets.items()}
+    got = ngram_join.link_counts(docs(rows), rule).collect()
+    assert {(r.doc_id, r.n_links) for r in got} == want and len(got) == len(rows)
+    assert {tuple(r)[:3] for r in got} == brute(rows, rule)
+
+
+def test_numbers_of_links_of_repeated_rows_and_rows_without_id(docs):
+    text = " ".join(f"w{i}" for i in range(100))
+    frame = docs([(7, text), (7, text), (4, text + " end"), (None, text), (9, "else"), (9, text), (1, None)])
+    got = sorted(((r.doc_id, r.n_shingles, r.n_links) for r in ngram_join.link_counts(frame).collect()), key=str)
+    want = [(7, 96, 3), (7, 96, 3), (4, 97, 3), (None, 96, 0), (9, 1, 0), (9, 96, 3), (1, 0, 0)]
+    assert got == sorted(want, key=str)
