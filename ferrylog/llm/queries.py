@@ -7,7 +7,21 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrylog.llm import embedding_forest, exact, langid, mixing, ngram_join, ordinal_quality, piece_codec, pseudonyms, token_counts, toxicity
+from ferrylog.llm import (
+    embedding_forest,
+    exact,
+    hard_negatives,
+    langid,
+    mixing,
+    ngram_join,
+    ordinal_quality,
+    piece_codec,
+    pseudonyms,
+    tag_paths,
+    token_counts,
+    toxicity,
+    whitening,
+)
 from ferrylog.staging import new_folder
 
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
@@ -75,6 +89,22 @@ def op10_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
     return piece_codec.encode(table(spark, folder, "documents"), model, as_trained=True).drop("ids")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Anchors are the vectors whose id is divisible by 50; ids divisible by 7 carry a wrong label, as noise."""
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").withColumn("label", noisy)
+    rows = hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+    return rows.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op13_tag_paths(spark: SparkSession, folder: str) -> DataFrame:
+    return tag_paths.extract(table(spark, folder, "pages"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_join": op2_ngram_join,
@@ -86,6 +116,9 @@ QUERIES = {
     "op8_ordinal_quality": op8_ordinal_quality,
     "op9_mix_sources": op9_mix_sources,
     "op10_piece_codec": op10_piece_codec,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_whitening": op12_whitening,
+    "op13_tag_paths": op13_tag_paths,
 }
 
 EXACT_SQL = r"""
@@ -134,7 +167,34 @@ WITH sized AS (
 )
 """
 
+# every anchor against every row
+MINE_SQL = """
+WITH rows AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: coalesce(isfinite(c), false))) = len(embedding)
+), scored AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.r <> b.r AND len(a.x) = len(b.x)
+), positives AS (
+  SELECT anchor, anchor_id, r AS positive, vec_id AS positive_id, score AS positive_score
+  FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST) <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.vec_id NULLS LAST) AS place
+  FROM positives p JOIN scored s ON s.anchor = p.anchor AND NOT s.same
+   AND 100 * s.score BETWEEN 50 * p.positive_score AND 95 * p.positive_score
+)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE place <= 3
+"""
+
 ORACLE = {
+    "op11_hard_negatives": MINE_SQL,
     "op4_exact_dedup": EXACT_SQL.format(docs="documents"),
     "op9_mix_sources": MIX_SQL.format(docs="documents")
     + "SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM counted",

@@ -1,0 +1,100 @@
+import html
+import re
+
+import pytest
+from conftest import DATA
+
+from ferrylog.llm import queries, tag_paths
+
+SCHEMA = "page_id BIGINT, url STRING, html STRING, `path` STRING, digest INT"
+
+
+def run(make, *pages):
+    rows = [(i, f"http://Site{i % 3}.example/{i}", p, "x", 1) for i, p in enumerate(pages)]
+    got = {r.page_id: r for r in tag_paths.extract(make(rows, SCHEMA)).collect()}
+    assert all(got[i].n_chars == len(got[i].text) for i in got)
+    return [got[i].text for i in range(len(pages))]
+
+
+def plain_article(page):
+    """The article of the test tables' pages by patterns."""
+    found = re.search(r"<article>(.*)</article>", page, re.S)[1]
+    spaced = re.sub(r"</?(?:p|h\d|div|ul|li|br)\b[^>]*>", " ", found)
+    return " ".join(html.unescape(re.sub(r"<[^>]*>", "", spaced)).split())
+
+
+def test_articles_of_the_pages_table(spark):
+    folder = str(DATA / "sf0.01")
+    want = {(r.page_id, r.url, plain_article(r.html)) for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    assert {(r.page_id, r.url, r.text) for r in queries.op13_tag_paths(spark, folder).collect()} == want
+
+
+TEXT = "Some longer sentence, with a few words in it. And another one follows, as texts go."
+
+
+def test_content_without_article_marks(make):
+    """No element tells what it is: the ratios of the paths do."""
+    links = "".join(f'<li><a href="/{i}">Part {i}</a></li>' for i in range(9))
+    page = f"<body><div><ul>{links}</ul></div><div><div><h2>Title here</h2>" + f"<p>{TEXT}</p>" * 6 + "</div></div><div>Copyright now</div></body>"
+    assert run(make, page) == [" ".join(["Title here"] + [TEXT] * 6)]
+
+
+def test_what_says_it_is_no_content(make):
+    page = f"""<html><head><title>T</title><style>p {{}}</style></head><body class="has-sidebar"><header>Top</header><nav>Menu</nav>
+    <div id="cookie-notice">We use cookies.</div><main><header><h1>Head</h1></header><p>{TEXT}</p><script>var a = "</p>";</script>
+    <aside>Also</aside><form>Name <input name=x> <button>Go</button></form><div class='social-share'>Tell</div><p>End &amp; out&hellip;</p>
+    <section class="comments"><article><p>First! {TEXT}</p></article></section></main><div class="SideBar">Side</div><div role="banner">B</div>
+    <p>Below the main part.</p><footer>Foot</footer></body></html>"""
+    assert run(make, page) == [f"Head {TEXT} End & out…"]
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (None, ""),
+        ("", ""),
+        ("only words", "only words"),
+        ("<p>one<p>two<br>lines <b>bo</b>ld\n\t x&nbsp;y</p>tail", "one two lines bold x y tail"),
+        ("<ul><li>a<ul><li>b</ul><li>c</ul>", "a b c"),
+        ("<table><tr><td>a<td>b<tr><td>c</table>", "a b c"),
+        ("a < b and c <3 d <", "a < b and c <3 d <"),
+        ("<p title='a > b'>x</p><p title=\"<\">y", "x y"),
+        ("<p>a<!-- no --><![CDATA[x]]><!DOCTYPE y>b</p></i></p>", "ab"),
+        ("<p>a<!-- never closed <p>b", "a"),
+        ("<p>a<script>never closed <p>b", "a"),
+        ("<div", ""),
+        ("<article></article><p>x</p>", "x"),
+        ("&lt;b&gt; &#8364; &unknown; &#xD800;", "<b> € &unknown; �"),
+        ("<P CLASS=Ad>no</P><P>yes</P>", "yes"),
+    ],
+)
+def test_pages_of_all_kinds(page, want):
+    """The reader alone: blocks in page order."""
+    assert " ".join(text for _, text, _ in tag_paths.blocks(page or "")) == want
+
+
+def test_long_pages_stay_linear(make):
+    deep = "<div>" * 30_000 + TEXT + "</div>" * 30_000
+    wide = f"<article>{'<p>' + TEXT}</article>" * 20_000
+    odd = "<a \"<a '<a " * 50_000 + ">end"
+    got = run(make, deep, wide, odd, "<!--" * 200_000, "<" * 300_000, "</p>" * 300_000)
+    assert got[0] == TEXT and got[1] == " ".join([TEXT] * 20_000)
+    assert got[3] == "" and got[4] == "<" * 300_000 and got[5] == ""
+
+
+def test_repeated_rows_missing_ids_and_an_empty_table(make):
+    page = f"<div><p>{TEXT}</p></div>"
+    rows = [(1, "http://a.example", page, "p", 1)] * 2 + [(None, None, page, None, None), (None, "not a url", None, "p", 2)]
+    got = sorted((tuple(r) for r in tag_paths.extract(make(rows, SCHEMA)).collect()), key=str)
+    n = len(TEXT)
+    assert got == sorted([(1, "http://a.example", TEXT, n)] * 2 + [(None, None, TEXT, n), (None, "not a url", "", 0)], key=str)
+    assert tag_paths.extract(make([], SCHEMA)).count() == 0
+
+
+def test_paths_of_a_site_are_judged_together(spark, make):
+    """A page whose one paragraph is short is judged by what its path holds elsewhere on the site."""
+    side = "<div><span>Buy one of these fine things, they are cheap.</span></div>"
+    body = lambda text: f"<body>{side}<section>{text}</section></body>"
+    pages = [(i, "http://s.example/x", body(f"<p>{TEXT}</p>" * 5)) for i in range(20)] + [(99, "http://s.example/y", body("<p>Short.</p>"))]
+    got = {r.page_id: r.text for r in tag_paths.extract(make(pages, "page_id BIGINT, url STRING, html STRING")).collect()}
+    assert got[99].endswith("Short.") and got[0].endswith(TEXT)
