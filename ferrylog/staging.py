@@ -15,11 +15,17 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Size up to which a staged list is broadcast by ``small``; a cluster with little memory lowers it.
+LIST_BYTES = 64 << 20
 
 _local_roots: dict[str, str] = {}
-_scopes: list[list[str]] = []
+# open scopes of this thread: micro-batches run in threads of their own, beside other queries
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -47,8 +53,7 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 def drop_staged(spark: SparkSession) -> bool:
     """Delete what this application has staged, once none of its results is needed any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(app_folder(spark))
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return delete(spark, app_folder(spark))
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -71,16 +76,35 @@ def state_of(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]
     return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in files.listStatus(file)))
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return the table that reads it back."""
+def stage(df: DataFrame, label: str, *, outlives: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and return the table that reads it back.
+
+    Inside ``scratch`` it is deleted at the end, or, with ``outlives``, with the scope around that one.
+    """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    if _scopes:
-        _scopes[-1].append(path)
+    scopes = _scopes.get()[:-1] if outlives else _scopes.get()
+    if scopes:
+        scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> bool:
+    """Delete a folder that is no longer needed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def small(staged: DataFrame, limit: int = LIST_BYTES) -> DataFrame:
+    """A staged table marked for broadcast if its files are within ``limit``, and as it is beyond.
+
+    For short lists that long rows are filtered by: the rows stay where they are, whatever the threshold of
+    automatic broadcasts, and a list that has grown too long is met by a shuffle.
+    """
+    return F.broadcast(staged) if staged_bytes(staged) <= limit else staged
+
+
 def staged_bytes(df: DataFrame) -> int:
     """Size of the files behind a staged table, as the optimizer sees it."""
     return int(df._jdf.queryExecution().analyzed().stats().sizeInBytes())
@@ -88,11 +112,12 @@ def staged_bytes(df: DataFrame) -> int:
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """What is staged inside is deleted at the end; for work whose results are written inside too, such as a micro-batch."""
-    _scopes.append([])
+    """What this thread stages inside is deleted at the end; for work whose results are written inside too, such as a micro-batch."""
+    mine: list[str] = []
+    before = _scopes.set((*_scopes.get(), mine))
     try:
         yield
     finally:
-        for path in _scopes.pop():
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _scopes.reset(before)
+        for path in mine:
+            delete(spark, path)
