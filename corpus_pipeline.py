@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ferrylog.llm import exact, langid, mixing, ngram_join, piece_codec
-from ferrylog.staging import stage
+from ferrylog.staging import delete, new_folder, scratch
 
-TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
+TOKENIZERS = os.environ.get("TOKENIZER_FOLDER") or os.path.dirname(public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +39,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``(doc_id, n_pieces, ids, ids_sha256, round_trip)`` of every document of the mix."""
-    return piece_codec.encode(docs, piece_codec.read_model(f"{TOKENIZERS}/piece_bpe_32k.model"))
+    """``(doc_id, n_pieces, ids, ids_sha256, round_trip)`` of every document of the mix, the ids as the model's own tokenizer gives them."""
+    return piece_codec.encode(docs, piece_codec.read_model(f"{TOKENIZERS}/piece_bpe_32k.model"), as_trained=True)
 
 
 STAGES = [
@@ -54,8 +55,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    """All stages over ``documents``, each written to the shared folder and read again.
+
+    What a stage stages on its way is deleted when its result is written, and so is the result of the stage
+    before it: at any time two results are there at most.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"), None
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name.split()[0].lower())
+        path = new_folder(spark, name.split()[0].lower())
+        with scratch(spark):
+            rows = function(spark, docs, sf_dir)
+            rows.write.parquet(path)
+        docs = spark.read.schema(rows.schema).parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs
