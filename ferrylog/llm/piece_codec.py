@@ -1,17 +1,23 @@
 """SentencePiece encoding and decoding: an Aho-Corasick automaton drives a single-pass Viterbi search.
 
 The automaton of all pieces reads a text once. At each character its output links name every piece that
-ends there; each relaxes the best score at its end from the best score at its start. The segmentation
-with the highest sum of piece scores wins, the semantics of unigram models. A character that no piece
-covers costs ``lowest score - 10`` and is written as its UTF-8 bytes (or as the unknown piece, if the
-model has no bytes). Of segmentations with equal sums the one whose last piece is longest wins, then
-the same rule before it.
-
-The scores of a model trained by pair merging are the places of its merges and mean nothing as a sum.
-``encode(.., as_trained=True)`` replays the merges of such a model (``MergeCodec``), which gives the ids
-of its own tokenizer; unigram models are searched as above.
-
-White space is escaped and a dummy prefix added as the model's settings say. Pieces hold the escape
+ends there; each relaxes what is known at its end from what is known at its start. There is one pass and two
+rules of relaxing:
+
+- ``Codec`` maximises the sum of piece scores, the semantics of unigram models. A character that no piece
+  covers costs ``lowest score - 10``. Of segmentations with equal sums the one whose last piece is longest
+  wins, then the same rule before it.
+- ``MergeCodec`` takes the pieces that merging neighbours in order of score leaves, the semantics of models
+  trained by pair merging, where scores are the places of merges and mean nothing as a sum. Whether two
+  neighbouring pieces stay apart is decided by the two alone. So at each end one piece is kept: the longest
+  one that stays apart from the piece kept at its start. Tracing back gives the ids of the model's own
+  tokenizer.
+
+A character that no piece covers is written as its UTF-8 bytes (or as the unknown piece, if the model has no
+bytes). ``encode(.., as_trained=True)`` takes the rule that the model was trained for.
+
+White space is escaped and a dummy prefix added as the model's settings say; models that map characters
+are given their library's normalised text. Pieces hold the escape
 mark at their beginning only, so the search can be cut before each run of marks without losing a
 segmentation; equal stretches are searched once per worker and kept in a table of bounded size. If a
 model has other pieces, texts are searched in one go.
@@ -24,7 +30,6 @@ mark; ids outside the model raise ValueError; an empty table gives no row. Texts
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -42,7 +47,7 @@ UNKNOWN_PENALTY = 10.0
 MERGES = 2  # the model type of pair merging
 UNKNOWN_SURFACE = " ⁇ "
 KEPT_STRETCHES = 200_000
-SHORT = 64
+KEPT_PAIRS = 1_000_000
 
 
 class Codec:
@@ -54,8 +59,11 @@ class Codec:
         proto = sentencepiece_model_pb2.ModelProto()
         proto.ParseFromString(model)
         spec = proto.normalizer_spec
+        self.library = None
         if spec.precompiled_charsmap:
-            raise ValueError("models that map characters are not supported")
+            from sentencepiece import SentencePieceProcessor
+
+            self.library = SentencePieceProcessor(model_proto=model)
         self.prefix, self.squeeze, self.escape = (
             spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces
         )
@@ -80,6 +88,8 @@ class Codec:
 
     def normalised(self, text: str) -> str:
         """The text as the pieces spell it."""
+        if self.library is not None:
+            return self.library.Normalize(text)
         if self.squeeze:
             text = re.sub(" +", " ", text.strip(" "))
         if text and self.prefix:
@@ -162,26 +172,30 @@ class MergeCodec(Codec):
 
     def __init__(self, model: bytes):
         super().__init__(model)
-        # a piece that is listed twice counts by its last place, as in the automaton
+        # a piece that is listed twice counts by its last place
         self.known = {p: (s, i, kind) for i, (p, s, kind) in enumerate(self.pieces) if kind in (NORMAL, USER, UNUSED)}
         # pieces of users are found first and are not merged with others
         users = sorted((p for p, (_, _, kind) in self.known.items() if kind == USER), key=len, reverse=True)
-        self.symbols = re.compile("(?s)" + "|".join([*map(re.escape, users), "."])).findall
-        self.users = frozenset(users)
-        self.plain = all(kind == NORMAL for _, _, kind in self.known.values())
-        if not self.plain:
+        self.users = re.compile("|".join(map(re.escape, users))) if users else None
+        merged = {p: (-s, i, kind) for p, (s, i, kind) in self.known.items() if kind != USER}
+        self.turns = {p: turn for p, (turn, _, _) in merged.items()}
+        self.unused = {i for _, i, kind in merged.values() if kind == UNUSED}
+        if len(merged) < len(self.known) or self.unused:
             self.cut = re.compile("(?s).+").findall
-        self.turns = {p: -s for p, (s, _, _) in self.known.items()}
-        self.ids = {p: i for p, (_, i, _) in self.known.items()}
+        self.names = {i: p for p, (_, i, _) in merged.items()}
+        self.single = {p: i for p, (_, i, _) in merged.items() if len(p) == 1}
+        self.automaton = ahocorasick.Automaton()
+        for piece, (_, i, _) in merged.items():
+            self.automaton.add_word(piece, (len(piece), i))
+        self.automaton.make_automaton()
+        self.pairs: dict[int, bool] = {}
+        self.width = len(self.pieces) + 1
 
-    def search(self, stretch: str) -> list[int]:
-        """The segmentation that the merges leave, as ids; of pairs with equal scores the first one goes first."""
-        if not self.plain or len(stretch) > SHORT:
-            return self._search_queue(stretch)
-        # a word's few pairs are looked through at each merge
-        parts, turn, never = list(stretch), self.turns.get, np.inf
+    def merged(self, text: str, until: int = 1) -> list[str]:
+        """What merging leaves of a short text, by looking through all pairs; stops at ``until`` parts."""
+        parts, turn, never = list(text), self.turns.get, np.inf
         turns = [turn(a + b, never) for a, b in pairwise(parts)]
-        while turns:
+        while len(parts) > until:
             first = min(turns)
             if first == never:
                 break
@@ -192,52 +206,84 @@ class MergeCodec(Codec):
                 turns[at - 1] = turn(parts[at - 1] + parts[at], never)
             if at < len(turns):
                 turns[at] = turn(parts[at] + parts[at + 1], never)
-        try:
-            return [self.ids[p] for p in parts]
-        except KeyError:
-            return self._named(parts, {})
-
-    def _search_queue(self, stretch: str) -> list[int]:
-        """``search`` with a queue of pairs, for stretches of any length."""
-        parts, known, users = self.symbols(stretch), self.known, self.users
-        n = len(parts)
-        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        open_pairs: list[tuple[float, int, int, str]] = []
-        made: dict[str, tuple[str, str]] = {}
-
-        def meet(left: int, right: int) -> None:
-            if left < 0 or right >= n or parts[left] in users or parts[right] in users:
-                return
-            both = parts[left] + parts[right]
-            hit = known.get(both)
-            if hit is not None:
-                heapq.heappush(open_pairs, (-hit[0], left, right, both))
-                if hit[2] == UNUSED:
-                    made[both] = (parts[left], parts[right])
-
-        for i in range(n - 1):
-            meet(i, i + 1)
-        while open_pairs:
-            _, left, right, both = heapq.heappop(open_pairs)
-            if not parts[left] or not parts[right] or len(parts[left]) + len(parts[right]) != len(both):
+        return parts
+
+    def apart(self, before: int, piece: int, spelled: str) -> bool:
+        """Whether a piece is left as it is beside the one before it, whose spelling ``spelled`` is."""
+        key = before * self.width + piece
+        known = self.pairs.get(key) if before >= 0 else None
+        if known is None:
+            known = self.merged(spelled + self.names[piece]) == [spelled, self.names[piece]]
+            if before >= 0:
+                if len(self.pairs) >= KEPT_PAIRS:
+                    self.pairs.clear()
+                self.pairs[key] = known
+        return known
+
+    def alone(self, piece: int) -> bool:
+        """Whether merging the characters of a piece gives the piece."""
+        known = self.pairs.get(-piece - 1)
+        if known is None:
+            known = self.pairs[-piece - 1] = self.merged(self.names[piece]) == [self.names[piece]]
+        return known
+
+    def search(self, stretch: str) -> list[int]:
+        """The segmentation that the merges leave, as ids; of pairs with equal scores the first one goes first."""
+        if self.users is None:
+            return self._pass(stretch)
+        ids, at = [], 0
+        for found in self.users.finditer(stretch):
+            ids += self._pass(stretch[at : found.start()]) + [self.known[found[0]][1]]
+            at = found.end()
+        return ids + self._pass(stretch[at:])
+
+    def _pass(self, stretch: str) -> list[int]:
+        n, single, apart, pairs, width = len(stretch), self.single, self.apart, self.pairs, self.width
+        # the piece kept at each end, -1 for a character without one, and where it starts
+        kept, start = [-2] * (n + 1), [0] * (n + 1)
+        filled = 0
+        for end, (length, piece) in self.automaton.iter(stretch):
+            end += 1
+            while filled < end - 1:  # characters at whose ends no piece was kept stand for themselves
+                filled += 1
+                if kept[filled] == -2:
+                    kept[filled], start[filled] = single.get(stretch[filled - 1], -1), filled - 1
+            if kept[end] != -2:  # output links go from long to short
                 continue
-            parts[left], parts[right] = both, ""
-            after[left] = after[right]
-            if after[left] < n:
-                before[after[left]] = left
-            meet(before[left], left)
-            meet(left, after[left])
-        return self._named(parts, made)
-
-    def _named(self, parts: list[str], made: dict[str, tuple[str, str]]) -> list[int]:
-        """Ids of parts; unused pieces are taken apart into what they were ``made`` of."""
+            at = end - length
+            if at:
+                before = kept[at]
+                fits = pairs.get(before * width + piece) if before >= 0 else None
+                if fits is None:
+                    fits = apart(before, piece, stretch[start[at] : at])
+            else:
+                fits = self.alone(piece)
+            if fits:
+                kept[end], start[end] = piece, at
+        while filled < n:
+            filled += 1
+            if kept[filled] == -2:
+                kept[filled], start[filled] = single.get(stretch[filled - 1], -1), filled - 1
+        ids, at = [], n
+        while at:
+            piece, begin = kept[at], start[at]
+            if piece >= 0 and piece not in self.unused:
+                ids.append(piece)
+            else:
+                ids.extend(reversed(self._named(stretch[begin:at])))
+            at = begin
+        ids.reverse()
+        return ids
+
+    def _named(self, part: str) -> list[int]:
+        """Ids of an unused piece, taken apart into what it was made of, or of a character without a piece."""
         ids: list[int] = []
-        todo = [p for p in reversed(parts) if p]
+        todo = [part]
         while todo:
             part = todo.pop()
             hit = self.known.get(part)
-            if hit is not None and hit[2] == UNUSED and part in made:
-                todo += reversed(made[part])
+            if hit is not None and hit[2] == UNUSED and len(part) > 1:
+                todo += reversed(self.merged(part, until=2))
             elif hit is not None:
                 ids.append(hit[1])
             elif self.bytes:

@@ -126,3 +126,44 @@ def test_merges_with_pieces_of_users_and_unused_ones(model, drop_bytes):
     library, own = sentencepiece.SentencePieceProcessor(model_proto=changed), piece_codec.codec(changed, True)
     for text in ("the thing sings other", "heathen", "ingest 😀😀 ſ he", "\U0001f9ff\U0001f9ff ok"):
         assert own.encode(text) == library.encode(text)
+
+
+def replay(own, text):
+    """Merging step by step over the whole stretch, the rule itself."""
+    return [i for part in own.merged(text) for i in own._named(part)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(st.text(max_size=60), st.text(alphabet="▁theingsandrou", max_size=60), st.text(alphabet="ab", max_size=60)))
+def test_the_pass_over_the_automaton_gives_what_merging_leaves(model, text):
+    own = piece_codec.codec(model, True)
+    assert own.search(text) == replay(own, text)
+
+
+def test_merges_on_whole_documents(model, spark):
+    """Every document of the small table, and every stretch of it, by the automaton and by the library."""
+    import sentencepiece
+    from conftest import DATA
+
+    library, own = sentencepiece.SentencePieceProcessor(model_proto=model), piece_codec.MergeCodec(model)
+    texts = [r.text for r in spark.read.parquet(str(DATA / "sf0.01" / "documents.parquet")).collect()]
+    for text in texts:
+        assert own.encode(text) == library.encode(text or "")
+    stretches = {x for text in texts for x in own.cut(own.normalised(text or ""))}
+    assert all(own.search(x) == replay(own, x) for x in stretches if len(x) <= 60)
+
+
+@pytest.mark.parametrize("kind", [1, 2])
+def test_models_that_map_characters(model, unigram, kind):
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto, rules = sentencepiece_model_pb2.ModelProto(), sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(unigram if kind == 1 else model)
+    rules.ParseFromString(sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_model_proto())
+    proto.normalizer_spec.precompiled_charsmap = rules.normalizer_spec.precompiled_charsmap
+    changed = proto.SerializeToString()
+    library = sentencepiece.SentencePieceProcessor(model_proto=changed)
+    own = piece_codec.codec(changed, True)
+    for text in ("plain words", "ﬁne Ⅷ ｆｕｌｌ", " two  spaces ", "tab\there", "№ 5 ½", ""):
+        assert own.encode(text) == library.encode(text)
