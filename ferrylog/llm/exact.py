@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrylog.llm.ranking import number_sorted
-from ferrylog.staging import stage
+from ferrylog.staging import scratch, small, stage
 
 SPACE = r"[\x20\x09-\x0D]+"
 BLOCK_CHARS = 1024
@@ -127,12 +127,14 @@ def keep_distinct(docs: DataFrame, *, chars: int = BLOCK_CHARS) -> DataFrame:
 
     Rows are found again by doc_id, text and length, as a doc_id may have several texts.
     """
-    dropped = dedup(docs, chars=chars).where("NOT kept")
-    dropped = dropped.select(F.col("doc_id").alias("__d"), F.col("text_sha256").alias("__h"), F.col("n_chars").alias("__n"))
+    with scratch(docs.sparkSession):
+        dropped = dedup(docs, chars=chars).where("NOT kept")
+        dropped = dropped.select(F.col("doc_id").alias("__d"), F.unhex("text_sha256").alias("__h"), F.col("n_chars").alias("__n"))
+        dropped = stage(dropped.distinct(), "dropped", outlives=True)
     text = F.col("text")
     same = (
         F.col("doc_id").eqNullSafe(F.col("__d"))
-        & (F.sha2(normalised(text), 256) == F.col("__h"))
+        & (F.unhex(F.sha2(normalised(text), 256)) == F.col("__h"))
         & (F.char_length(F.coalesce(text, F.lit(""))) == F.col("__n"))
     )
-    return docs.join(stage(dropped.distinct(), "dropped"), same, "left_anti")
+    return docs.join(small(dropped), same, "left_anti")

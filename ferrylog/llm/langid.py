@@ -3,8 +3,8 @@
 A text's vector is the mean of the embeddings of its subwords: the 3- and 4-byte pieces inside words,
 with the white space around them, hashed into a fixed table. A linear softmax on the mean gives the
 languages. Embeddings and softmax are trained together by stochastic gradient descent in numpy on the
-driver, on a bounded sample of labelled rows (``PER_LANG`` rows or so of each of the ``MAX_LANGS`` most
-frequent languages). Pieces that the sample does not have keep a zero embedding and vote for nobody.
+driver, on a bounded sample of labelled rows: ``PER_LANG`` rows or so of each language, fewer of each where
+there are so many languages that ``SAMPLE_ROWS`` would be passed. Pieces that the sample does not have keep a zero embedding and vote for nobody.
 
 Rejection is calibrated on rows of the sample that the training does not see: a temperature is fitted
 to their likelihood, and the threshold is the score that all but ``REJECT`` of them reach. The share of
@@ -34,7 +34,7 @@ from ferrylog.llm.words import slices
 BUCKETS = 1 << 18
 DIM = 16
 PER_LANG = 1000
-MAX_LANGS = 200
+SAMPLE_ROWS = 200_000
 EPOCHS = 4
 RATE = 0.5
 REJECT = 0.001
@@ -162,13 +162,14 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame) -> Model | None:
     """Train on a bounded sample of the labelled rows that are not held out."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    counts = labelled.groupBy("lang").count().orderBy("lang").collect()
     if not counts:
         return None
+    each = max(1, min(PER_LANG, SAMPLE_ROWS // len(counts)))
     space = 1 << 20
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r[0], min(space, -(-PER_LANG * space // r[1])))])
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r[0], min(space, -(-each * space // r[1])))])
     drawn = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(space)) < share[F.col("lang")])
-    rows = drawn.select("text", "lang").limit(2 * PER_LANG * len(counts)).collect()
+    rows = drawn.select("text", "lang").limit(2 * each * len(counts)).collect()
     return train([r[0] for r in rows], [r[1] for r in rows])
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrylog.llm.ranking import number_sorted
-from ferrylog.staging import stage
+from ferrylog.staging import scratch, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -101,19 +101,21 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MAX_COPIE
     be told apart there; they divide the copies of the group evenly, the first ones taking the rest.
     """
     keys = ["__doc", "__source", "__size"]
-    groups = (
-        shares(docs, weights, most, seed)
-        .groupBy(F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("size").alias("__z"))
-        .agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
-        .where("__copies > 0")
-    )
+    with scratch(docs.sparkSession):
+        groups = (
+            shares(docs, weights, most, seed)
+            .groupBy(F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("size").alias("__z"))
+            .agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
+            .where("__copies > 0")
+        )
+        groups = stage(groups, "copies", outlives=True)
     keyed = docs.withColumns({"__doc": F.col("doc_id"), "__source": F.col("source"), "__size": size_of_text(F.col("text"))})
     same = (
         F.col("__doc").eqNullSafe(F.col("__d"))
         & F.col("__source").eqNullSafe(F.col("__s"))
         & (F.col("__size") == F.col("__z"))
     )
-    joined = keyed.join(stage(groups, "copies"), same)
+    joined = keyed.join(groups, same)
     alone = joined.where("__rows = 1")
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy("__doc"))
     even = F.floor(F.col("__copies") / F.col("__rows")) + (nth <= F.col("__copies") % F.col("__rows")).cast("bigint")

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ferrylog.llm.components import components
 from ferrylog.llm.words import Words, mix, shingles, slices
-from ferrylog.staging import stage
+from ferrylog.staging import scratch, small, stage
 
 MAX_SEEDS = 32
 LEADER_ROUNDS = 3
@@ -232,7 +232,9 @@ class NgramJoin:
             cols = [*(pa.array(x, pa.int64()) for x in numbers), pa.array(bits, pa.binary()), lists]
             return pa.RecordBatch.from_arrays(cols, names=["rep", "n", "k1", "k2", "bits", "items"])
 
-        some = self.docs.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
+        # a short list, so that the texts need not be shuffled to meet it
+        wanted = small(stage(wanted.withColumnRenamed("rep", "doc_id"), "wanted"))
+        some = self.docs.join(wanted, "doc_id", "left_semi")
         return some.mapInArrow(arrays, "rep bigint, n bigint, k1 bigint, k2 bigint, bits binary, items array<bigint>")
 
     def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -451,5 +453,7 @@ def link_classes(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
 
 def keep_one(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     """``docs`` with one row of each class, the one with the smallest doc_id; all columns."""
-    gone = link_classes(docs, rule).where("component_id <> doc_id").select(F.col("doc_id").alias("__d")).distinct()
-    return docs.join(stage(gone, "dropped"), F.col("doc_id") == F.col("__d"), "left_anti")
+    with scratch(docs.sparkSession):
+        gone = link_classes(docs, rule).where("component_id <> doc_id").select(F.col("doc_id").alias("__d")).distinct()
+        gone = stage(gone, "dropped", outlives=True)
+    return docs.join(small(gone), F.col("doc_id") == F.col("__d"), "left_anti")

@@ -3,11 +3,12 @@
 from collections import Counter
 
 from conftest import DATA
+from sentencepiece import SentencePieceProcessor
 
 import corpus_pipeline
-from ferrylog.llm import langid, mixing, piece_codec
+from ferrylog.llm import langid, mixing
 from ferrylog.llm.ngram_join import Rule
-from ferrylog.staging import stage
+from ferrylog.staging import app_folder, children, stage
 
 from .test_exact import brute as exact_brute
 from .test_ngram_join import brute as ngram_brute
@@ -32,10 +33,14 @@ def test_stages_on_the_documents_table(spark):
     assert {r.doc_id for r in left.collect()} == kept
 
     copies = Counter({r.doc_id: r.copies for r in mixing.shares(left).collect()})
-    codec = piece_codec.Codec(piece_codec.read_model(f"{corpus_pipeline.TOKENIZERS}/piece_bpe_32k.model"))
+    library = SentencePieceProcessor(model_file=f"{corpus_pipeline.TOKENIZERS}/piece_bpe_32k.model")
+    before = set(children(spark, app_folder(spark)))
     got = corpus_pipeline.run(spark, folder).collect()
     assert Counter(r.doc_id for r in got) == +copies
-    assert all(list(r.ids) == codec.encode(texts[r.doc_id]) and r.round_trip for r in got[:40])
+    ids = {i: library.encode(texts[i]) for i in {r.doc_id for r in got}}
+    assert all(list(r.ids) == ids[r.doc_id] and r.round_trip for r in got)
+    # what is left in the shared folder is the result alone
+    assert len(set(children(spark, app_folder(spark))) - before) == 1
 
 
 def test_rows_of_all_kinds(spark, make):
