@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from ferrylog.llm import (
 )
 from ferrylog.staging import new_folder
 
-TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
+TOKENIZERS = os.environ.get("TOKENIZER_FOLDER") or os.path.dirname(public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,12 +33,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
-    """Toxic at all, then in English, then in another language, where the offensive words are others."""
+    """Toxic in English, then in another language, where the offensive words are others, and from both: toxic at all."""
     toxic, english = F.col("toxic") == 1, F.coalesce(F.col("lang") == "en", F.lit(False))
-    categories = {"toxic": toxic, "toxic_en": toxic & english, "toxic_other": toxic & ~english}
+    categories = {"toxic_en": toxic & english, "toxic_other": toxic & ~english, "toxic": toxic}
     docs = table(spark, folder, "documents")
-    chain = toxicity.fit(docs, table(spark, folder, "labels"), categories)
-    return toxicity.score(docs, chain, list(categories))
+    chain = toxicity.fit(docs, table(spark, folder, "labels"), categories, drawn_by="toxic")
+    return toxicity.score(docs, chain, list(categories), flag="toxic")
 
 
 def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -128,7 +129,7 @@ WITH named AS (
   FROM {docs}
 )
 SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
-       doc_id = first_value(doc_id) OVER best AS kept, sha256(norm) AS text_sha256, n_chars
+       doc_id IS NOT DISTINCT FROM first_value(doc_id) OVER best AND n_chars = first_value(n_chars) OVER best AS kept, sha256(norm) AS text_sha256, n_chars
 FROM named
 WINDOW best AS (PARTITION BY norm ORDER BY n_chars DESC, doc_id)
 """

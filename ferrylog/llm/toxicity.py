@@ -85,14 +85,16 @@ def fit_chain(rows: Rows, labels: np.ndarray, names: Sequence[str], *, folds: in
     return chain
 
 
-def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, rows: int = TRAIN_ROWS) -> Chain | None:
+def fit(
+    docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, rows: int = TRAIN_ROWS, drawn_by: str | None = None
+) -> Chain | None:
     """Train on a bounded sample of ``docs(doc_id, text, ..)`` that have ``labels(doc_id, ..)``.
 
-    A category is a boolean column of both; the first one, by which positives and negatives are drawn,
-    of the labels alone.
+    A category is a boolean column of both, and their order is that of the chain. The one by which positives
+    and negatives are drawn, the first one unless named, is a column of the labels alone.
     """
     parts = {1: rows // 3, 0: rows - rows // 3}
-    drawn = labelled_sample(docs, labels, next(iter(categories.values())), parts, "toxicity")
+    drawn = labelled_sample(docs, labels, categories[drawn_by or next(iter(categories))], parts, "toxicity")
     truth = [F.coalesce(c, F.lit(False)).cast("int").alias(f"c{i}") for i, c in enumerate(categories.values())]
     found = drawn.select("text", *truth).collect()
     if not found:
@@ -101,8 +103,9 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, ro
     return fit_chain(features(texts, word_presence), np.array([tuple(r)[1:] for r in found], dtype=np.int64), list(categories))
 
 
-def score(docs: DataFrame, chain: Chain | None, names: Sequence[str]) -> DataFrame:
-    """``(doc_id, p_<name>.., toxic)``: the probability of each category, and whether the first one is flagged."""
+def score(docs: DataFrame, chain: Chain | None, names: Sequence[str], *, flag: str | None = None) -> DataFrame:
+    """``(doc_id, p_<name>.., toxic)``: the probability of each category, and whether ``flag``, or the first one, is flagged."""
+    judged = list(names).index(flag) if flag else 0
     sent = docs.sparkSession.sparkContext.broadcast(chain)
     columns = ["doc_id", *[f"p_{n}" for n in names], "toxic"]
 
@@ -111,7 +114,7 @@ def score(docs: DataFrame, chain: Chain | None, names: Sequence[str]) -> DataFra
         for batch in batches:
             rows = features(batch.column("text"), word_presence)
             found = chain.probabilities(rows) if chain else np.zeros((len(rows), len(names)))
-            flagged = (found[:, 0] >= FLAG) & (np.diff(rows.bounds) > 0)
+            flagged = (found[:, judged] >= FLAG) & (np.diff(rows.bounds) > 0)
             cols = [pa.array(np.ascontiguousarray(found[:, k])) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cols, pa.array(flagged)], names=columns)
 

@@ -66,11 +66,15 @@ class Words:
     def _hashes(self) -> np.ndarray:
         if not len(self.at):
             return np.zeros(0, dtype=np.uint64)
-        powers = np.full(int(self.lengths.max()), _BASE)
-        powers[0] = 1
-        powers = np.multiply.accumulate(powers)
+        # eight bytes are one number; each is mixed with a key of its place before they are summed, as a sum
+        # of powers has colliding words for every base
         inside = np.arange(len(self.letters)) - np.repeat(self.at, self.lengths)
-        return mix(np.add.reduceat(_BYTE[self.letters] * powers[inside], self.at) + self.lengths.astype(np.uint64))
+        shift = ((inside & 7) << 3).astype(np.uint64)
+        begins = np.flatnonzero(shift == 0)
+        eights = np.add.reduceat(self.letters.astype(np.uint64) << shift, begins)
+        keys = mix(((inside[begins] >> 3) + 1).astype(np.uint64) * _BASE)
+        sums = np.add.reduceat(mix(eights ^ keys), np.searchsorted(begins, self.at))
+        return mix(sums + self.lengths.astype(np.uint64) * _BASE)
 
     def prefix_hashes(self, length: int) -> np.ndarray:
         """Hash of the first ``length`` bytes of each word (of all of it, if it is shorter)."""

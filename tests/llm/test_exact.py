@@ -47,3 +47,17 @@ def test_repeated_rows_stand_together_and_extra_columns_stay(docs):
 
 def test_an_empty_table_gives_no_row(docs):
     assert exact.dedup(docs([])).count() == 0
+
+
+def test_the_sql_of_the_query_agrees_on_rows_of_all_kinds(docs):
+    """Repeated and missing ids too, which the given tables do not have."""
+    import duckdb
+
+    from ferrylog.llm.queries import EXACT_SQL
+
+    rows = [(1, "a b"), (1, "ab"), (None, "x y"), (None, "xy"), (None, None), (2, "q"), (2, "q"), (3, "q "), (4, "")]
+    base = duckdb.connect()
+    base.execute("CREATE TABLE docs (doc_id BIGINT, text VARCHAR)")
+    base.executemany("INSERT INTO docs VALUES (?, ?)", rows)
+    want = base.execute(EXACT_SQL.format(docs="docs")).fetchall()
+    assert sorted(map(tuple, exact.dedup(docs(rows)).collect()), key=str) == sorted(want, key=str)

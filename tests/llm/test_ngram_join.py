@@ -6,6 +6,7 @@ from conftest import DATA
 
 from ferrylog.llm import ngram_join
 from ferrylog.llm.ngram_join import Rule, block_keys, common, link_classes, overlap_bound, parity_bits
+from ferrylog.llm.words import Words
 
 from .conftest import classes, plain_words
 
@@ -115,3 +116,15 @@ def test_numbers_of_links_of_repeated_rows_and_rows_without_id(docs):
     got = sorted(((r.doc_id, r.n_shingles, r.n_links) for r in ngram_join.link_counts(frame).collect()), key=str)
     want = [(7, 96, 3), (7, 96, 3), (4, 97, 3), (None, 96, 0), (9, 1, 0), (9, 96, 3), (1, 0, 0)]
     assert got == sorted(want, key=str)
+
+
+def test_words_on_which_sums_of_powers_collide(docs):
+    """Thue-Morse words and their complements have equal sums of powers for every base and letter table."""
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    got = ngram_join.link_classes(docs([(1, f"x {word} y z"), (2, f"x {other} y z"), (3, f"x {word} y z")])).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 1), (2, 1, 2), (3, 1, 1)]
+    raw = np.frombuffer(f"{word} {other} abcdefgh abcdefg hgfedcba abcdefghi".encode(), dtype=np.uint8)
+    assert len(set(Words(raw, np.array([0, len(raw)])).hashes.tolist())) == 6
