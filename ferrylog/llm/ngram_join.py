@@ -323,7 +323,8 @@ class NgramJoin:
         postings = self.postings()
         tiles = postings.groupBy("key").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low < high")
         tiles = stage(tiles.select("key"), "tiles")
-        members = postings.join(tiles, "key").distinct().join(reps.select("k1", "rep"), "k1").select("key", "rep")
+        # postings are many and tiles few: they are dealt out again, but not shuffled to meet the list
+        members = postings.join(small(tiles), "key").distinct().join(reps.select("k1", "rep"), "k1").select("key", "rep")
         members = stage(members, "members")
         sets = stage(self.sets(members.select("rep").distinct()), "sets")
 
