@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from ferrylog.functions.text import decode_payload, hash_partition, java_hash
 from ferrylog.operators.ordered import SEGMENT_SPAN, number_rows
-from ferrylog.operators.segments import from_positions
+from ferrylog.operators.segments import StoredLog, from_positions
 from ferrylog.settings import LOG_KEYS
 from ferrylog.staging import stage
 
 
-def scan_from(log: DataFrame, starts: DataFrame, *, position: str = "start_off") -> DataFrame:
+def scan_from(log: DataFrame | StoredLog, starts: DataFrame, *, position: str = "start_off") -> DataFrame:
     """Rows at or above each partition's start offset; partitions without a start are left out.
 
     ``starts`` has one row per partition and should be staged, so that its size is known.
@@ -23,7 +23,7 @@ def scan_from(log: DataFrame, starts: DataFrame, *, position: str = "start_off")
     return near.join(starts.select(*LOG_KEYS, position), list(LOG_KEYS)).where(F.col("off") >= F.col(position)).drop(position)
 
 
-def drop_old(log: DataFrame, positions: DataFrame, *, position: str = "committed") -> DataFrame:
+def drop_old(log: DataFrame | StoredLog, positions: DataFrame, *, position: str = "committed") -> DataFrame:
     """Rows at or above the requested offset; a partition without a request is read whole."""
     near = from_positions(log, positions, position, keep_unknown=True)
     joined = near.join(positions.select(*LOG_KEYS, position), list(LOG_KEYS), "left")

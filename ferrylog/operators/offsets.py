@@ -1,7 +1,7 @@
 """Offset bounds, start positions, repair and lag.
 
 Everything here has one row per partition and is cheap; the only pass over a log is the partial
-aggregation of ``offset_bounds`` and its relatives.
+aggregation of ``offset_bounds`` and its relatives, and of a log with a manifest not even that.
 """
 
 from __future__ import annotations
@@ -9,23 +9,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ferrylog.operators.segments import StoredLog, only_segments, rows_of
 from ferrylog.settings import LOG_KEYS
+from ferrylog.staging import stage
 
 _KEYS = list(LOG_KEYS)
 
 
-def offset_bounds(log: DataFrame) -> DataFrame:
+def offset_bounds(log: DataFrame | StoredLog) -> DataFrame:
     """Earliest offset, next offset to be written, rows present and offsets missing."""
-    bounds = log.groupBy(*LOG_KEYS).agg(
-        F.min("off").alias("earliest"), (F.max("off") + 1).alias("latest"), F.count("*").alias("n_rows")
-    )
+    if isinstance(log, StoredLog):
+        bounds = log.segments.groupBy(*LOG_KEYS).agg(
+            F.min("first_off").alias("earliest"), (F.max("last_off") + 1).alias("latest"), F.sum("n").alias("n_rows")
+        )
+    else:
+        bounds = log.groupBy(*LOG_KEYS).agg(
+            F.min("off").alias("earliest"), (F.max("off") + 1).alias("latest"), F.count("*").alias("n_rows")
+        )
     return bounds.withColumn("n_missing", F.col("latest") - F.col("earliest") - F.col("n_rows"))
 
 
-def offset_at_time(log: DataFrame, at: Column, *, ts: str = "ts") -> DataFrame:
-    """First offset written at or after a time; the end of the log when there is none."""
-    return log.groupBy(*LOG_KEYS).agg(
-        F.coalesce(F.min(F.when(F.col(ts) >= at, F.col("off"))), F.max("off") + 1).alias("off")
+def offset_at_time(log: DataFrame | StoredLog, at: Column, *, ts: str = "ts") -> DataFrame:
+    """First offset written at or after a time; the end of the log when there is none.
+
+    Times need not rise along the offsets. With a manifest only the first segment that reaches the time is
+    opened, and that only if it begins before it; a manifest that lacks times of some rows is not used.
+    """
+    if not isinstance(log, StoredLog) or not log.segments.where("max_ts IS NULL").isEmpty():
+        return rows_of(log).groupBy(*LOG_KEYS).agg(
+            F.coalesce(F.min(F.when(F.col(ts) >= at, F.col("off"))), F.max("off") + 1).alias("off")
+        )
+    reached = F.when(F.col("max_ts") >= at, F.struct("first_off", "min_ts", "seg"))
+    found = log.segments.groupBy(*LOG_KEYS).agg((F.max("last_off") + 1).alias("end"), F.min(reached).alias("first"))
+    found = stage(found.select(*LOG_KEYS, "end", "first.*", (F.col("first.min_ts") < at).alias("opened")), "at-time")
+    rows = only_segments(log.rows, found.where("opened").select(*LOG_KEYS, "seg"))
+    inside = rows.where(F.col(ts) >= at).groupBy(*LOG_KEYS).agg(F.min("off").alias("inside"))
+    both = found.join(inside, _KEYS, "left")
+    return both.select(
+        *LOG_KEYS, F.coalesce(F.when(F.col("opened"), F.col("inside")).otherwise(F.col("first_off")), F.col("end")).alias("off")
     )
 
 
@@ -36,9 +57,9 @@ def default_offset(bounds: DataFrame, force: Column | bool, *, start: Column | s
     return bounds.withColumn("off", F.when(force, start).otherwise(F.col("latest")))
 
 
-def next_offset(log: DataFrame, positions: DataFrame, *, position: str = "committed") -> DataFrame:
+def next_offset(log: DataFrame | StoredLog, positions: DataFrame, *, position: str = "committed") -> DataFrame:
     """Next read position: past the last row, and never before the old position."""
-    ends = log.groupBy(*LOG_KEYS).agg((F.max("off") + 1).alias("__end"))
+    ends = offset_bounds(log).select(*LOG_KEYS, F.col("latest").alias("__end"))
     old = positions.select(*LOG_KEYS, position)
     return ends.join(old, _KEYS, "left").select(
         *LOG_KEYS, F.greatest(F.coalesce(F.col(position), F.lit(0)), F.col("__end")).alias("next_off")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrylog.operators.segments import at_offsets, from_positions
+from ferrylog.operators.segments import StoredLog, at_offsets, from_positions, rows_of
 from ferrylog.settings import LOG_KEYS
 from ferrylog.staging import stage
 
@@ -29,7 +29,7 @@ def _matching(candidates: DataFrame, failed: DataFrame) -> DataFrame:
     return candidates.join(failed.select(*_ROW).distinct(), _ROW)
 
 
-def rows_at(log: DataFrame, failed: DataFrame) -> DataFrame:
+def rows_at(log: DataFrame | StoredLog, failed: DataFrame) -> DataFrame:
     """The rows of a log at the given offsets.
 
     Only rows between the lowest and the highest offset asked for in their partition are shuffled
@@ -37,16 +37,17 @@ def rows_at(log: DataFrame, failed: DataFrame) -> DataFrame:
     staged, so that its size is known.
     """
     near = at_offsets(log, failed).join(stage(_ranges(failed), "ranges"), _KEYS)
-    near = near.where(F.col("off").between(F.col("__low"), F.col("__high"))).select(log.columns)
+    near = near.where(F.col("off").between(F.col("__low"), F.col("__high"))).select(rows_of(log).columns)
     return _matching(near, failed)
 
 
-def replay_failed(log: DataFrame, failed: DataFrame, starts: DataFrame) -> DataFrame:
+def replay_failed(log: DataFrame | StoredLog, failed: DataFrame, starts: DataFrame) -> DataFrame:
     """Partitions with failed offsets yield those rows only; the others go on from their start.
 
     What is known about a partition decides which of its rows can matter before any is shuffled. The
     list of failures is staged, so that a short one is broadcast and the log stays where it is.
     """
+    columns = rows_of(log).columns
     failed = stage(failed.select(*_ROW), "failed")
     facts = stage(starts.select(*LOG_KEYS, "start_off").join(_ranges(failed), _KEYS, "full"), "replay")
     # partitions without failures from their start, the others in the segments of their failures
@@ -56,9 +57,9 @@ def replay_failed(log: DataFrame, failed: DataFrame, starts: DataFrame) -> DataF
     fresh = fresh.where(F.col("__low").isNull() & (F.col("off") >= F.col("start_off")))
     again = _matching(again_log.join(facts, _KEYS).where(F.col("off").between(F.col("__low"), F.col("__high"))), failed)
     return (
-        fresh.select(log.columns)
+        fresh.select(columns)
         .withColumn("replayed", F.lit(False))
-        .unionByName(again.select(log.columns).withColumn("replayed", F.lit(True)))
+        .unionByName(again.select(columns).withColumn("replayed", F.lit(True)))
     )
 
 
@@ -67,17 +68,16 @@ def still_failed(log: DataFrame, failed: DataFrame) -> DataFrame:
     return failed.join(rows_at(log.select(*_ROW), failed), _ROW, "left_anti")
 
 
-def emit_state(log: DataFrame, starts: DataFrame, bounds: DataFrame) -> DataFrame:
+def emit_state(log: DataFrame | StoredLog, starts: DataFrame, bounds: DataFrame, partitions: DataFrame | None = None) -> DataFrame:
     """After each row from the start: more left, or the last one; one row for empty reads.
 
-    The last offset of a partition is known from its bounds, so no row has to look at the next.
+    The last offset of a partition is known from its bounds, so no row has to look at the next. Of the known
+    ``partitions`` those without any row have an empty read too.
     """
-    facts = stage(
-        bounds.select(*LOG_KEYS, (F.col("latest") - 1).alias("__last")).join(
-            starts.select(*LOG_KEYS, "start_off"), _KEYS, "left"
-        ),
-        "emit",
-    )
+    ends = bounds.select(*LOG_KEYS, (F.col("latest") - 1).alias("__last"))
+    if partitions is not None:
+        ends = ends.join(partitions.select(*LOG_KEYS).distinct(), _KEYS, "full")
+    facts = stage(ends.join(starts.select(*LOG_KEYS, "start_off"), _KEYS, "left"), "emit")
     near = from_positions(log, facts.where("start_off IS NOT NULL"), "start_off")
     taken = (
         near.select(*_ROW)

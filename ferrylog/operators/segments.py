@@ -9,11 +9,13 @@ the scan stays as it is. The exact test on offsets follows in either case, so re
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrylog.settings import LOG_KEYS
-from ferrylog.staging import stage, staged_bytes
+from ferrylog.staging import LIST_BYTES, small, stage, staged_bytes
 
 LAYOUT_SPAN = 1 << 17  # offsets, about one row group of kilobyte messages
 SEGMENT = "seg"
@@ -21,6 +23,21 @@ SEGMENT = "seg"
 _DIRS = [*LOG_KEYS, SEGMENT]
 
 
+@dataclass(frozen=True)
+class StoredLog:
+    """Rows of a log with directories, and its manifest: ``(topic, part, seg, n, first_off, last_off, min_ts, max_ts, bytes)``.
+
+    ``min_ts``, ``max_ts`` and ``bytes`` are NULL where the log was stored without a time or a size.
+    """
+
+    rows: DataFrame
+    segments: DataFrame
+
+
+def rows_of(log: DataFrame | StoredLog) -> DataFrame:
+    return log.rows if isinstance(log, StoredLog) else log
+
+
 def segment_name(number: Column) -> Column:
     """The directory of a segment of a topic's partition."""
     return F.concat_ws(".", F.col("topic"), F.col("part").cast("string"), number.cast("string"))
@@ -30,9 +47,9 @@ def segment_number(name: Column) -> Column:
     return F.substring_index(name, ".", -1).cast("bigint")
 
 
-def directories(log: DataFrame) -> DataFrame:
-    """The (topic, part, seg) that a log has; no data column is read."""
-    return log.select(*_DIRS).distinct()
+def directories(log: DataFrame | StoredLog) -> DataFrame:
+    """The (topic, part, seg) that a log has, from the manifest, or from all files without reading a data column."""
+    return log.segments if isinstance(log, StoredLog) else log.select(*_DIRS).distinct()
 
 
 def only_segments(log: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -40,24 +57,25 @@ def only_segments(log: DataFrame, wanted: DataFrame) -> DataFrame:
     if SEGMENT not in log.columns:
         return log
     listed = stage(wanted.select(*_DIRS).distinct(), "wanted-segments")
-    limit = log.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    if staged_bytes(listed) > limit:
+    if staged_bytes(listed) > LIST_BYTES:
         return log
     # the comparison tells the optimizer that the list leaves something out
-    return log.join(listed.where(F.col(SEGMENT) >= ""), _DIRS, "left_semi")
+    return log.join(small(listed.where(F.col(SEGMENT) >= "")), _DIRS, "left_semi")
 
 
-def from_positions(log: DataFrame, positions: DataFrame, position: str, *, keep_unknown: bool = False) -> DataFrame:
+def from_positions(log: DataFrame | StoredLog, positions: DataFrame, position: str, *, keep_unknown: bool = False) -> DataFrame:
     """The rows in segments that reach a partition's position, or, with ``keep_unknown``, of partitions without one."""
-    if SEGMENT not in log.columns:
-        return log
-    first = F.col(position) >= (segment_number(F.col(SEGMENT)) + 1) * LAYOUT_SPAN
+    rows = rows_of(log)
+    if SEGMENT not in rows.columns:
+        return rows
     known = directories(log).join(positions.select(*LOG_KEYS, position), list(LOG_KEYS), "left" if keep_unknown else "inner")
-    return only_segments(log, known.where(~F.coalesce(first, F.lit(False))))
+    end = F.col("last_off") + 1 if isinstance(log, StoredLog) else (segment_number(F.col(SEGMENT)) + 1) * LAYOUT_SPAN
+    return only_segments(rows, known.where(~F.coalesce(F.col(position) >= end, F.lit(False))))
 
 
-def at_offsets(log: DataFrame, offsets: DataFrame) -> DataFrame:
+def at_offsets(log: DataFrame | StoredLog, offsets: DataFrame) -> DataFrame:
     """The rows in segments that hold one of the offsets ``(topic, part, off)``."""
-    if SEGMENT not in log.columns:
-        return log
-    return only_segments(log, offsets.select(*LOG_KEYS, segment_name(F.expr(f"off div {LAYOUT_SPAN}")).alias(SEGMENT)))
+    rows = rows_of(log)
+    if SEGMENT not in rows.columns:
+        return rows
+    return only_segments(rows, offsets.select(*LOG_KEYS, segment_name(F.expr(f"off div {LAYOUT_SPAN}")).alias(SEGMENT)))

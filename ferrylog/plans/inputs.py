@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrylog.functions.text import size_of
+from ferrylog.operators.offsets import offset_bounds, resolve_start
 from ferrylog.operators.ordered import number_rows
+from ferrylog.operators.segments import StoredLog
 from ferrylog.sources import table
 from ferrylog.settings import LOG_KEYS
-from ferrylog.staging import exists, new_folder, state_of
+from ferrylog.staging import exists, new_folder, stage, state_of
 
 LOG_SCHEMA = "off BIGINT, event_id BIGINT, payload STRING, ts TIMESTAMP_NTZ, topic STRING, part INT, seg STRING"
 SNAPSHOTS = 4
@@ -36,6 +38,10 @@ class Inputs:
     def _log(self) -> DataFrame:
         return table.read_log(self.spark, self.log_folder(), LOG_SCHEMA)
 
+    @cached_property
+    def _stored(self) -> DataFrame | StoredLog:
+        return table.stored_log(self.spark, self.log_folder(), LOG_SCHEMA)
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
@@ -55,13 +61,17 @@ class Inputs:
         key = (self.spark.sparkContext.applicationId, self.folder, source)
         if key not in _logs or not exists(self.spark, f"{_logs[key]}/_SUCCESS"):
             path = new_folder(self.spark, "log")
-            table.write_log(self.derive_log(), path, segments=True)
+            table.write_log(self.derive_log(), path, segments=True, ts="ts", value="payload")
             _logs[key] = path
         return _logs[key]
 
     def log(self) -> DataFrame:
         return self._log
 
+    def stored_log(self) -> DataFrame | StoredLog:
+        """The log with its manifest, for queries that look for offsets before they read rows."""
+        return self._stored
+
     def partitions(self) -> DataFrame:
         """Known partitions; no offsets are needed for that."""
         part = (F.col("user_id") % 4).cast("int").alias("part")
@@ -81,20 +91,23 @@ class Inputs:
 
     def checkpoints(self) -> DataFrame:
         """No record for part 0, a trimmed offset for 1, one in range for 2, past the end for (view, 3)."""
-        low, high = F.min("off"), F.max("off")
+        low, high = F.col("earliest"), F.col("latest") - 1
         position = (
             F.when(F.col("part") == 1, low - 5)
             .when((F.col("part") == 3) & (F.col("topic") == "view"), high + 50)
             .otherwise(F.floor((low + high) / 2))
         )
         return (
-            self.log()
+            offset_bounds(self.stored_log())
             .where("part <> 0")
-            .groupBy(*LOG_KEYS)
-            .agg(position.cast("bigint").alias("committed"))
+            .withColumn("committed", position.cast("bigint"))
             .select(*LOG_KEYS, F.when(F.col("topic") < "f", "job-a").otherwise("job-b").alias("job_id"), "committed")
         )
 
+    def checkpoint_starts(self) -> DataFrame:
+        """Where a run that goes on from the checkpoints begins."""
+        return stage(resolve_start(offset_bounds(self.stored_log()), self.checkpoints()), "starts")
+
     def commits(self) -> DataFrame:
         """Every event saves a position; one in six of them goes back."""
         back = F.greatest(F.col("off") - 60, F.lit(0))

@@ -9,22 +9,23 @@ from ferrylog.functions.text import decode_payload
 from ferrylog.operators import log as log_ops, offsets
 from ferrylog.operators.batching import assign_batches
 from ferrylog.operators.ordered import SEGMENT_SPAN
+from ferrylog.operators.segments import StoredLog, rows_of
 from ferrylog.settings import LOG_KEYS, MirrorSettings
 from ferrylog.sources import table
 from ferrylog.staging import stage
 
 
-def _configured(log: DataFrame, bounds: DataFrame, starting: str, ts: str) -> DataFrame:
+def _configured(log: DataFrame | StoredLog, bounds: DataFrame, starting: str, ts: str) -> DataFrame:
     """Bounds with the configured start as ``configured``."""
     if starting in ("earliest", "latest"):
         return bounds.withColumn("configured", F.col(starting))
-    at = F.lit(starting).cast(log.schema[ts].dataType)
+    at = F.lit(starting).cast(rows_of(log).schema[ts].dataType)
     timed = offsets.offset_at_time(log, at, ts=ts).withColumnRenamed("off", "configured")
     return bounds.join(timed, list(LOG_KEYS))
 
 
 def start_positions(
-    log: DataFrame,
+    log: DataFrame | StoredLog,
     checkpoints: DataFrame,
     *,
     starting: str = "earliest",
@@ -48,13 +49,13 @@ def start_positions(
     return stage(starts, "starts")
 
 
-def resume(log: DataFrame, checkpoints: DataFrame, **start_options) -> DataFrame:
+def resume(log: DataFrame | StoredLog, checkpoints: DataFrame, **start_options) -> DataFrame:
     """The rows that a run starting from the saved offsets has to copy."""
     return log_ops.scan_from(log, start_positions(log, checkpoints, **start_options))
 
 
 def mirror_batch(
-    log: DataFrame,
+    log: DataFrame | StoredLog,
     checkpoints: DataFrame,
     *,
     target: str,

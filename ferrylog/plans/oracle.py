@@ -95,7 +95,9 @@ def with_ctes(names: str, body: str) -> str:
     if unknown:
         raise KeyError(f"no such input: {sorted(unknown)}")
     parts = [f"{name} AS ({sql.strip()})" for name, sql in CTES.items() if name in wanted]
-    return f"WITH {', '.join(parts)} {body.strip()}" if parts else body.strip()
+    # a body that begins with a comma goes on with inputs of its own, which may be recursive
+    recursive = "RECURSIVE " if body.startswith(",") else ""
+    return f"WITH {recursive}{', '.join(parts)} {body.strip()}" if parts else body.strip()
 
 
 _OFFSETS = "log ckpt bounds starts"
@@ -391,7 +393,42 @@ _CHECKS = {
     ),
 }
 
+# one row per partition and trigger: bytes sent so far, level left after the trigger
+_ADMITTED = """, sums AS (
+  SELECT s.topic, s.part, off, strlen(payload) AS size, start_off,
+         sum(strlen(payload)) OVER w AS total, row_number() OVER w AS rn
+  FROM scanned s JOIN starts USING (topic, part) WINDOW w AS (PARTITION BY s.topic, s.part ORDER BY off)
+), ends AS (
+  SELECT topic, part, min(start_off) AS start_off, CAST(max(total) AS BIGINT) AS whole FROM sums GROUP BY topic, part
+), triggers AS (
+  SELECT topic, part, CAST(0 AS BIGINT) AS batch_id, CAST(0 AS BIGINT) AS sent, CAST(3000 AS BIGINT) AS level,
+         CAST(0 AS BIGINT) AS took
+  FROM ends
+  UNION ALL
+  SELECT t.topic, t.part, t.batch_id + 1, CAST(max(s.total) AS BIGINT),
+         least(3000, t.level - CAST(max(s.total) - t.sent AS BIGINT) + 2250), CAST(max(s.total) - t.sent AS BIGINT)
+  FROM triggers t JOIN ends e USING (topic, part)
+  JOIN sums s ON s.topic = t.topic AND s.part = t.part AND s.total <= t.sent + t.level
+  WHERE t.sent < e.whole
+  GROUP BY t.topic, t.part, t.batch_id, t.sent, t.level
+), taken AS (
+  SELECT t.topic, t.part, t.batch_id - 1 AS batch_id, t.took AS bytes, t.sent - t.took AS sent_before, t.sent,
+         (SELECT max(b.level) FROM triggers b WHERE b.topic = t.topic AND b.part = t.part AND b.batch_id = t.batch_id - 1) - t.took AS level
+  FROM triggers t WHERE t.batch_id > 0
+)
+SELECT k.topic, k.part, k.batch_id, coalesce(max(p.off) + 1, min(e.start_off)) AS from_off, max(s.off) + 1 AS to_off,
+       count(DISTINCT s.off) AS n, k.bytes, k.level
+FROM taken k JOIN ends e USING (topic, part)
+JOIN sums s ON s.topic = k.topic AND s.part = k.part AND s.total > k.sent_before AND s.total <= k.sent
+LEFT JOIN sums p ON p.topic = k.topic AND p.part = k.part AND p.total = k.sent_before
+GROUP BY k.topic, k.part, k.batch_id, k.bytes, k.level"""
+
 _STREAMS = {
+    "admitted_volume": (_SCAN, _ADMITTED),
+    "admitted_mirror": (
+        f"{_SCAN} numbered_scan mirrored",
+        "SELECT topic, part, off, new_key, value FROM mirrored",
+    ),
     "mirror_stream": (
         f"{_SCAN} numbered_scan mirrored",
         "SELECT topic, part, off, new_key, value FROM mirrored",

@@ -33,7 +33,7 @@ def _payload_size():
 
 
 def _bounds(inputs: Inputs) -> DataFrame:
-    return offsets.offset_bounds(inputs.log())
+    return offsets.offset_bounds(inputs.stored_log())
 
 
 def _states(inputs: Inputs, snap: int = 3) -> DataFrame:
@@ -49,7 +49,7 @@ def _leaders(inputs: Inputs) -> DataFrame:
 
 @query
 def log_scan(inputs):
-    return mirror.resume(inputs.log(), inputs.checkpoints()).select(*LOG_KEYS, "off", "payload")
+    return mirror.resume(inputs.stored_log(), inputs.checkpoints()).select(*LOG_KEYS, "off", "payload")
 
 
 @query
@@ -69,7 +69,7 @@ def earliest_dump(inputs):
 
 @query
 def mirror_sink(inputs):
-    rows = mirror.resume(inputs.log(), inputs.checkpoints())
+    rows = mirror.resume(inputs.stored_log(), inputs.checkpoints())
     rows = rows.select(*LOG_KEYS, "off", F.col("payload").alias("value"))
     return mirror.write_and_read_back(rows, new_folder(inputs.spark, "mirror"))
 
@@ -109,7 +109,7 @@ def payload_decode(inputs):
 @query
 def drop_old_offsets(inputs):
     saved = stage(inputs.checkpoints(), "checkpoints")
-    return log_ops.drop_old(inputs.log(), saved).select(*LOG_KEYS, "off")
+    return log_ops.drop_old(inputs.stored_log(), saved).select(*LOG_KEYS, "off")
 
 
 @query
@@ -130,7 +130,7 @@ def hash_partition(inputs):
 
 @query
 def next_offset(inputs):
-    return offsets.next_offset(inputs.log(), inputs.checkpoints())
+    return offsets.next_offset(inputs.stored_log(), inputs.checkpoints())
 
 
 @query
@@ -168,7 +168,7 @@ def resolve_start_job(inputs):
 
 @query
 def replay_failed(inputs):
-    log = inputs.log()
+    log = inputs.stored_log()
     starts = offsets.resolve_start(offsets.offset_bounds(log), inputs.checkpoints())
     return replay.replay_failed(log, inputs.failed().drop("failed_at"), starts).select(*LOG_KEYS, "off", "payload", "replayed")
 
@@ -195,7 +195,7 @@ def offset_bounds(inputs):
 
 @query
 def offset_at_time(inputs):
-    return offsets.offset_at_time(inputs.log(), F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
+    return offsets.offset_at_time(inputs.stored_log(), F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
 
 
 @query
@@ -252,14 +252,14 @@ def batch_by_count(inputs):
 
 @query
 def emit_state(inputs):
-    log = inputs.log()
+    log = inputs.stored_log()
     bounds = offsets.offset_bounds(log)
-    return replay.emit_state(log, offsets.resolve_start(bounds, inputs.checkpoints()), bounds)
+    return replay.emit_state(log, offsets.resolve_start(bounds, inputs.checkpoints()), bounds, inputs.partitions())
 
 
 @query
 def send_progress(inputs):
-    log = inputs.log()
+    log = inputs.stored_log()
     starts = mirror.start_positions(log, inputs.checkpoints())
     return batching.send_progress(log_ops.scan_from(log, starts), starts, 100)
 
@@ -318,7 +318,7 @@ def inflight_offsets(inputs):
 @query
 def mirror_batch(inputs):
     rows = mirror.mirror_batch(
-        inputs.log(), inputs.checkpoints(), target="sync_", value="payload", key="sequence", as_text=True
+        inputs.stored_log(), inputs.checkpoints(), target="sync_", value="payload", key="sequence", as_text=True
     )
     return rows.select(
         *LOG_KEYS, "off", F.col("key").alias("new_key"), F.col("payload").alias("value"), "batch_id"

@@ -11,7 +11,8 @@ from ferrylog.plans.inputs import LOG_SCHEMA, Inputs
 from ferrylog.plans.mirror import start_positions
 from ferrylog.settings import LOG_KEYS
 from ferrylog.sources import table
-from ferrylog.staging import new_folder
+from ferrylog.staging import new_folder, state_of
+from ferrylog.streaming.admission import Admission, Bucket, ticks
 from ferrylog.streaming.idle import activity_sessions
 from ferrylog.streaming.metadata import Refreshing, with_leaders
 from ferrylog.streaming.mirror import StreamMirror
@@ -51,7 +52,7 @@ def mirror_stream(inputs: Inputs) -> DataFrame:
         value="payload",
         key="sequence",
         as_text=True,
-        starts=start_positions(log, inputs.checkpoints()),
+        starts=start_positions(inputs.stored_log(), inputs.checkpoints()),
     )
     middle = log.agg(F.expr("(min(event_id) + max(event_id)) div 2")).first()[0]
     for arrived in (log.where(F.col("event_id") <= middle), log.where(F.col("event_id") > middle)):
@@ -61,6 +62,29 @@ def mirror_stream(inputs: Inputs) -> DataFrame:
     return rows.select(*LOG_KEYS, "off", F.col("key").alias("new_key"), F.col("payload").alias("value"))
 
 
+def admitted_volume(inputs: Inputs) -> DataFrame:
+    """Rows and bytes of each partition and trigger under a token bucket of 3,000 bytes a minute, triggered every 45 seconds."""
+    admission = Admission(
+        inputs.stored_log(), new_folder(inputs.spark, "admitted"), Bucket(3000, 60), size_of(F.col("payload")), inputs.checkpoint_starts()
+    )
+    admission.run(inputs.spark, clock=ticks(45))
+    taken = admission.admitted(inputs.spark).where("n > 0")
+    return taken.select(*LOG_KEYS, "batch_id", "from_off", F.col("position").alias("to_off"), "n", "bytes", "level")
+
+
+def admitted_mirror(inputs: Inputs) -> DataFrame:
+    """The mirror with keys by sequence under a limit: rows come in offset order, trigger after trigger."""
+    admission = Admission(
+        inputs.stored_log(), new_folder(inputs.spark, "admitted"), Bucket(16 << 10, 60), size_of(F.col("payload")), inputs.checkpoint_starts()
+    )
+    mirror = StreamMirror(
+        root=new_folder(inputs.spark, "mirror"), target="sync_", value="payload", key="sequence", as_text=True
+    )
+    admission.run(inputs.spark, mirror.copy, clock=ticks(60))
+    rows = mirror.mirrored(inputs.spark)
+    return rows.select(*LOG_KEYS, "off", F.col("key").alias("new_key"), F.col("payload").alias("value"))
+
+
 def throttled_stream(inputs: Inputs) -> DataFrame:
     """Rows and bytes that came through, and whether every micro-batch kept the admission limit."""
     taken = throttled(
@@ -144,7 +168,9 @@ def metadata_refresh_stream(inputs: Inputs) -> DataFrame:
         states = metadata.parse_states(inputs.topic_state().where("snap = 3"))
         return metadata.partition_leaders(states, metadata.parse_brokers(inputs.brokers()))
 
-    leaders = Refreshing(load, seconds=0)
+    # each micro-batch asks whether the tables that the leaders come from were written again
+    sources = [f"{inputs.folder}/{name}.parquet" for name in ("events", "supplier")]
+    leaders = Refreshing(load, version=lambda spark: [state_of(spark, path) for path in sources])
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         named = with_leaders(batch.select(*LOG_KEYS, "off"), leaders.current(batch.sparkSession))
@@ -158,6 +184,8 @@ STREAMS = {
     build.__name__: build
     for build in (
         mirror_stream,
+        admitted_volume,
+        admitted_mirror,
         throttled_stream,
         volume_stream,
         replay_stream,
