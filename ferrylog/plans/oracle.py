@@ -129,6 +129,24 @@ _SOURCES = {
                   CAST(data ->> '$.port' AS INT) AS port
            FROM znode_dump""",
     ),
+    "node_writes": (
+        "log ckpt topic_state brokers addresses states",
+        """SELECT '/consumers/demo/offsets/' || topic || '/' || CAST(part AS VARCHAR) AS path,
+                  CAST(committed AS VARCHAR) AS data, 'plain' AS form FROM ckpt
+           UNION ALL
+           SELECT '/consumers/demo/offsets/' || topic || '/' || CAST(part AS VARCHAR),
+                  '{"topology":{"id":"' || job_id || '"},"offset":' || CAST(committed AS VARCHAR) || '}', 'job' FROM ckpt
+           UNION ALL
+           SELECT '/brokers/topics/' || topic || '/partitions/' || CAST(part AS VARCHAR) || '/state',
+                  '{"controller_epoch":1,"isr":[' || CAST(isr0 AS VARCHAR) || ',' || CAST(isr1 AS VARCHAR) || '],"leader":'
+                  || coalesce(CAST(leader AS VARCHAR), 'null') || ',"leader_epoch":1,"version":1}', 'state'
+           FROM states WHERE snap = 1
+           UNION ALL
+           SELECT '/brokers/ids/' || CAST(broker_id AS VARCHAR),
+                  '{"host":"' || host || '","jmx_port":9999,"port":' || CAST(port AS VARCHAR) || ',"version":1}', 'broker'
+           FROM addresses""",
+    ),
+    "node_reads": ("log ckpt", "SELECT topic, part, job_id, committed FROM ckpt"),
     "gen_messages": (
         "",
         """SELECT id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-'
@@ -152,6 +170,22 @@ _ROWWISE = {
         "log numbered",
         "SELECT topic, part, off, CAST((rn - 1) % 100 + 1 AS VARCHAR) AS new_key FROM numbered",
     ),
+    "partition_by": (
+        "log",
+        """SELECT event_id, CAST(event_id % 10 % 3 AS INT) AS target_part,
+                  CAST(CASE WHEN u >= 2147483648 THEN u - 4294967296 ELSE u END AS INT) AS jhash
+           FROM (SELECT event_id,
+                   list_reduce(list_prepend(CAST(0 AS BIGINT),
+                     list_transform(string_split(CAST(event_id AS VARCHAR), ''), lambda c: CAST(unicode(c) AS BIGINT))),
+                     lambda a, b: (a * 31 + b) & 4294967295) AS u
+                 FROM log) x""",
+    ),
+    "encode": (
+        "log",
+        """SELECT 'sync_' || topic AS topic, CAST(event_id AS VARCHAR) AS key, part AS "partition",
+                  '{' || CAST(strlen(payload) AS VARCHAR) || '}' || payload AS value
+           FROM log""",
+    ),
     "hash_partition": (
         "log",
         """SELECT event_id, CAST(h AS INT) AS jhash, CAST(((h % 8) + 8) % 8 AS INT) AS target_part
@@ -232,6 +266,24 @@ _JOINS = {
                  SELECT topic, part, 1, isr1 FROM states WHERE snap = 3) r
            JOIN addresses USING (broker_id) GROUP BY topic, part""",
     ),
+    "restart_flags": (
+        _STATES,
+        """SELECT broker_id, snap, bool_or(was IS NULL OR now IS NULL) AS changed
+           FROM (SELECT coalesce(o.broker_id, n.broker_id) AS broker_id, coalesce(o.snap + 1, n.snap) AS snap,
+                        o.broker_id AS was, n.broker_id AS now
+                 FROM (SELECT snap, leader AS broker_id, topic, part FROM states WHERE snap < 3 AND leader IS NOT NULL) o
+                 FULL JOIN (SELECT snap, leader AS broker_id, topic, part FROM states WHERE snap > 0 AND leader IS NOT NULL) n
+                 ON n.snap = o.snap + 1 AND n.broker_id = o.broker_id AND n.topic = o.topic AND n.part = o.part) x
+           GROUP BY broker_id, snap""",
+    ),
+    "accepted_leaders": (
+        f"{_STATES} brokers addresses",
+        """SELECT n.topic, n.part, min_by(n.host, n.snap) FILTER (WHERE n.host IS NOT NULL
+                  AND (n.snap > 1 OR o.host IS NULL OR lower(n.host) <> lower(o.host))) AS host
+           FROM (SELECT snap, topic, part, host FROM states LEFT JOIN addresses ON leader = broker_id WHERE snap > 0) n
+           JOIN (SELECT topic, part, host FROM states LEFT JOIN addresses ON leader = broker_id WHERE snap = 0) o USING (topic, part)
+           GROUP BY n.topic, n.part""",
+    ),
     "assignment_diff": (
         _STATES,
         """SELECT broker_id, topic, part,

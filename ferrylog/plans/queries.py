@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ferrylog.functions import paths
 from ferrylog.functions.text import decode_payload, dump_line, size_of
 from ferrylog.operators import batching, log as log_ops, metadata, monitor, offsets, replay
 from ferrylog.plans import mirror, streams
-from ferrylog.plans.inputs import Inputs
+from ferrylog.plans.inputs import SNAPSHOTS, Inputs
 from ferrylog.settings import LOG_KEYS
-from ferrylog.sources import generate
+from ferrylog.sources import generate, kafka
 from ferrylog.staging import new_folder, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +97,32 @@ def gen_messages(inputs):
     return generate.messages_for(numbers, seed="sync")
 
 
+@query
+def node_writes(inputs):
+    """What a job writes to the tree: its positions, plain and as JSON with its name, and states and brokers as JSON."""
+    saved = inputs.checkpoints()
+    states = metadata.parse_states(inputs.topic_state().where("snap = 1"))  # one has no leader
+    body = metadata.state_json(F.col("leader"), F.col("isr"), epoch=F.lit(1))
+    brokers = metadata.parse_brokers(inputs.brokers())
+    parts = [
+        metadata.checkpoint_nodes(saved).withColumn("form", F.lit("plain")),
+        metadata.checkpoint_job_nodes(saved).withColumn("form", F.lit("job")),
+        states.select(paths.state_path(F.col("topic"), F.col("part")).alias("path"), body.alias("data"), F.lit("state").alias("form")),
+        brokers.select(
+            paths.broker_path(F.col("broker_id")).alias("path"),
+            metadata.broker_json(F.col("host"), F.col("port")).alias("data"),
+            F.lit("broker").alias("form"),
+        ),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def node_reads(inputs):
+    """Positions with the job that saved them, read back from the JSON form."""
+    return metadata.checkpoint_job_read(metadata.checkpoint_job_nodes(inputs.checkpoints()))
+
+
 # --- projections, filters, scalar work
 
 
@@ -128,6 +156,23 @@ def hash_partition(inputs):
     return log_ops.with_target_partition(inputs.log(), 8, key="payload").select("event_id", "jhash", "target_part")
 
 
+@query
+def partition_by(inputs):
+    """The partitioner is replaced: the last digit of the event's id, by a rule of the caller's."""
+    log = inputs.log().withColumn("key", F.col("event_id").cast("string"))
+    rule = lambda key: (F.right(key, F.lit(1)).cast("int") % 3).cast("int")
+    return log_ops.with_target_partition(log, 8, partition_by=rule).select("event_id", "jhash", "target_part")
+
+
+@query
+def encode(inputs):
+    """Rows as the records of a topic; the caller's encoder makes the value."""
+    log = log_ops.retopic(inputs.log(), mirror.target_topic("sync_")).withColumn("key", F.col("event_id").cast("string"))
+    log = log.withColumn("value", F.col("payload"))
+    wrapped = lambda value: F.concat(F.lit("{"), F.octet_length(value).cast("string"), F.lit("}"), value)
+    return kafka.as_records(log, encode=wrapped, partition="part")
+
+
 @query
 def next_offset(inputs):
     return offsets.next_offset(inputs.stored_log(), inputs.checkpoints())
@@ -185,6 +230,28 @@ def assignment_diff(inputs):
     )
 
 
+@query
+def restart_flags(inputs):
+    """Which brokers have to restart their readers after each snapshot."""
+    steps = []
+    for snap in range(1, SNAPSHOTS):
+        diff = metadata.assignment_diff(
+            metadata.assignments(_states(inputs, snap - 1)), metadata.assignments(_states(inputs, snap))
+        )
+        steps.append(metadata.assignment_changed(diff).withColumn("snap", F.lit(snap)))
+    return reduce(DataFrame.unionByName, steps)
+
+
+@query
+def accepted_leaders(inputs):
+    """A reader whose fetch failed looks at the next snapshots, three at most, until it accepts a leader."""
+    brokers = metadata.parse_brokers(inputs.brokers()).select(F.col("broker_id").alias("leader"), "host")
+    looked = metadata.parse_states(inputs.topic_state()).join(stage(brokers, "brokers"), "leader", "left")
+    failed = looked.where("snap = 0").select(*LOG_KEYS, F.col("host").alias("old_host"))
+    tries = looked.where("snap > 0").select(*LOG_KEYS, (F.col("snap") - 1).alias("try_no"), "host")
+    return metadata.accept_leader(tries.join(stage(failed, "failed"), list(LOG_KEYS)))
+
+
 # --- aggregations
 
 

@@ -26,7 +26,7 @@ from ferrylog.operators.ordered import accumulate
 from ferrylog.operators.segments import SEGMENT, StoredLog, only_segments, segment_number
 from ferrylog.settings import LOG_KEYS, MIB
 from ferrylog.sources import table
-from ferrylog.staging import exists, scratch, stage
+from ferrylog.staging import exists, scratch, small, stage
 
 _KEYS = list(LOG_KEYS)
 
@@ -91,6 +91,9 @@ class Admission:
     def __post_init__(self) -> None:
         self._size = F.coalesce(size_of(F.col("value")) if self.size is None else self.size, F.lit(0)).cast("bigint")
         self._segments = totals(self.log)
+        self._begin = None
+        if self.starts is not None:
+            self._begin = stage(before_offsets(self.log, self._segments, self.starts.select(*LOG_KEYS, "start_off"), self._size), "begin")
 
     @property
     def plans(self) -> str:
@@ -105,10 +108,8 @@ class Admission:
         """Position, totals sent and level of every partition of the log when a trigger begins."""
         ends = self._segments.groupBy(*LOG_KEYS).agg(F.min("first_off").alias("earliest"))
         known = ends.join(before.select(*LOG_KEYS, "position", "level", "at", "sent_rows", "sent_bytes"), _KEYS, "left")
-        if self.starts is not None:
-            fresh = known.where("position IS NULL").join(self.starts.select(*LOG_KEYS, "start_off"), _KEYS)
-            fresh = before_offsets(self.log, self._segments, stage(fresh.select(*LOG_KEYS, "start_off"), "fresh"), self._size)
-            known = known.join(fresh, _KEYS, "left")
+        if self._begin is not None:
+            known = known.join(self._begin, _KEYS, "left")
         else:
             known = known.withColumns({c: F.lit(None).cast("bigint") for c in ("start_off", "rows", "bytes")})
         full = F.lit(self.bucket.capacity).cast("bigint")
@@ -125,7 +126,7 @@ class Admission:
         if exists(spark, f"{table.batch_path(self.plans, batch_id)}/_SUCCESS"):
             return self.plan_of(spark, batch_id)
         with scratch(spark):
-            states = stage(self._states(self.plan_of(spark, batch_id - 1), now), "states")
+            states = self._states(self.plan_of(spark, batch_id - 1), now)
             upto = F.col("sent_bytes") + F.col("level")
             ahead = self._segments.join(states, _KEYS).where((F.col("last_off") >= F.col("position")) & (F.col("level") >= 0))
             reached = F.col("bytes_before") + F.col("bytes")
@@ -139,8 +140,9 @@ class Admission:
             last = stage(last.select(*LOG_KEYS, SEGMENT, "rows_before", "bytes_before", "position", "level", upto.alias("upto")), "last")
             in_order = Window.partitionBy(*LOG_KEYS).orderBy("off")
             so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            rows = only_segments(self.log.rows, last).select(*LOG_KEYS, "off", self._size.alias("size"))
-            rows = rows.join(last.drop(SEGMENT), _KEYS).select(
+            # a row for each partition, whose segment is the only one that is opened
+            rows = self.log.rows.select(*LOG_KEYS, SEGMENT, "off", self._size.alias("size"))
+            rows = rows.join(small(last.where(F.col(SEGMENT) >= "")), [*LOG_KEYS, SEGMENT]).select(
                 *LOG_KEYS, "off", "position", "level", "upto", "size",
                 (F.col("rows_before") + F.count("*").over(so_far)).alias("rows"),
                 (F.col("bytes_before") + F.sum("size").over(so_far)).alias("total"),
