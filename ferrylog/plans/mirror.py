@@ -12,7 +12,8 @@ from ferrylog.operators.ordered import SEGMENT_SPAN
 from ferrylog.operators.segments import StoredLog, rows_of
 from ferrylog.settings import LOG_KEYS, MirrorSettings
 from ferrylog.sources import table
-from ferrylog.staging import stage
+from ferrylog.sources.checkpoints import CheckpointStore
+from ferrylog.staging import scratch, stage
 
 
 def _configured(log: DataFrame | StoredLog, bounds: DataFrame, starting: str, ts: str) -> DataFrame:
@@ -100,6 +101,34 @@ def mirror_job(log: DataFrame, checkpoints: DataFrame, settings: MirrorSettings,
     )
 
 
+def run_mirror(
+    log: DataFrame | StoredLog, store: CheckpointStore, path: str, settings: MirrorSettings, *, owner: str, **options
+) -> int:
+    """One run of the batch mirror: resume from the saved positions, copy, then save the positions reached.
+
+    Rows are written under the number of the snapshot that their positions are saved in, by replacement: a run
+    that was cut off and is begun again by the same ``owner`` writes the same rows to the same place. The
+    number is claimed before anything is written, so of two runs that began from one snapshot the second
+    one fails (``StaleWriter``) before it has copied a row. Returns the new snapshot's number.
+    """
+    spark = rows_of(log).sparkSession
+    begun = store.latest(spark)
+    store.claim(spark, begun + 1, owner)
+    mine = rows_of(log).where(F.col("topic") == settings.source)
+    source = StoredLog(mine, log.segments.where(F.col("topic") == settings.source)) if isinstance(log, StoredLog) else mine
+    with scratch(spark):
+        saved = store.read(spark, begun).where(F.col("job_id") == settings.client_id)
+        bounds = offsets.offset_bounds(source)
+        starts = start_positions(source, saved, starting=settings.starting, force=settings.force_start)
+        copied = mirror_batch(source, saved, target=settings.target, batch_rows=settings.batch_rows, starting=settings.starting,
+                              force=settings.force_start, **options)
+        table.write_batch(table.laid_out(copied), path, begun + 1)
+        # the end of the log that was read; a start behind it is kept
+        ends = bounds.join(starts.select(*LOG_KEYS, "start_off"), list(LOG_KEYS))
+        reached = ends.select(*LOG_KEYS, F.lit(begun + 1).cast("bigint").alias("seq"), F.greatest("latest", "start_off").alias("off"))
+        return store.commit(reached, begun, job_id=settings.client_id, owner=owner)
+
+
 def target_topic(target: str):
     """Expression for the target topic; a name ending in ``_`` is put before the source topic."""
     return F.concat(F.lit(target), F.col("topic")) if target.endswith("_") else F.lit(target)

@@ -489,6 +489,17 @@ _STREAMS = {
         "log daily",
         "SELECT topic, part, win_start, bytes, bytes > 150 AS over_limit FROM daily",
     ),
+    "late_volume": (
+        "log",
+        """SELECT topic, part, win_start, CAST(coalesce(sum(size) FILTER (WHERE NOT late), 0) AS BIGINT) AS bytes,
+                  CAST(coalesce(sum(size) FILTER (WHERE late), 0) AS BIGINT) AS late_bytes, count(*) FILTER (WHERE late) AS late_rows,
+                  coalesce(sum(size) FILTER (WHERE NOT late), 0) > 150 AS over_limit, bool_and(closed) AS closed
+           FROM (SELECT topic, part, win_start, size, closed, closed AND us < (low + high) // 2 AS late
+                 FROM (SELECT topic, part, time_bucket(INTERVAL 1 DAY, ts) AS win_start, strlen(payload) AS size, epoch_us(ts) AS us,
+                              epoch_us(time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY) <= high - 259200000000 AS closed, low, high
+                       FROM log CROSS JOIN (SELECT min(epoch_us(ts)) AS low, max(epoch_us(ts)) AS high FROM log) e) x) y
+           GROUP BY topic, part, win_start""",
+    ),
     "replay_stream": (
         "log failed",
         """SELECT topic, part, off, payload, false AS replayed FROM log

@@ -19,7 +19,7 @@ from ferrylog.streaming.mirror import StreamMirror
 from ferrylog.streaming.replay import ReplayFromLog, replay_stream as replayed, tagged
 from ferrylog.streaming.runs import run_available
 from ferrylog.streaming.throttle import kept_limit, throttled_stream as throttled
-from ferrylog.streaming.volume import volume_stream as volumes
+from ferrylog.streaming.volume import VolumeLedger, volume_stream as volumes
 
 
 # Admission limit of the test streams, fixed and small, as the test tables are; a job sets its own.
@@ -123,6 +123,19 @@ def volume_stream(inputs: Inputs) -> DataFrame:
     return result.withColumn("win_start", F.col("win_start").cast("timestamp_ntz"))
 
 
+def late_volume(inputs: Inputs) -> DataFrame:
+    """The newer half of the log arrives first; of the older half, what is more than three days behind is late."""
+    log, feed = inputs.log(), new_folder(inputs.spark, "feed")
+    ledger = VolumeLedger(new_folder(inputs.spark, "ledger"), "1 day", "3 days", size_of(F.col("payload")))
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    middle = F.lit(log.select(micros.alias("m")).agg(F.expr("(min(m) + max(m)) div 2")).first()[0])
+    for arrived in (log.where(micros >= middle), log.where(micros < middle)):
+        table.write_log(arrived, feed, mode="append")
+        run_available(table.stream_log(inputs.spark, feed, LOG_SCHEMA), ledger.copy, f"{ledger.root}/checkpoint")
+    windows = ledger.windows(inputs.spark, limit=150)
+    return windows.withColumn("win_start", F.col("win_start").cast("timestamp_ntz"))
+
+
 def _failed_stream(inputs: Inputs, root: str) -> DataFrame:
     inputs.failed().write.parquet(f"{root}/failed")
     schema = "topic STRING, part INT, off BIGINT, failed_at TIMESTAMP_NTZ"
@@ -188,6 +201,7 @@ STREAMS = {
         admitted_mirror,
         throttled_stream,
         volume_stream,
+        late_volume,
         replay_stream,
         replay_from_log,
         idle_stream,
