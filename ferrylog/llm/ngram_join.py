@@ -262,7 +262,11 @@ class NgramJoin:
 
         one = sets.select(F.col("rep").alias("a"), F.col("bits").alias("bits_a"), F.col("items").alias("items_a"))
         two = sets.select(F.col("rep").alias("b"), F.col("bits").alias("bits_b"), F.col("items").alias("items_b"))
-        both = pairs.join(one, "a").join(two, "b").select("a", "b", "bits_a", "bits_b", "items_a", "items_b")
+        # sets are long and pairs short: a short list of pairs goes to the sets, so that only what is in a
+        # pair is shuffled, and the one end of each pair that is met there
+        pairs = stage(pairs, "pairs")
+        one = one.join(small(stage(pairs.select("a").distinct(), "leaders")), "a", "left_semi")
+        both = two.join(small(pairs), "b").join(one, "a").select("a", "b", "bits_a", "bits_b", "items_a", "items_b")
         found = both.mapInArrow(verify, "a bigint, b bigint, linked boolean")
         return found.groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
@@ -323,8 +327,7 @@ class NgramJoin:
         postings = self.postings()
         tiles = postings.groupBy("key").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low < high")
         tiles = stage(tiles.select("key"), "tiles")
-        # postings are many and tiles few: they are dealt out again, but not shuffled to meet the list
-        members = postings.join(small(tiles), "key").distinct().join(reps.select("k1", "rep"), "k1").select("key", "rep")
+        members = postings.join(tiles, "key").distinct().join(reps.select("k1", "rep"), "k1").select("key", "rep")
         members = stage(members, "members")
         sets = stage(self.sets(members.select("rep").distinct()), "sets")
 
