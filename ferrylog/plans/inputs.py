@@ -118,6 +118,15 @@ class Inputs:
         """The list of failed rows, reported as they were written."""
         return self.log().where("event_id % 97 = 1").select(*LOG_KEYS, "off", F.col("ts").alias("failed_at"))
 
+    def finished(self) -> DataFrame:
+        """What has finished out of order: one row in eight is still open wherever it lies."""
+        return self.log().where("event_id % 8 <> 3").select(*LOG_KEYS, "off")
+
+    def leader_reports(self) -> DataFrame:
+        """Who leads a partition from a moment on, NULL when nobody does; the log's own rows tell, one in 53."""
+        leader = F.when(F.col("event_id") % 7 != 0, F.col("event_id") % 4).cast("int")
+        return self.log().where("event_id % 53 = 1").select(*LOG_KEYS, "ts", "event_id", leader.alias("leader"))
+
     def topic_state(self) -> DataFrame:
         """Leaders at four snapshots: ``click`` moves at the second, (view, 3) has none at the first."""
         snaps = F.explode(F.array(*[F.lit(n) for n in range(SNAPSHOTS)])).alias("snap")

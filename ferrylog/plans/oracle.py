@@ -26,6 +26,18 @@ SELECT topic, part, event_id AS seq,
        CASE WHEN event_id % 6 = 1 THEN greatest(off - 60, 0) ELSE off + 1 END AS off, ts
 FROM log""",
     "failed": "SELECT topic, part, off FROM log WHERE event_id % 97 = 1",
+    "done": """
+SELECT topic, part, off FROM log LEFT JOIN ckpt USING (topic, part) WHERE event_id % 8 <> 3 OR off < committed""",
+    "still_open": "SELECT topic, part, off FROM log ANTI JOIN done USING (topic, part, off)",
+    "islands": """
+SELECT topic, part, min(off) AS low, max(off) AS high
+FROM (SELECT topic, part, off, off - row_number() OVER (PARTITION BY topic, part ORDER BY off) AS island FROM still_open) x
+GROUP BY topic, part, island""",
+    "reports": """
+SELECT topic, part, ts AS since, event_id AS reported,
+       CAST(CASE WHEN event_id % 7 <> 0 THEN event_id % 4 END AS INT) AS leader
+FROM log WHERE event_id % 53 = 1
+QUALIFY row_number() OVER (PARTITION BY topic, part, ts ORDER BY event_id DESC) = 1""",
     "topic_state": """
 SELECT snap, topic, part,
   '{"controller_epoch":4,"isr":[' || CAST(part % 3 AS VARCHAR) || ',' || CAST((part + 1) % 3 AS VARCHAR)
@@ -533,8 +545,32 @@ _STREAMS = {
     ),
 }
 
+_OPEN = "log ckpt done still_open islands"
+_SETS = {
+    "row_leaders": (
+        "log reports brokers addresses",
+        """SELECT topic, part, off, reported, leader, host
+           FROM (SELECT l.topic, l.part, l.off, r.reported, r.leader
+                 FROM log l ASOF LEFT JOIN reports r ON l.topic = r.topic AND l.part = r.part AND l.ts >= r.since) x
+                LEFT JOIN addresses ON leader = broker_id""",
+    ),
+    "open_ranges": (_OPEN, "SELECT topic, part, low, high FROM islands"),
+    "inflight_ranges": (
+        _OPEN,
+        """SELECT topic, part, CAST(coalesce(n, 0) AS BIGINT) AS n_inflight, coalesce(n_ranges, 0) AS n_ranges,
+                  coalesce(lowest, past) AS safe_off
+           FROM (SELECT topic, part, max(off) + 1 AS past FROM log GROUP BY topic, part) e
+           LEFT JOIN (SELECT topic, part, sum(high - low + 1) AS n, count(*) AS n_ranges, min(low) AS lowest
+                      FROM islands GROUP BY topic, part) i USING (topic, part)""",
+    ),
+    "failed_and_done": (
+        "log ckpt failed done",
+        "SELECT f.topic, f.part, f.off, d.off IS NOT NULL AS done FROM failed f LEFT JOIN done d USING (topic, part, off)",
+    ),
+}
+
 ORACLE = {
     name: with_ctes(*spec)
-    for group in (_SOURCES, _ROWWISE, _JOINS, _AGGREGATES, _WINDOWS, _CHECKS, _STREAMS)
+    for group in (_SOURCES, _ROWWISE, _JOINS, _AGGREGATES, _WINDOWS, _CHECKS, _STREAMS, _SETS)
     for name, spec in group.items()
 }

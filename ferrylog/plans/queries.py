@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ferrylog.functions import paths
 from ferrylog.functions.text import decode_payload, dump_line, size_of
-from ferrylog.operators import batching, log as log_ops, metadata, monitor, offsets, replay
+from ferrylog.operators import asof, batching, log as log_ops, metadata, monitor, offsets, ranges, replay
 from ferrylog.plans import mirror, streams
 from ferrylog.plans.inputs import SNAPSHOTS, Inputs
 from ferrylog.settings import LOG_KEYS
@@ -252,6 +252,43 @@ def accepted_leaders(inputs):
     return metadata.accept_leader(tries.join(stage(failed, "failed"), list(LOG_KEYS)))
 
 
+@query
+def row_leaders(inputs):
+    """Each row with the broker that led its partition when it was written, as leaders move."""
+    brokers = metadata.parse_brokers(inputs.brokers()).select(F.col("broker_id").alias("leader"), "host")
+    reports = inputs.leader_reports().withColumn("since", asof.micros(F.col("ts")))
+    hosted = reports.join(stage(brokers, "brokers"), "leader", "left").withColumn("reported", F.col("event_id"))
+    rows = inputs.log().select(*LOG_KEYS, "off", asof.micros(F.col("ts")).alias("at"))
+    return asof.as_of(rows, hosted, ["reported", "leader", "host"], at="at", tie="event_id").drop("at")
+
+
+# --- sets of offsets
+
+
+def _done(inputs: Inputs) -> DataFrame:
+    """Finished one by one, or lying before the saved position."""
+    saved = _bounds(inputs).join(inputs.checkpoints(), list(LOG_KEYS))
+    return ranges.union(ranges.of_offsets(inputs.finished()), ranges.below(saved))
+
+
+@query
+def open_ranges(inputs):
+    """Runs of offsets that were read and have not finished."""
+    return ranges.difference(ranges.of_offsets(inputs.log()), _done(inputs))
+
+
+@query
+def inflight_ranges(inputs):
+    """Finishes out of order: how much is open, and which position is safe to save."""
+    return ranges.inflight(ranges.of_offsets(inputs.log()), _done(inputs))
+
+
+@query
+def failed_and_done(inputs):
+    """Of the failed offsets, which have finished since and need no replay."""
+    return ranges.contained(inputs.failed().drop("failed_at"), _done(inputs), "done")
+
+
 # --- aggregations
 
 
