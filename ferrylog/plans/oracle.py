@@ -554,6 +554,30 @@ _SETS = {
                  FROM log l ASOF LEFT JOIN reports r ON l.topic = r.topic AND l.part = r.part AND l.ts >= r.since) x
                 LEFT JOIN addresses ON leader = broker_id""",
     ),
+    "greedy_fetches": (
+        "doclog sized_docs",
+        """, chain AS (
+             SELECT topic, part, off, cum - coalesce(n_bytes, 0) AS base FROM sized_docs WHERE rn = 1
+             UNION ALL
+             SELECT s.topic, s.part, s.off, s.cum - coalesce(s.n_bytes, 0)
+             FROM (SELECT c.topic, c.part, min(d.off) AS off
+                   FROM chain c JOIN sized_docs d ON c.topic = d.topic AND c.part = d.part AND d.off > c.off AND d.cum > c.base + 65536
+                   GROUP BY c.topic, c.part) n JOIN sized_docs s USING (topic, part, off)),
+           ends AS (SELECT topic, part, max(off) + 1 AS past, max(cum) AS total FROM sized_docs GROUP BY topic, part)
+           SELECT topic, part, row_number() OVER w - 1 AS fetch_id, off AS first_off, coalesce(lead(off) OVER w, past) AS next_off,
+                  CAST(coalesce(lead(base) OVER w, total) - base AS BIGINT) AS bytes
+           FROM chain JOIN ends USING (topic, part) WINDOW w AS (PARTITION BY topic, part ORDER BY off)""",
+    ),
+    "spaced_saves": (
+        "log commits",
+        """, chain AS (
+             SELECT topic, part, arg_min(seq, seq) AS seq, arg_min(ts, seq) AS ts FROM commits GROUP BY topic, part
+             UNION ALL
+             SELECT c.topic, c.part, min(d.seq), arg_min(d.ts, d.seq)
+             FROM chain c JOIN commits d ON c.topic = d.topic AND c.part = d.part AND d.seq > c.seq AND d.ts >= c.ts + INTERVAL 6 HOUR
+             GROUP BY c.topic, c.part)
+           SELECT topic, part, seq, off, ts FROM commits SEMI JOIN chain USING (topic, part, seq)""",
+    ),
     "open_ranges": (_OPEN, "SELECT topic, part, low, high FROM islands"),
     "inflight_ranges": (
         _OPEN,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ferrylog.functions import paths
 from ferrylog.functions.text import decode_payload, dump_line, size_of
-from ferrylog.operators import asof, batching, log as log_ops, metadata, monitor, offsets, ranges, replay
+from ferrylog.operators import asof, batching, chains, log as log_ops, metadata, monitor, offsets, ranges, replay
 from ferrylog.plans import mirror, streams
 from ferrylog.plans.inputs import SNAPSHOTS, Inputs
 from ferrylog.settings import LOG_KEYS
@@ -349,6 +349,19 @@ def fetch_budget(inputs):
     return rows.select(*LOG_KEYS, "off", "cum_bytes", "fetch_id")
 
 
+@query
+def greedy_fetches(inputs):
+    """Fetches filled to their budget, each from where the last one ended."""
+    return chains.greedy_fetches(inputs.doclog().select(*LOG_KEYS, "off", "n_bytes"), 65_536, size="n_bytes")
+
+
+@query
+def spaced_saves(inputs):
+    """A position is saved once six hours have passed since the last save."""
+    commits = inputs.commits().withColumn("at", asof.micros(F.col("ts")))
+    return chains.saves(commits, 6 * 3_600_000_000, at=F.col("at")).select(*LOG_KEYS, "seq", "off", "ts")
+
+
 @query
 def batch_by_count(inputs):
     return batching.summarize_batches(inputs.log(), 100, size=_payload_size())
