@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ferrylog.functions import endpoints, paths
 from ferrylog.operators.ordered import accumulate
 from ferrylog.settings import LOG_KEYS
+from ferrylog.sources.deltas import DeltaTable
 
 _KEYS = list(LOG_KEYS)
 
@@ -249,5 +250,20 @@ def registrations(states: DataFrame) -> DataFrame:
 def broker_partitions(events: DataFrame) -> DataFrame:
     """Partitions registered with each broker after all events; a broker without any is not listed."""
     last = events.groupBy("broker_id", *LOG_KEYS).agg(F.max_by("action", "seq").alias("action"))
-    held = last.where("action = 'register'").groupBy("broker_id", "topic")
+    return held_partitions(last.where("action = 'register'"))
+
+
+def held_partitions(registered: DataFrame) -> DataFrame:
+    """Partitions of each broker and topic, as one text."""
+    held = registered.groupBy("broker_id", "topic")
     return held.agg(F.array_join(F.array_sort(F.collect_list("part")), ",").alias("parts"))
+
+
+def registry(root: str, *, compact_every: int = 32) -> DeltaTable:
+    """Which partitions are registered with which brokers, as a table that grows by what changed."""
+    return DeltaTable(root, "broker_id INT, topic STRING, part INT, seq BIGINT", ("broker_id", *LOG_KEYS), compact_every)
+
+
+def register(registry: DeltaTable, events: DataFrame, number: int) -> None:
+    """Add events (``registrations``) to the registry as delta ``number``; the last one of a key counts."""
+    registry.write(events, number, order="seq", gone=F.col("action") == "unregister")

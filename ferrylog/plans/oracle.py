@@ -135,6 +135,13 @@ _SOURCES = {
         "log commits",
         "SELECT topic, part, arg_max(off, seq) AS off, max(seq) AS seq FROM commits GROUP BY topic, part",
     ),
+    "checkpoint_deltas": (
+        "log commits",
+        """, quarters AS (SELECT *, (seq - min(seq) OVER ()) * 4 // (max(seq) OVER () - min(seq) OVER () + 1) AS quarter FROM commits)
+           SELECT topic, part, 'job' AS job_id, arg_max(off, seq) AS committed, snapshot
+           FROM quarters JOIN (VALUES (1), (3)) AS s(snapshot) ON quarter <= snapshot
+           GROUP BY topic, part, snapshot""",
+    ),
     "znode_json": (
         _TREE,
         """SELECT path, CAST(data ->> '$.leader' AS INT) AS leader, data ->> '$.host' AS host,
@@ -339,6 +346,18 @@ _AGGREGATES = {
                  GROUP BY broker_id, topic, part) f
            WHERE action = 'register' GROUP BY broker_id, topic""",
     ),
+    "registry_deltas": (
+        f"{_STATES} led",
+        """SELECT broker_id, topic, string_agg(CAST(part AS VARCHAR), ',' ORDER BY part) AS parts
+           FROM (SELECT broker_id, topic, part, arg_max(action, seq) AS action
+                 FROM (SELECT leader AS broker_id, topic, part, snap * 2 + 1 AS seq, 'register' AS action
+                       FROM led WHERE leader IS NOT NULL AND (nth = 1 OR leader IS DISTINCT FROM old_leader)
+                       UNION ALL
+                       SELECT old_leader, topic, part, snap * 2, 'unregister'
+                       FROM led WHERE old_leader IS NOT NULL AND leader IS DISTINCT FROM old_leader) e
+                 GROUP BY broker_id, topic, part) f
+           WHERE action = 'register' GROUP BY broker_id, topic""",
+    ),
     "broker_id_for_host": (
         _TREE,
         """SELECT 'node1' AS prefix, max(CAST(split_part(path, '/', 4) AS INT)) AS broker_id
@@ -524,6 +543,14 @@ _STREAMS = {
            UNION ALL
            SELECT topic, part, off, payload, true FROM log SEMI JOIN failed USING (topic, part, off)""",
     ),
+    "ordered_replay": (
+        "log failed",
+        """, rows AS (SELECT topic, part, off, payload, event_id > (SELECT (min(event_id) + max(event_id)) // 2 FROM log) AS second FROM log),
+           emitted AS (SELECT *, false AS replayed FROM rows UNION ALL SELECT *, true FROM rows SEMI JOIN failed USING (topic, part, off))
+           SELECT topic, part, off, payload, replayed,
+                  row_number() OVER (PARTITION BY topic, part ORDER BY second, replayed DESC, off) AS emission
+           FROM emitted""",
+    ),
     "throttled_stream": (
         "log",
         """SELECT topic, part, count(*) AS n, CAST(sum(strlen(payload)) AS BIGINT) AS bytes, true AS kept_limit

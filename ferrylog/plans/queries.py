@@ -15,6 +15,7 @@ from ferrylog.plans import mirror, streams
 from ferrylog.plans.inputs import SNAPSHOTS, Inputs
 from ferrylog.settings import LOG_KEYS
 from ferrylog.sources import generate, kafka
+from ferrylog.sources.checkpoints import CheckpointStore
 from ferrylog.staging import new_folder, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +87,30 @@ def checkpoint_upsert(inputs):
     return metadata.checkpoint_upsert(inputs.commits())
 
 
+@query
+def checkpoint_deltas(inputs):
+    """Four saves, each a delta, with a base after the third: the second snapshot and the last one."""
+    commits = inputs.commits()
+    low, span = commits.agg(F.min("seq"), F.max("seq") - F.min("seq") + 1).first()
+    store = CheckpointStore(new_folder(inputs.spark, "saved"))
+    for n in range(4):
+        store.save(commits.where((F.col("seq") - low) * 4 >= n * span).where((F.col("seq") - low) * 4 < (n + 1) * span), n, job_id="job")
+        if n == 2:
+            store.positions.compact(inputs.spark)
+    states = [store.read(inputs.spark, n).withColumn("snapshot", F.lit(n)) for n in (1, 3)]
+    return states[0].unionByName(states[1])
+
+
+@query
+def registry_deltas(inputs):
+    """The registry grows by the registrations of each snapshot of leaders, and is compacted on the way."""
+    events = stage(metadata.registrations(metadata.parse_states(inputs.topic_state())), "registrations")
+    registry = metadata.registry(new_folder(inputs.spark, "registry"), compact_every=2)
+    for snap in range(SNAPSHOTS):
+        metadata.register(registry, events.where(F.expr(f"seq div 2 = {snap}")), snap)
+    return metadata.held_partitions(registry.read(inputs.spark))
+
+
 @query
 def znode_json(inputs):
     return metadata.node_json(inputs.nodes())

@@ -166,6 +166,19 @@ def replay_from_log(inputs: Inputs) -> DataFrame:
     return replay.replayed(inputs.spark).select(*LOG_KEYS, "off", "payload", "replayed")
 
 
+def ordered_replay(inputs: Inputs) -> DataFrame:
+    """All failures are known at once, the rows arrive in two parts; each row has its place in the order of emission."""
+    log, root = inputs.log(), new_folder(inputs.spark, "replay")
+    feed, failed = f"{root}/feed", _failed_stream(inputs, root)
+    replay = ReplayFromLog(root, lambda spark: table.read_log(spark, feed, LOG_SCHEMA), numbered=True)
+    middle = log.agg(F.expr("(min(event_id) + max(event_id)) div 2")).first()[0]
+    for arrived in (log.where(F.col("event_id") <= middle), log.where(F.col("event_id") > middle)):
+        table.write_log(arrived, feed, mode="append")
+        rows = tagged(table.stream_log(inputs.spark, feed, LOG_SCHEMA), failed)
+        run_available(rows, replay.copy, f"{root}/checkpoint")
+    return replay.replayed(inputs.spark).select(*LOG_KEYS, "emission", "off", "payload", "replayed")
+
+
 def idle_stream(inputs: Inputs) -> DataFrame:
     spans = activity_sessions(_log_stream(inputs), gap="240 minutes")
     result = _whole_result(spans, new_folder(inputs.spark, "idle"))
@@ -204,6 +217,7 @@ STREAMS = {
         late_volume,
         replay_stream,
         replay_from_log,
+        ordered_replay,
         idle_stream,
         metadata_refresh_stream,
     )

@@ -1,7 +1,8 @@
 """Saved offsets as a table of snapshots.
 
-Each save writes a whole new snapshot, so a reader sees the old state or the new one and never a mixture. Runs that
-may meet on the same partitions save with ``commit``, which compares with the snapshot they began from.
+Each save writes the positions that moved, as a delta on the snapshot before it; a reader sees the old state or the
+new one and never a mixture. Runs that may meet on the same partitions save with ``commit``, which compares with the
+snapshot they began from.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrylog.settings import LOG_KEYS
-from ferrylog.sources import table
+from ferrylog.sources.deltas import DeltaTable
 
 
 class StaleWriter(RuntimeError):
@@ -28,35 +29,29 @@ class CheckpointStore:
     """Snapshots 0, 1, 2, ... of the saved offset of every partition."""
 
     root: str
+    #: so many deltas are read on top of a base at most
+    compact_every: int = 32
+
+    @property
+    def positions(self) -> DeltaTable:
+        return DeltaTable(self.root, SCHEMA, LOG_KEYS, self.compact_every)
 
     def read(self, spark: SparkSession, snapshot: int) -> DataFrame:
         """One snapshot; the one before the first is empty."""
-        if snapshot < 0:
-            return spark.createDataFrame([], SCHEMA)
-        return spark.read.schema(SCHEMA).parquet(table.batch_path(self.root, snapshot))
+        return self.positions.read(spark, snapshot)
 
     def latest(self, spark: SparkSession) -> int:
         """Number of the newest complete snapshot, -1 when there is none."""
-        return table.last_batch(spark, self.root)
+        return self.positions.latest(spark)
 
     def save(self, commits: DataFrame, snapshot: int, *, job_id: str) -> None:
         """Snapshot ``snapshot``: the one before it, with ``commits (topic, part, seq, off)`` on top.
 
         The last commit of a partition wins, whether or not it goes back. Saving a number again
-        replaces that snapshot.
+        replaces that snapshot, as long as it has not been made a base.
         """
-        before = self.read(commits.sparkSession, snapshot - 1).select(
-            *LOG_KEYS, "job_id", "committed", F.lit(0).alias("turn"), F.lit(0).cast("bigint").alias("seq")
-        )
-        new = commits.select(
-            *LOG_KEYS, F.lit(job_id).alias("job_id"), F.col("off").alias("committed"), F.lit(1).alias("turn"), "seq"
-        )
-        kept = (
-            before.unionByName(new)
-            .groupBy(*LOG_KEYS)
-            .agg(F.max_by(F.struct("job_id", "committed"), F.struct("turn", "seq")).alias("last"))
-        )
-        table.write_batch(kept.select(*LOG_KEYS, "last.job_id", "last.committed"), self.root, snapshot)
+        new = commits.select(*LOG_KEYS, F.lit(job_id).alias("job_id"), F.col("off").alias("committed"), "seq")
+        self.positions.write(new, snapshot, order="seq")
 
     def claim(self, spark: SparkSession, snapshot: int, owner: str) -> None:
         """Make a snapshot number one's own; ``StaleWriter`` if another run has it or a newer one is there.

@@ -11,12 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ferrylog.operators.ordered import number_rows
 from ferrylog.operators.replay import rows_at
 from ferrylog.settings import LOG_KEYS
 from ferrylog.sources import table
+from ferrylog.sources.deltas import DeltaTable
 from ferrylog.staging import scratch, stage
 
 def replay_stream(
@@ -59,10 +61,15 @@ class ReplayFromLog:
     ``read_log`` gives that log as a batch table. Each micro-batch is written under its id, with the
     failures it leaves open, so that redoing it changes nothing. A failure beyond the end of the log
     stays open until its row is there.
+
+    With ``numbered`` every row has its place in the order of emission of its partition, ``emission`` 1, 2, 3, ...:
+    batch by batch, in a batch first the replayed rows and then the new ones, each in offset order. The numbers
+    reached are carried from batch to batch as deltas of the partitions that moved.
     """
 
     root: str
     read_log: Callable[[SparkSession], DataFrame]
+    numbered: bool = False
 
     def copy(self, batch: DataFrame, batch_id: int) -> None:
         """Take rows with ``failed = false`` as new, and offsets with ``failed = true`` as notices."""
@@ -76,15 +83,50 @@ class ReplayFromLog:
         log = self.read_log(spark)
         fresh = batch.where(~F.col("failed")).select(log.columns)
         if wanted.isEmpty():  # the log is not read again
-            table.write_batch(fresh.withColumn("replayed", F.lit(False)), f"{self.root}/out", batch_id)
+            self._emit(fresh, None, batch_id)
             table.write_batch(wanted, f"{self.root}/open", batch_id)
             return
         again = stage(rows_at(log, wanted).select(log.columns), "again")
-        out = again.withColumn("replayed", F.lit(True)).unionByName(fresh.withColumn("replayed", F.lit(False)))
-        table.write_batch(out, f"{self.root}/out", batch_id)
+        self._emit(fresh, again, batch_id)
         left = wanted.join(again.select(*LOG_KEYS, "off"), [*LOG_KEYS, "off"], "left_anti")
         table.write_batch(left, f"{self.root}/open", batch_id)
 
+    def _emit(self, fresh: DataFrame, again: DataFrame | None, batch_id: int) -> None:
+        """Write the rows of a batch; ``again`` is staged."""
+        if self.numbered:
+            fresh, again = self._in_order(fresh, again, batch_id)
+        out = fresh.withColumn("replayed", F.lit(False))
+        if again is not None:
+            out = again.withColumn("replayed", F.lit(True)).unionByName(out)
+        table.write_batch(out, f"{self.root}/out", batch_id)
+        if self.numbered:  # read back: what was written is what later numbers go on from
+            written = fresh.sparkSession.read.schema(out.schema).parquet(table.batch_path(f"{self.root}/out", batch_id))
+            self.numbers.write(written.groupBy(*LOG_KEYS).agg(F.max("emission").alias("reached")), batch_id)
+
+    def _in_order(self, fresh: DataFrame, again: DataFrame | None, batch_id: int) -> tuple[DataFrame, DataFrame | None]:
+        """Both kinds of rows with ``emission``; running totals, so that no partition is sorted in one task."""
+        keys = list(LOG_KEYS)
+        before = self.numbers.read(fresh.sparkSession, batch_id - 1)
+        if again is not None:
+            counts = again.groupBy(*keys).agg(F.count("*").alias("__again"))
+            before = before.join(counts, keys, "full")
+        else:
+            before = before.withColumn("__again", F.lit(0).cast("bigint"))
+        first, ahead = F.coalesce("reached", F.lit(0)), F.coalesce("__again", F.lit(0))
+        facts = stage(before.select(*keys, first.alias("__first"), ahead.alias("__ahead")), "emission")
+
+        def numbered(rows: DataFrame, base: Column) -> DataFrame:
+            placed = number_rows(rows, "emission").join(facts, keys, "left")
+            return placed.withColumn("emission", F.col("emission") + F.coalesce(base, F.lit(0))).drop("__first", "__ahead")
+
+        later = numbered(fresh, F.col("__first") + F.col("__ahead"))
+        return later, None if again is None else numbered(again, F.col("__first"))
+
+    @property
+    def numbers(self) -> DeltaTable:
+        """The emission number that each partition has reached."""
+        return DeltaTable(f"{self.root}/numbers", "topic STRING, part INT, reached BIGINT", LOG_KEYS, 32)
+
     def _open_before(self, spark: SparkSession, batch_id: int) -> DataFrame:
         schema = "topic STRING, part INT, off BIGINT"
         if batch_id == 0:
