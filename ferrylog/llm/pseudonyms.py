@@ -1,8 +1,9 @@
 """Format-preserving pseudonyms for personal data, by keyed Feistel permutations.
 
 Values are found by pattern, validated (Luhn sum, calendar, octets, ISO 7064), and replaced by another
-valid value of the same format: separators, letter case, country and issuer digits, check rules and
-lengths stay (a day or month of one digit is written with two). A value is a list of digits or letters, each below its radix; a Feistel network over the
+valid value of the same format: separators, letter case, country and issuer digits and check rules stay, and
+lengths too but for two kinds: a day or month of one digit is written with two, and an octet with as many
+digits as it needs. A value is a list of digits or letters, each below its radix; a Feistel network over the
 two halves of the list, with keyed BLAKE2 as its round function, permutes all lists of the same kind
 and radices. Where only some lists are valid the permutation is repeated until the result is. So equal
 values get equal pseudonyms in every document, however they are punctuated, different values never
@@ -16,6 +17,12 @@ rows are handled alone, so ties and repeated rows do not matter; an empty table
 searched whole, from every start; a card number may end at any end of a group of digits and an account
 number where its country says or at any end of a word, whatever stands beside it. Candidates that do
 not pass validation at any length (a card number with a wrong sum, 31 February) are left as they are.
+Dates with slashes are read month first, and day first where the month would be above 12; days up to 12 stay
+so, hence a pseudonym is read the way its value was. Dates of 1900 to 2099 stay in these years, earlier and
+later ones stay earlier and later. Phone numbers are found in the North American form, in the
+forms of France, Germany and Spain, and in any country's with ``+``; the country and the first digit after it
+stay, and a number is linked to itself with and without its country. Of a number with ``+`` further groups of
+digits right behind it count as its end, up to 15 digits. Four numbers after ``version`` or ``release`` are no address.
 """
 
 from __future__ import annotations
@@ -24,16 +31,20 @@ import datetime
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, replace
 from heapq import heappop, heappush
-from math import prod
+from math import isqrt, prod
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 ROUNDS = 10
-FIRST_DAY, DAYS = datetime.date(1900, 1, 1), 73_049  # to the end of 2099
+FIRST_DAY = datetime.date(1900, 1, 1)
+#: Pseudonyms of dates stay between the same two of these days; the last one is past the end of the calendar.
+ERAS = [d.toordinal() for d in (datetime.date.min, datetime.date(1000, 1, 1), FIRST_DAY, datetime.date(2100, 1, 1))]
+ERAS.append(datetime.date.max.toordinal() + 1)
 MAX_WALK = 10_000
 SECRET_PIECE = 200
 #: Lengths of account numbers by country, as the registry of ISO 13616 lists them.
@@ -176,6 +187,29 @@ def swap_phone(feistel: Feistel, text: str, back: bool) -> str | None:
     return _refill(text, [*head, *feistel.permute(rest, [10] * 10, b"phone", back)])
 
 
+def _swap_rest(feistel: Feistel, text: str, digits: list[int], kept: int, tweak: bytes, back: bool) -> str:
+    rest = digits[kept:]
+    return _refill(text, [*digits[:kept], *feistel.permute(rest, [10] * len(rest), tweak, back)])
+
+
+def swap_national(country: int, trunk: int) -> Callable[[Feistel, str, bool], str]:
+    """Numbers as they are written in their country: behind ``trunk`` digits the first digit stays."""
+
+    def swap(feistel: Feistel, text: str, back: bool) -> str:
+        digits = _digits(text)
+        return _swap_rest(feistel, text, digits, trunk + 1, b"phone %d %d" % (country, digits[trunk]), back)
+
+    return swap
+
+
+def swap_abroad(feistel: Feistel, text: str, back: bool) -> str | None:
+    digits = _digits(text)
+    if digits[0] == 1 and len(digits) == 11:
+        return swap_phone(feistel, text, back)
+    kept = 3 if digits[:2] in ([3, 3], [3, 4], [4, 9]) else 2
+    return _swap_rest(feistel, text, digits, kept, b"phone %d%d %d" % (*digits[:2], digits[2] if kept == 3 else 0), back)
+
+
 def swap_social(feistel: Feistel, text: str, back: bool) -> str | None:
     def valid(d: list[int]) -> bool:
         area = d[0] * 100 + d[1] * 10 + d[2]
@@ -196,19 +230,25 @@ def swap_ip(feistel: Feistel, text: str, back: bool) -> str | None:
 
 def swap_date(feistel: Feistel, text: str, back: bool) -> str | None:
     parts = re.split(r"[-./]", text)
-    order = "ymd" if len(parts[0]) == 4 else "dmy" if "." in text else "mdy"
+    order = "ymd" if len(parts[0]) == 4 else "dmy" if "." in text or int(parts[0]) > 12 else "mdy"
     at = {k: order.index(k) for k in "ymd"}
     try:
-        day = (datetime.date(*(int(parts[at[k]]) for k in "ymd")) - FIRST_DAY).days
+        given = datetime.date(*(int(parts[at[k]]) for k in "ymd"))
     except ValueError:
         return None
-    if not 0 <= day < DAYS:
-        return None
-    radices = [10] * 5
-    fresh = _walk(
-        lambda d: feistel.permute(d, radices, b"date", back), _list(day, radices), lambda d: _number(d, radices) < DAYS
-    )
-    date = FIRST_DAY + datetime.timedelta(days=_number(fresh, radices))
+
+    era = bisect_right(ERAS, given.toordinal()) - 1
+    first, days = ERAS[era], ERAS[era + 1] - ERAS[era]
+    radices = [isqrt(days) + 1] * 2  # two numbers that make one a little above the days of the era
+
+    def alike(d: list[int]) -> bool:
+        n = _number(d, radices)
+        return n < days and (datetime.date.fromordinal(first + n).day > 12) == (given.day > 12)
+
+    def step(d: list[int]) -> list[int]:
+        return feistel.permute(d, radices, b"date %d" % era, back)
+
+    date = datetime.date.fromordinal(first + _number(_walk(step, _list(given.toordinal() - first, radices), alike), radices))
     values = {"y": f"{date.year:04d}", "m": f"{date.month:02d}", "d": f"{date.day:02d}"}
     separators = re.findall(r"[-./]", text)
     return values[order[0]] + separators[0] + values[order[1]] + separators[1] + values[order[2]]
@@ -250,19 +290,31 @@ def swap_key(feistel: Feistel, text: str, back: bool) -> str | None:
     return text[:4] + _swap_word(feistel, text[4:], b"key", back)
 
 
-def _swap_hex(feistel: Feistel, word: str, back: bool) -> str:
-    """Letters and digits of a secret; hexadecimal ones stay hexadecimal.
+def _swap_pieces(feistel: Feistel, word: str, tweak: bytes, back: bool) -> str:
+    """Long secrets are permuted in pieces, each under a tweak of its own, so that the work stays linear."""
+    pieces = range(0, len(word), SECRET_PIECE)
+    return "".join(
+        _swap_word(feistel, word[at : at + SECRET_PIECE], tweak + (b"%d" % at if at else b""), back) for at in pieces
+    )
 
-    Long secrets are permuted in pieces, each under a tweak of its own, so that the work stays linear.
-    """
-    kind, out = b"hex" if re.fullmatch(r"[0-9a-f]+", word) else b"secret", []
+
+def _is_hex(word: str) -> bool:
+    return re.fullmatch(r"[0-9a-f]{8,}", word) is not None
+
+
+def _swap_hex(feistel: Feistel, word: str, back: bool) -> str:
+    """Letters and digits of a secret; hexadecimal ones stay hexadecimal, and others of one piece stay others."""
+    if not _is_hex(word):
+        for _ in range(MAX_WALK):
+            word = _swap_pieces(feistel, word, b"secret", back)
+            if len(word) > SECRET_PIECE or not _is_hex(word):
+                return word
+        raise RuntimeError("no valid value found")
+    out = []
     for at in range(0, len(word), SECRET_PIECE):
-        piece, tweak = word[at : at + SECRET_PIECE], kind + (b"%d" % at if at else b"")
-        if kind == b"hex":
-            values = [int(c, 16) for c in piece]
-            out += ["0123456789abcdef"[v] for v in feistel.permute(values, [16] * len(values), tweak, back)]
-        else:
-            out.append(_swap_word(feistel, piece, tweak, back))
+        values = [int(c, 16) for c in word[at : at + SECRET_PIECE]]
+        tweak = b"hex" + (b"%d" % at if at else b"")
+        out += ["0123456789abcdef"[v] for v in feistel.permute(values, [16] * len(values), tweak, back)]
     return "".join(out)
 
 
@@ -271,15 +323,35 @@ def swap_secret(feistel: Feistel, text: str, back: bool) -> str | None:
     return head + _swap_hex(feistel, text[len(head) :], back)
 
 
+def swap_token(feistel: Feistel, text: str, back: bool) -> str | None:
+    head = re.match(r"github_pat_|\w+?[_-]", text).group(0)
+    return head + _swap_pieces(feistel, text[len(head) :], b"token " + head.encode(), back)
+
+
+def swap_private_key(feistel: Feistel, text: str, back: bool) -> str | None:
+    head = re.match(r"-----BEGIN [A-Z ]*-----", text).group(0)
+    return head + _swap_pieces(feistel, text[len(head) :], b"private key", back)
+
+
+#: What tokens begin with that name their issuer.
+TOKEN_HEADS = ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "sk-", "xoxb-", "xoxp-", "xoxa-", "glpat-")
+_NO_DIGIT_BEFORE, _NO_DIGIT_AFTER = r"(?<![\w.+/(-])(?<!\d[ ./-])", r"(?![ ./-]?\d)"
+
 KINDS = (
     Kind("email", r"[\w.+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}", swap_email),
     Kind("key", r"\bAKIA[A-Z0-9]{16}\b", swap_key),
-    Kind("secret", r"(?i:\b(?:password|passwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?[\w/+-]{8,})", swap_secret),
+    Kind("token", rf"(?<![\w-])(?:{'|'.join(TOKEN_HEADS)})(?=[A-Za-z_-]*\d)[A-Za-z0-9_-]{{16,}}", swap_token),
+    Kind("private_key", r"-----BEGIN (?:[A-Z]{1,10} ){0,3}PRIVATE KEY-----(?:\s*+[A-Za-z0-9+/=]{16,}+)++(?:\s*[A-Za-z0-9+/=]+(?=\s*-----END))?", swap_private_key),
+    Kind("secret", r"(?i:\b(?:password|passwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?(?:[\w/+-]{8,}|(?=[A-Za-z_/+-]*[0-9])[\w/+-]{4,}))", swap_secret),
     Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11}", swap_iban, iban_ends),
-    Kind("ip", r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)", swap_ip),
+    Kind("ip", r"(?<![\d.])(?<![vV])(?<![vV]ersion )(?<![rR]elease )(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)", swap_ip),
     Kind("date", r"(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?!\d)", swap_date),
     Kind("social", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", swap_social),
     Kind("phone", r"(?<![\w(+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\d-])", swap_phone),
+    Kind("phone_abroad", r"(?<![\w+])\+[1-9](?:[ ./-]?[()]?[ ]?\d){7,14}(?!\d)", swap_abroad),
+    Kind("phone_fr", rf"{_NO_DIGIT_BEFORE}0[1-9](?:[ .-]\d{{2}}){{4}}{_NO_DIGIT_AFTER}", swap_national(33, 1)),
+    Kind("phone_de", rf"{_NO_DIGIT_BEFORE}0[1-9]\d{{1,3}}[ /-]\d{{4,8}}{_NO_DIGIT_AFTER}", swap_national(49, 1)),
+    Kind("phone_es", rf"{_NO_DIGIT_BEFORE}[679]\d{{2}}(?: \d{{3}} \d{{3}}|(?: \d{{2}}){{3}}){_NO_DIGIT_AFTER}", swap_national(34, 0)),
     Kind("card", r"(?<!\d)\d(?:[ -]?\d){12}", swap_card, card_ends),
 )
 #: Digits of any script, and those that are not ASCII; a text is searched with ASCII digits in their places.
@@ -291,7 +363,8 @@ _NUMBER = re.compile(r"\d[\d ().+/-]{5,}\d")
 def _kinds_in(text: str) -> Iterator[tuple[int, Kind]]:
     """The kinds a text may have, told by marks that each of their values has; it saves most searches."""
     number = _NUMBER.search(text) is not None
-    may = {"email": "@" in text, "key": "AKIA" in text, "secret": "=" in text or ":" in text, "iban": True}
+    may = {"email": "@" in text, "key": "AKIA" in text, "token": any(head in text for head in TOKEN_HEADS)}
+    may |= {"private_key": "PRIVATE KEY-----" in text, "secret": "=" in text or ":" in text, "iban": True}
     return ((rank, kind) for rank, kind in enumerate(KINDS) if may.get(kind.name, number))
 
 
