@@ -3,7 +3,7 @@
 Each tree halves the vectors at the median of a random projection, again and again, until a leaf holds
 ``LEAF`` vectors or so. A vector within a margin of the cut goes to both sides (spill), so close vectors
 are parted seldom, and in another way in each tree. All vectors of a leaf are compared by cosine in
-double precision; links found are exact, and a link is missed only if every tree parts its ends.
+double precision, scaled by powers of two so that no norm overflows; links found are exact, and a link is missed only if every tree parts its ends.
 
 The upper levels are fitted on a bounded sample of the vectors (``SAMPLE``); every vector is put into
 leaves. Leaves that are still too large are cut on by further distributed passes, as long as a cut
@@ -101,13 +101,26 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring their largest component near one: exact, and no square overflows."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    return np.ldexp(vectors, -exponent)
+
+
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
+    vectors = scaled(vectors)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
+def stored_type(vectors: DataFrame) -> str:
+    """Vectors of floats stay floats, half as long on disk; all that is reckoned with them is in doubles."""
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    return kind if kind == "array<float>" else "array<double>"
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """Distinct vectors that can link: ``(rep, n, embedding)`` with the smallest vec_id and the count."""
-    value = F.col("embedding").cast("array<double>")
+    value = F.col("embedding").cast(stored_type(vectors))
     bad = F.exists(value, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     zero = F.forall(value, lambda x: x == 0)
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).select(
@@ -118,7 +131,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def place(rows: DataFrame, forest: Forest) -> DataFrame:
-    """``(tree, leaf, rep, embedding)``: every vector in all its leaves."""
+    """``(tree, leaf, rep)``: every vector in all its leaves. Vectors stay where they are, and come to leaves when needed."""
     sent = rows.sparkSession.sparkContext.broadcast(forest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,17 +142,17 @@ def place(rows: DataFrame, forest: Forest) -> DataFrame:
                 unit = unit_rows(matrix(part.column("embedding"), forest.dim))
                 for tree in range(TREES):
                     at, leaf = forest.leaves(unit, tree)
-                    took = part.take(pa.array(at))
+                    took = part.column("rep").take(pa.array(at))
                     trees = pa.array(np.full(len(at), tree, dtype=np.int32))
-                    cols = [trees, pa.array(leaf), took.column("rep"), took.column("embedding")]
-                    yield pa.RecordBatch.from_arrays(cols, names=["tree", "leaf", "rep", "embedding"])
+                    yield pa.RecordBatch.from_arrays([trees, pa.array(leaf), took], names=["tree", "leaf", "rep"])
 
-    return rows.select("rep", "embedding").mapInArrow(run, "tree int, leaf bigint, rep bigint, embedding array<double>")
+    return rows.select("rep", "embedding").mapInArrow(run, "tree int, leaf bigint, rep bigint")
 
 
-def cut_on(rows: DataFrame, forest: Forest) -> DataFrame:
+def cut_on(rows: DataFrame, forest: Forest, distinct: DataFrame) -> DataFrame:
     """Cut leaves that hold more than ``LARGEST_LEAF`` vectors, until none is left that a cut makes smaller."""
     dim, margin = forest.dim, forest.margin
+    vectors = distinct.select("rep", "embedding")
 
     def groups(batch: pa.RecordBatch, turn: int):
         names = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("tree", "leaf")], axis=1)
@@ -160,7 +173,7 @@ def cut_on(rows: DataFrame, forest: Forest) -> DataFrame:
                     cols = [np.full(len(at), tree, np.int32), np.full(len(at), leaf, np.int64), p]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["tree", "leaf", "p"])
 
-        found = rows.join(big, ["tree", "leaf"]).mapInArrow(project, "tree int, leaf bigint, p double")
+        found = rows.join(big, ["tree", "leaf"]).join(vectors, "rep").mapInArrow(project, "tree int, leaf bigint, p double")
         cuts = found.groupBy("tree", "leaf").agg(F.percentile_approx("p", [0.2, 0.5, 0.8], 1000).alias("q"))
         cuts = cuts.where((F.col("q")[2] > F.col("q")[1] + margin) | (F.col("q")[0] < F.col("q")[1] - margin))
         cuts = stage(cuts.select("tree", "leaf", F.col("q")[1].alias("cut")), "cuts")
@@ -174,23 +187,25 @@ def cut_on(rows: DataFrame, forest: Forest) -> DataFrame:
                     for child, side in ((2 * leaf, p <= cut[at] + margin), (2 * leaf + 1, p >= cut[at] - margin)):
                         took = batch.take(pa.array(at[side]))
                         cols = [took.column("tree"), pa.array(np.full(took.num_rows, child, np.int64))]
-                        cols += [took.column("rep"), took.column("embedding")]
-                        yield pa.RecordBatch.from_arrays(cols, names=["tree", "leaf", "rep", "embedding"])
+                        yield pa.RecordBatch.from_arrays([*cols, took.column("rep")], names=["tree", "leaf", "rep"])
 
-        parted = rows.join(cuts, ["tree", "leaf"]).mapInArrow(split, rows.schema)
+        parted = rows.join(cuts, ["tree", "leaf"]).join(vectors, "rep").mapInArrow(split, rows.schema)
         rows = stage(rows.join(cuts, ["tree", "leaf"], "left_anti").select(*rows.columns).union(parted), "leaves")
     return rows
 
 
-def tiles(rows: DataFrame, counts: DataFrame) -> DataFrame:
-    """Rows of each tile, with the codes of all leaves of a vector: two pieces of a leaf, or one with itself."""
+def tiles(rows: DataFrame, distinct: DataFrame) -> DataFrame:
+    """Rows of each tile, with the codes of all leaves of a vector: two pieces of a leaf, or one with itself.
+
+    Here vectors meet their leaves, on the way into the one shuffle that brings a tile together.
+    """
     code = F.col("tree").cast("bigint") * (1 << 56) + F.col("leaf")
-    coded = rows.select(code.alias("code"), "rep", "embedding")
+    coded = rows.select(code.alias("code"), "rep")
     places = coded.groupBy("rep").agg(F.sort_array(F.collect_set("code")).alias("codes"))  # a few dozen numbers
     leaves = coded.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("parts"))
     dealt = (
         coded.join(stage(leaves, "leaves"), "code")
-        .join(places.join(counts.select("rep", "n"), "rep"), "rep")
+        .join(places.join(distinct.select("rep", "n", "embedding"), "rep"), "rep")
         .withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     )
@@ -204,7 +219,7 @@ def compare(table: pa.Table, cosine: float) -> pa.Table:
     columns = {c: table.column(c).combine_chunks() for c in ("rep", "n", "codes", "embedding", "mine", "code", "i", "j")}
     rep, n, mine = (columns[c].to_numpy(zero_copy_only=False) for c in ("rep", "n", "mine"))
     code, i, j = (columns[c][0].as_py() for c in ("code", "i", "j"))
-    vectors = matrix(columns["embedding"], len(columns["embedding"][0]))
+    vectors = scaled(matrix(columns["embedding"], len(columns["embedding"][0])))
     norms = np.linalg.norm(vectors, axis=1)
     near = vectors @ vectors.T / np.outer(norms, norms) >= cosine
     np.fill_diagonal(near, False)
@@ -237,7 +252,7 @@ def _links(distinct: DataFrame, dim: int, rows: int, cosine: float) -> DataFrame
     drawn = distinct.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < share * (1 << 20)).limit(2 * SAMPLE)
     sample = np.array([r[0] for r in drawn.select("embedding").collect()], dtype=np.float64).reshape(-1, dim)
     forest = Forest.fit(unit_rows(sample), rows, cosine)
-    leaves = cut_on(stage(place(distinct, forest), "leaves"), forest)
+    leaves = cut_on(stage(place(distinct, forest), "leaves"), forest, distinct)
     run = lambda table: compare(table, cosine)
     found = tiles(leaves, distinct).groupBy("code", "i", "j").applyInArrow(run, "rep bigint, links bigint, near bigint")
     return stage(found, "links")
@@ -250,7 +265,7 @@ def link_vectors(vectors: DataFrame, *, cosine: float = 0.95) -> DataFrame:
     # a single vector of its length has no link but those of its copies
     lengths = distinct.groupBy(F.size("embedding").alias("d")).count().where("count > 1").orderBy("d").collect()
     given = vectors.select(
-        F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")
+        F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast(stored_type(vectors)).alias("embedding")
     )
     found = spark.createDataFrame([], "rep bigint, links bigint, near bigint, d int")
     for dim, rows in lengths:

@@ -59,3 +59,34 @@ def test_vectors_of_every_length_are_linked(make):
     # 0 has a vector of each length, which joins their components
     want = [(i, 5, 0, i == 0) for i in range(6)] + [(0, 3, 0, True)] + [(10 + i, 3, 0, False) for i in range(3)]
     assert sorted(map(tuple, got)) == sorted([*want, (20, 1, 20, True), (21, 1, 20, False)])
+
+
+def test_very_large_and_very_small_components(make):
+    rows = [(i, [1e200, 1e200 * (1 + 0.01 * i)]) for i in range(3)] + [(9, [1e200, -1e200])]
+    rows += [(10 + i, [1e-200, 1e-200 * (1 + 0.01 * i)]) for i in range(2)]
+    got = embedding_forest.link_vectors(make(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")).collect()
+    assert sorted(map(tuple, got)) == [(0, 4, 0, True), *((i, 4, 0, False) for i in (1, 2)), (9, 0, 9, True), (10, 4, 0, False), (11, 4, 0, False)]
+
+
+@pytest.mark.parametrize("kind", ["FLOAT", "DOUBLE"])
+def test_recall_in_64_dimensions_over_several_levels(make, monkeypatch, kind):
+    """Links planted just above the threshold, where the trees part most; 2,400 vectors in leaves of 40: six levels."""
+    monkeypatch.setattr(embedding_forest, "LEAF", 40)
+    monkeypatch.setattr(embedding_forest, "LARGEST_LEAF", 320)
+    r = np.random.default_rng(17)
+    x = r.normal(size=(2400, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    off = r.normal(size=(800, 64))
+    off -= (off * x[:800]).sum(axis=1, keepdims=True) * x[:800]
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    cosine = r.uniform(0.951, 0.98, size=(800, 1))
+    x[1600:] = cosine * x[:800] + np.sqrt(1 - cosine**2) * off
+    x = x.astype(np.float32 if kind == "FLOAT" else np.float64).astype(np.float64)
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    got = {row.vec_id: row.n_links for row in embedding_forest.link_vectors(make(rows, f"vec_id BIGINT, embedding ARRAY<{kind}>")).collect()}
+    near = x @ x.T / np.outer(*[np.linalg.norm(x, axis=1)] * 2) >= 0.95
+    np.fill_diagonal(near, False)
+    wanted = near.sum(axis=1)
+    assert wanted.sum() >= 1600 and all(got[i] <= n for i, n in enumerate(wanted))
+    assert sum(got.values()) >= 0.9 * wanted.sum(), sum(got.values()) / wanted.sum()
+    print(f"recall {sum(got.values()) / wanted.sum():.4f}")
