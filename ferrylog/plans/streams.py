@@ -80,7 +80,7 @@ def admitted_mirror(inputs: Inputs) -> DataFrame:
     mirror = StreamMirror(
         root=new_folder(inputs.spark, "mirror"), target="sync_", value="payload", key="sequence", as_text=True
     )
-    admission.run(inputs.spark, mirror.copy, clock=ticks(60))
+    admission.run_ahead(inputs.spark, mirror.copy, clock=ticks(60))
     rows = mirror.mirrored(inputs.spark)
     return rows.select(*LOG_KEYS, "off", F.col("key").alias("new_key"), F.col("payload").alias("value"))
 

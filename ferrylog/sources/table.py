@@ -144,10 +144,10 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(batch_path(path, batch_id))
 
 
-def last_batch(spark: SparkSession, path: str) -> int:
-    """Highest batch id that was written completely, -1 when there is none."""
+def last_batch(spark: SparkSession, path: str, *, upto: int | None = None) -> int:
+    """Highest batch id, ``upto`` if given, that was written completely, -1 when there is none."""
     ids = sorted((int(name.split("=")[1]) for name in children(spark, path) if name.startswith("batch_id=")), reverse=True)
-    return next((n for n in ids if exists(spark, f"{batch_path(path, n)}/_SUCCESS")), -1)
+    return next((n for n in ids if (upto is None or n <= upto) and exists(spark, f"{batch_path(path, n)}/_SUCCESS")), -1)
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

@@ -10,6 +10,10 @@ admits and however long the log is.
 
 A plan is written under the id of its batch before its rows are read, with positions and levels. A batch that
 was cut off is redone with the same plan, and a sink that replaces a batch by its id has every row once.
+
+Where the times of triggers are known, as in runs over a log that is all there, the plans of many are made in one
+round: each partition is walked through the rows next to come, at most ``AHEAD_ROWS`` of them, in a task of its own. A round
+ends before the first trigger that some partition's rows do not decide, and a trigger that takes more is planned alone.
 """
 
 from __future__ import annotations
@@ -18,6 +22,8 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +40,13 @@ PLAN_SCHEMA = (
     "topic STRING, part INT, from_off BIGINT, position BIGINT, n BIGINT, bytes BIGINT, "
     "level BIGINT, at BIGINT, sent_rows BIGINT, sent_bytes BIGINT"
 )
+#: Plans as they are written: under the id of the first trigger of their round, each with its own in ``trigger``.
+_ROUND_SCHEMA = PLAN_SCHEMA + ", trigger BIGINT"
+
+#: Triggers planned in a round at most, and rows of a partition that a round looks at.
+AHEAD = 1024
+AHEAD_ROWS = 1 << 20
+_STRETCH = 1 << 10
 
 
 @dataclass(frozen=True)
@@ -43,12 +56,43 @@ class Bucket:
     capacity: int = 10 * MIB
     seconds: float = 60.0
 
+    @property
+    def rate(self) -> float:
+        """Bytes in a microsecond."""
+        return self.capacity / (self.seconds * 1e6)
+
     def level(self, level: Column, since_micros: Column) -> Column:
         """The level after so many microseconds; a debt is paid off before anything is admitted."""
-        gained = F.floor(since_micros * (self.capacity / (self.seconds * 1e6))).cast("bigint")
+        gained = F.floor(since_micros * self.rate).cast("bigint")
         return F.least(F.lit(self.capacity).cast("bigint"), level + gained)
 
 
+def _walk(state: pd.Series, rows: pd.DataFrame, bucket: Bucket, first: int, times: list[int]) -> list[tuple]:
+    """The plans of a partition for triggers at ``times``, as far as ``rows``, the next ones by offset, decide them."""
+    off, size, count, total = (rows[name].to_numpy() for name in ("off", "size", "rows", "total"))
+    position, level = int(state["position"]), int(state["level"])
+    sent_rows, sent_bytes = int(state["sent_rows"]), int(state["sent_bytes"])
+    plans = []
+    for k, now in enumerate(times):
+        if k:
+            level = min(bucket.capacity, level + int(np.floor((now - times[k - 1]) * bucket.rate)))
+        upto = sent_bytes + level
+        if not state["complete"] and (not len(total) or upto >= total[-1]):
+            break
+        from_off, rows_to, bytes_to = position, sent_rows, sent_bytes
+        if level >= 0:
+            end = int(np.searchsorted(total, upto, side="right"))
+            # a row that is larger than a bucket goes alone, when the bucket is full, and leaves a debt
+            alone = level == bucket.capacity and end < len(off) and size[end] > bucket.capacity
+            end += bool(alone and total[end] - size[end] == sent_bytes)
+            if end and off[end - 1] >= position:
+                position, rows_to, bytes_to = int(off[end - 1]) + 1, int(count[end - 1]), int(total[end - 1])
+        level -= bytes_to - sent_bytes
+        plans.append((from_off, position, rows_to - sent_rows, bytes_to - sent_bytes, level, now, rows_to, bytes_to, first + k))
+        sent_rows, sent_bytes = rows_to, bytes_to
+    return plans
+
+
 def totals(log: StoredLog) -> DataFrame:
     """The manifest with the rows and bytes before each segment, staged: ``(.., number, rows_before, bytes_before)``."""
     numbered = log.segments.withColumn("number", segment_number(F.col(SEGMENT)))
@@ -100,9 +144,11 @@ class Admission:
         return f"{self.root}/plans"
 
     def plan_of(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        if batch_id < 0:
+        first = table.last_batch(spark, self.plans, upto=batch_id)
+        if batch_id < 0 or first < 0:
             return spark.createDataFrame([], PLAN_SCHEMA)
-        return spark.read.schema(PLAN_SCHEMA).parquet(table.batch_path(self.plans, batch_id))
+        plans = spark.read.schema(_ROUND_SCHEMA).parquet(table.batch_path(self.plans, first))
+        return plans.where(F.coalesce("trigger", F.lit(first)) == batch_id).drop("trigger")
 
     def _states(self, before: DataFrame, now: int) -> DataFrame:
         """Position, totals sent and level of every partition of the log when a trigger begins."""
@@ -171,6 +217,56 @@ class Admission:
             table.write_batch(plan, self.plans, batch_id)
         return self.plan_of(spark, batch_id)
 
+    def plan_ahead(self, spark: SparkSession, first: int, times: list[int]) -> DataFrame:
+        """The plans of triggers from ``first`` on, one at least, with their ids in ``trigger``; written under ``first``.
+
+        The last one is that with which the log is all admitted, or the last of ``times`` that can be planned together.
+        """
+        path = table.batch_path(self.plans, first)
+        if not exists(spark, f"{path}/_SUCCESS"):
+            with scratch(spark):
+                walked = self._walked(spark, first, times)
+                seen = walked.groupBy(*LOG_KEYS).agg(F.max("trigger").alias("last"), F.min(F.when(F.col("past"), F.col("trigger"))).alias("done"))
+                known, done, open_ones = seen.agg(F.min(F.coalesce("last", F.lit(first - 1))), F.max("done"), F.count_if(F.col("done").isNull())).first()
+                if known is None or known < first:
+                    self.plan(spark, first, times[0])
+                else:
+                    last = known if open_ones else min(known, done)
+                    table.write_batch(walked.where(F.col("trigger") <= last).drop("past"), self.plans, first)
+        plans = spark.read.schema(_ROUND_SCHEMA).parquet(path)
+        return plans.withColumn("trigger", F.coalesce("trigger", F.lit(first).cast("bigint")))
+
+    def _walked(self, spark: SparkSession, first: int, times: list[int]) -> DataFrame:
+        """Plans as far as the rows ahead decide them, and whether a partition is admitted with them; no trigger if none is."""
+        bucket = self.bucket
+        states = self._states(self.plan_of(spark, first - 1), times[0])
+        ends = self._segments.groupBy(*LOG_KEYS).agg(F.max("last_off").alias("end"), F.sum("n").alias("all_rows"))
+        states = stage(states.join(ends, _KEYS), "states")
+        rows_end = F.col("sent_rows") + AHEAD_ROWS
+        ahead = self._segments.join(states, _KEYS).where((F.col("last_off") >= F.col("position")) & (F.col("rows_before") < rows_end))
+        ahead = stage(ahead.select(*LOG_KEYS, SEGMENT, "rows_before", "bytes_before", "position", rows_end.alias("rows_end")), "ahead")
+        rows = self.log.rows.select(*LOG_KEYS, SEGMENT, "off", self._size.alias("size"))
+        rows = rows.join(small(ahead.where(F.col(SEGMENT) >= "")), [*LOG_KEYS, SEGMENT])
+        so_far = Window.partitionBy(*LOG_KEYS, SEGMENT).orderBy("off").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        rows = rows.select(
+            *LOG_KEYS, "off", "size", "position", "rows_end",
+            (F.col("rows_before") + F.count("*").over(so_far)).alias("rows"),
+            (F.col("bytes_before") + F.sum("size").over(so_far)).alias("total"),
+        )
+        rows = rows.where("off >= position AND rows <= rows_end").drop("position", "rows_end")
+        states = states.withColumn("complete", F.col("all_rows") <= rows_end)
+
+        def walk(state: pd.DataFrame, ahead: pd.DataFrame) -> pd.DataFrame:
+            if not len(state):
+                return pd.DataFrame(columns=columns)
+            one, ahead = state.iloc[0], ahead.sort_values("off")
+            plans = _walk(one, ahead, bucket, first, times) or [(*[None] * 9,)]
+            return pd.DataFrame([(one["topic"], one["part"], *p, p[1] is not None and p[1] > one["end"]) for p in plans], columns=columns, dtype=object)
+
+        schema = _ROUND_SCHEMA + ", past BOOLEAN"
+        columns = [field.split()[0] for field in schema.split(", ")]
+        return stage(states.groupBy(*LOG_KEYS).cogroup(rows.groupBy(*LOG_KEYS)).applyInPandas(walk, schema), "walked")
+
     def rows(self, plan: DataFrame) -> DataFrame:
         """The rows that a plan admits; only their segments are opened."""
         wanted = plan.where("n > 0").select(*LOG_KEYS, "from_off", F.col("position").alias("upto"))
@@ -178,6 +274,18 @@ class Admission:
         near = only_segments(self.log.rows, lists).join(wanted, _KEYS)
         return near.where("off >= from_off AND off < upto").select(*self.log.rows.columns)
 
+    def rows_ahead(self, plans: DataFrame) -> DataFrame:
+        """The rows that the plans of a round admit, each with its ``trigger``."""
+        wanted = plans.where("n > 0").select(*LOG_KEYS, "trigger", "from_off", F.col("position").alias("upto"))
+        spans = wanted.groupBy(*LOG_KEYS).agg(F.min("from_off").alias("from_off"), F.max("upto").alias("upto"))
+        lists = self._segments.join(spans, _KEYS).where("last_off >= from_off AND first_off < upto")
+        # a row meets the few triggers of its own stretch of offsets
+        stretch = lambda c: F.expr(f"{c} div {_STRETCH}")
+        near = only_segments(self.log.rows, lists).withColumn("__at", stretch("off"))
+        cut = wanted.withColumn("__at", F.explode(F.sequence(stretch("from_off"), stretch("(upto - 1)"))))
+        met = near.join(small(stage(cut, "triggers")), [*LOG_KEYS, "__at"]).where("off >= from_off AND off < upto")
+        return met.select(*self.log.rows.columns, "trigger")
+
     def _left(self, plan: DataFrame) -> DataFrame:
         """Partitions that hold rows behind a plan; the log may have grown since it was made."""
         ends = self._segments.groupBy(*LOG_KEYS).agg(F.max("last_off").alias("end"))
@@ -211,9 +319,29 @@ class Admission:
             if wait:
                 time.sleep(max(0.0, began + every - time.time()))
 
+    def run_ahead(
+        self, spark: SparkSession, copy: Callable[[DataFrame, int], None] | None = None, *, clock: Callable[[int], int], ahead: int = AHEAD
+    ) -> int:
+        """As ``run`` with a clock, in rounds: the plans of up to ``ahead`` triggers are made together, and their rows copied together.
+
+        ``copy`` gets the rows of a round, with their ``trigger``, and the id of the first of them. The last round is redone when
+        a run goes on, with the same plans.
+        """
+        first = max(table.last_batch(spark, self.plans), 0)
+        while True:
+            with scratch(spark):
+                plans = self.plan_ahead(spark, first, [clock(first + k) for k in range(ahead)])
+                if copy is not None:
+                    copy(self.rows_ahead(plans), first)
+            last = plans.agg(F.max("trigger")).first()[0]
+            first = last + 1
+            if self._left(plans.where(F.col("trigger") == last)).isEmpty():
+                return first
+
     def admitted(self, spark: SparkSession) -> DataFrame:
         """The plans of all batches, with ``batch_id``."""
-        return table.read_batches(spark, self.plans, PLAN_SCHEMA + ", batch_id BIGINT")
+        plans = table.read_batches(spark, self.plans, _ROUND_SCHEMA + ", batch_id BIGINT")
+        return plans.withColumn("batch_id", F.coalesce("trigger", "batch_id")).drop("trigger")
 
 
 def ticks(seconds: float) -> Callable[[int], int]:

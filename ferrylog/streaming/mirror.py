@@ -41,6 +41,9 @@ class StreamMirror:
     of start offsets (topic, part, start_off); rows below them are dropped, and a partition without a
     start, such as one that is new, is copied from its first row. A micro-batch is read two
     or three times; ``cache`` keeps it on the executors, for sources that are costly to read again.
+
+    A batch may hold the rows of several triggers that were admitted together, each with its ``trigger``; it stands
+    under the id of the first, and ``mirrored`` gives each row the id of its own.
     """
 
     root: str
@@ -96,9 +99,10 @@ class StreamMirror:
         table.write_batch(progress.select(*LOG_KEYS, "sent", "position"), self.progress, batch_id)
 
     def _progress_of(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        if batch_id < 0:
+        last = table.last_batch(spark, self.progress, upto=batch_id)  # a batch of several triggers has the id of the first
+        if last < 0:
             return spark.createDataFrame([], PROGRESS_SCHEMA)
-        return spark.read.schema(PROGRESS_SCHEMA).parquet(table.batch_path(self.progress, batch_id))
+        return spark.read.schema(PROGRESS_SCHEMA).parquet(table.batch_path(self.progress, last))
 
     @staticmethod
     def _progress(rows: DataFrame, before: DataFrame) -> DataFrame:
@@ -122,7 +126,10 @@ class StreamMirror:
 
     def mirrored(self, spark: SparkSession) -> DataFrame:
         """Everything copied so far."""
-        return table.read_batches(spark, self.data)
+        rows = table.read_batches(spark, self.data)
+        if "trigger" not in rows.columns:
+            return rows
+        return rows.withColumn("batch_id", F.coalesce("trigger", "batch_id")).drop("trigger")
 
     def positions(self, spark: SparkSession) -> DataFrame:
         """The saved position of every partition, usable as a checkpoint table."""

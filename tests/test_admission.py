@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ferrylog.operators.segments import LAYOUT_SPAN
 from ferrylog.sources import table
+from ferrylog.streaming import admission
 from ferrylog.streaming.admission import Admission, Bucket, ticks
 from ferrylog.streaming.mirror import StreamMirror
 
@@ -121,6 +122,65 @@ def test_a_batch_that_was_cut_off_is_redone_as_it_was_planned(make, spark, folde
     assert run(f"{folder}/a") == run(f"{folder}/b")
 
 
+@pytest.mark.parametrize("every, ahead, at_once", [(60, 1024, 1 << 20), (40, 3, 25)])
+def test_rounds_of_triggers_are_planned_and_copied_as_a_plain_loop_takes_them(make, spark, folder, logs, every, ahead, at_once, monkeypatch):
+    """Rounds that end with the log, by their length, or by the rows they look at; there was a plan and a copy for each trigger."""
+    monkeypatch.setattr(admission, "AHEAD_ROWS", at_once)
+    bucket, starts = Bucket(100, 60), {("t", 0): logs["t", 0][12][0], ("u", 0): 4}
+    table_of_starts = make([(*key, off) for key, off in starts.items()], "topic STRING, part INT, start_off BIGINT")
+    mirror, rounds = StreamMirror(root=f"{folder}/mirror", target="copy_", key="sequence", cycle=7), []
+    limited = Admission(store(make, f"{folder}/log", spark, logs), f"{folder}/run", bucket, starts=table_of_starts)
+
+    def copy(rows, first):
+        rounds.append(first)
+        mirror.copy(rows, first)
+
+    n = limited.run_ahead(spark, copy, clock=ticks(every), ahead=ahead)
+    want = {key: plain(rows, bucket, every, starts.get(key)) for key, rows in logs.items()}
+    assert n == max(map(len, want.values())) and rounds[0] == 0 and (len(rounds) == 1 if ahead > n else 1 < len(rounds) < 10)
+    plans = {(r.topic, r.part, r.batch_id): r for r in limited.admitted(spark).collect()}
+    assert len(plans) == n * len(logs)
+    for key, batches in want.items():
+        for i, (taken, level) in enumerate(batches):
+            plan = plans[*key, i]
+            assert (plan.n, plan.bytes, plan.level) == (len(taken), sum(size for _, size in taken), level)
+    rows = [
+        (f"copy_{key[0]}", key[1], off, (nth - 1) % 7 + 1, i)
+        for key, batches in want.items()
+        for nth, (i, off) in enumerate(((i, off) for i, (taken, _) in enumerate(batches) for off, _ in taken), 1)
+    ]
+    got = mirror.mirrored(spark).select("topic", "part", "off", F.col("key").cast("int"), F.col("batch_id").cast("int"))
+    assert rows_of(got) == sorted(rows, key=lambda row: tuple(map(str, row)))
+
+
+def test_a_trigger_that_takes_more_than_a_round_looks_at_is_planned_alone(make, spark, folder, monkeypatch):
+    monkeypatch.setattr(admission, "AHEAD_ROWS", 3)
+    stored = store(make, f"{folder}/log", spark, {("t", 0): [(i, 10) for i in range(12)]})
+    limited = Admission(stored, f"{folder}/run", Bucket(50, 60))
+    assert limited.run_ahead(spark, clock=ticks(60)) == 3
+    assert [r.n for r in limited.admitted(spark).orderBy("batch_id").collect()] == [5, 5, 2]
+
+
+def test_a_round_that_was_cut_off_is_redone_as_it_was_planned(make, spark, folder):
+    stored = store(make, f"{folder}/log", spark, {("t", 0): [(i, 10) for i in range(35)]})
+    mirror = StreamMirror(root=f"{folder}/mirror", target="copy_", key="sequence", cycle=100)
+    limited = Admission(stored, f"{folder}/run", Bucket(50, 60))
+
+    class CutOff(Exception):
+        pass
+
+    def copy(rows, first):
+        mirror.copy(rows, first)
+        if first == 4:
+            raise CutOff
+
+    with pytest.raises(CutOff):
+        limited.run_ahead(spark, copy, clock=ticks(60), ahead=4)
+    assert limited.run_ahead(spark, mirror.copy, clock=ticks(60), ahead=2) == 7
+    got = mirror.mirrored(spark).select("off", F.col("key").cast("int"), F.col("batch_id").cast("int"))
+    assert sorted(map(tuple, got.collect())) == [(i, i + 1, i // 5) for i in range(35)]
+
+
 def test_a_log_that_has_grown_goes_on_where_the_last_plan_ended(make, spark, folder):
     rows = lambda offs: make([("t", 0, off, b"x" * 10) for off in offs], "topic STRING, part INT, off BIGINT, value BINARY")
     table.write_log(rows(range(8)), f"{folder}/log", segments=True, value="value")
