@@ -67,7 +67,7 @@ def admitted_volume(inputs: Inputs) -> DataFrame:
     admission = Admission(
         inputs.stored_log(), new_folder(inputs.spark, "admitted"), Bucket(3000, 60), size_of(F.col("payload")), inputs.checkpoint_starts()
     )
-    admission.run(inputs.spark, clock=ticks(45))
+    admission.run_ahead(inputs.spark, clock=ticks(45))
     taken = admission.admitted(inputs.spark).where("n > 0")
     return taken.select(*LOG_KEYS, "batch_id", "from_off", F.col("position").alias("to_off"), "n", "bytes", "level")
 
