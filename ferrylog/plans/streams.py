@@ -117,7 +117,7 @@ def volume_stream(inputs: Inputs) -> DataFrame:
     late = _lateness(table.read_log(inputs.spark, inputs.log_folder(), LOG_SCHEMA))
     stream = volumes(_log_stream(inputs, limited=True), width="1 day", limit=150, late=late, size=size_of(F.col("payload")))
     write = lambda batch, n: table.write_batch(batch, f"{root}/out", n)
-    run_available(stream, write, f"{root}/checkpoint", mode="update", none_late=True)
+    run_available(stream, write, f"{root}/checkpoint", mode="update", none_late=True, small_state=True)
     windows = table.read_batches(inputs.spark, f"{root}/out").groupBy(*LOG_KEYS, "win_start")
     result = windows.agg(*[F.max_by(c, "batch_id").alias(c) for c in ("bytes", "over_limit")])
     return result.withColumn("win_start", F.col("win_start").cast("timestamp_ntz"))

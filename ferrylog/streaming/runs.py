@@ -18,16 +18,20 @@ def run_available(
     mode: str = "append",
     name: str | None = None,
     none_late: bool = False,
+    small_state: bool = False,
 ) -> StreamingQuery:
     """Hand every micro-batch available now to ``on_batch``; return the finished query.
 
     With ``none_late`` the run fails if the watermark dropped a row. Progress is read while the query
-    runs, as ``recentProgress`` keeps the last reports only.
+    runs, as ``recentProgress`` keeps the last reports only. ``small_state`` is for streams whose state is sums, not rows:
+    each micro-batch commits every state store, however little it holds, so there are no more of them than cores.
     """
+    spark = stream.sparkSession
+    stores = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism) if small_state else None
     writer = stream.writeStream.foreachBatch(on_batch).outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    with stream_conf(stream.sparkSession):
+    with stream_conf(spark, stores):
         query = writer.trigger(availableNow=True).start()
     if none_late:
         seen = {}

@@ -301,3 +301,22 @@ def test_volume_query_keeps_rows_of_any_age(spark, make, folder, monkeypatch):
     monkeypatch.setattr(streams, "_lateness", lambda log: "60 days")
     with pytest.raises(RuntimeError, match="dropped"):
         streams.volume_stream(inputs)
+
+
+def test_streams_of_small_state_have_no_more_stores_than_cores(make, spark, folder):
+    """A store is committed by every micro-batch; there were as many as the session has shuffle partitions."""
+    rows = [("t", i % 2, i, b"x" * 10, dt.datetime(2024, 1, 1, 0, i)) for i in range(6)]
+    table.write_log(make(rows, "topic STRING, part INT, off BIGINT, value BINARY, ts TIMESTAMP"), f"{folder}/log")
+    schema = "off BIGINT, value BINARY, ts TIMESTAMP, topic STRING, part INT"
+    got = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", str(cores + 20))
+    try:
+        stream = volume_stream(table.stream_log(spark, f"{folder}/log", schema), late="1 hour")
+        run_available(stream, lambda batch, _: got.extend(batch.collect()), f"{folder}/checkpoint", mode="update", small_state=True)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(cores + 20)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(r.bytes for r in got) == 60
+    assert sum(name.isdigit() for name in children(spark, f"{folder}/checkpoint/state/0")) == cores
