@@ -1,8 +1,8 @@
 """Whitening of vectors by the leading eigenvectors of their covariance, found by Jacobi-Davidson.
 
 The covariance is never formed. It acts on a block of directions by a distributed product: each task
-centres its vectors, multiplies them with the block and sums up, and the sums of the tasks meet in one
-aggregate, so a product gives the driver ``dimension x block`` numbers however many vectors there are.
+centres its vectors, multiplies them with the block and sums up. There are at most four tasks a core, and a
+product gives the driver ``dimension x block`` numbers of each, however many vectors there are.
 
 A subspace grows around the wanted directions. Rayleigh-Ritz in it gives the current directions; the ones
 whose residual has reached double precision are locked, from the first on. For the others the
@@ -69,6 +69,11 @@ def matrices(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[np.ndarray
             yield np.frombuffer(block.as_buffer(), dtype=kind).reshape(-1, dim)
 
 
+def _few_tasks(packed: DataFrame) -> DataFrame:
+    """All blocks in at most four tasks a core, so the driver gets as many sums of a pass, however many files there are."""
+    return packed.select("kind", "block").coalesce(4 * packed.sparkSession.sparkContext.defaultParallelism)
+
+
 def _summed(packed: DataFrame, dim: int, part: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
     """Sum of ``part`` over all blocks, an array of ``size`` doubles."""
 
@@ -78,11 +83,10 @@ def _summed(packed: DataFrame, dim: int, part: Callable[[np.ndarray], np.ndarray
             total += part(x).ravel()
         yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["v"])
 
-    sums = packed.select("kind", "block").mapInArrow(run, "v array<double>").select(F.posexplode("v").alias("i", "v"))
-    out = np.zeros(size)
-    for i, v in sums.groupBy("i").agg(F.sum("v")).collect():
-        out[i] = v
-    return out
+    found = np.zeros(size)
+    for (v,) in _few_tasks(packed).mapInArrow(run, "v array<double>").collect():
+        found += v
+    return found
 
 
 def column_sums(packed: DataFrame, dim: int) -> list[int]:
@@ -97,9 +101,8 @@ def column_sums(packed: DataFrame, dim: int) -> list[int]:
             total = [t + (h << 31) + l for t, h, l in zip(total, high, low, strict=True)]
         yield pa.RecordBatch.from_arrays([pa.array([list(map(str, total))], pa.list_(pa.string()))], names=["v"])
 
-    sums = packed.select("kind", "block").mapInArrow(run, "v array<string>").select(F.posexplode("v").alias("i", "v"))
-    found = sums.groupBy("i").agg(F.sum(F.col("v").cast("decimal(38,0)"))).collect()
-    return [int(v) for _, v in sorted(map(tuple, found))]
+    found = _few_tasks(packed).mapInArrow(run, "v array<string>").collect()
+    return [sum(map(int, each)) for each in zip(*[v for (v,) in found], strict=True)]
 
 
 def orthonormal(block: np.ndarray, *against: np.ndarray) -> np.ndarray:
