@@ -19,7 +19,8 @@ bytes). ``encode(.., as_trained=True)`` takes the rule that the model was traine
 White space is escaped and a dummy prefix added as the model's settings say; models that map characters
 are given their library's normalised text. Pieces hold the escape
 mark at their beginning only, so the search can be cut before each run of marks without losing a
-segmentation; equal stretches are searched once per worker and kept in a table of bounded size. If a
+segmentation; stretches are searched once per worker while they are kept, as packed ids, in a table of bounded size
+that lets go of those not met lately. If a
 model has other pieces, texts are searched in one go.
 
 Results in special cases: null and empty texts have no pieces and decode to an empty text; a text that
@@ -31,9 +32,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
-from itertools import chain, pairwise
+from itertools import pairwise, repeat
 
 import ahocorasick
 import numpy as np
@@ -47,7 +49,28 @@ UNKNOWN_PENALTY = 10.0
 MERGES = 2  # the model type of pair merging
 UNKNOWN_SURFACE = " ⁇ "
 KEPT_STRETCHES = 200_000
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 400_000
+START = -2  # before the first character
+
+
+class Stretches(dict):
+    """Packed ids of the stretches met lately, half of ``KEPT_STRETCHES`` and as many from before; others are searched."""
+
+    def __init__(self, search: Callable[[str], list[int]]):
+        super().__init__()
+        self.search = search
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, stretch: str) -> bytes:
+        ids = self.older.get(stretch)
+        if ids is None:
+            ids = array("i", self.search(stretch)).tobytes()
+        if len(stretch) <= 64:
+            if len(self) >= KEPT_STRETCHES // 2:
+                self.older = dict(self)
+                self.clear()
+            self[stretch] = ids
+        return ids
 
 
 class Codec:
@@ -84,7 +107,13 @@ class Codec:
         lines = any("\n" in p and len(p) > 1 for p in usable)
         cut = f"{MARK}*[^{MARK}]+|{MARK}+" if lines else f"\n|{MARK}*[^{MARK}\n]+|{MARK}+"
         self.cut = re.compile("(?s).+" if inner else cut).findall
-        self.kept: dict[str, list[int]] = {}
+        self.kept = Stretches(self.search)
+        # pieces that stand for the same characters wherever they are, ASCII bytes such as the line feed among them
+        self.spelled = [p.replace(MARK, " ") if self.escape else p for p, _, _ in self.pieces]
+        self.marked = {i for i, (_, _, kind) in enumerate(self.pieces) if kind in (UNKNOWN, CONTROL, BYTE)}
+        for i in [i for i in self.marked if self.pieces[i][2] == BYTE and int(self.pieces[i][0][3:5], 16) < 128]:
+            self.spelled[i] = chr(int(self.pieces[i][0][3:5], 16))
+            self.marked.remove(i)
 
     def normalised(self, text: str) -> str:
         """The text as the pieces spell it."""
@@ -134,20 +163,18 @@ class Codec:
             filled += 1
         return filled
 
+    def ids(self, text: str | None) -> np.ndarray:
+        """The ids of a text, as an array."""
+        stretches = self.cut(self.normalised(text or ""))
+        return np.frombuffer(b"".join(map(self.kept.__getitem__, stretches)), dtype=np.intc)
+
     def encode(self, text: str | None) -> list[int]:
-        kept, found = self.kept, []
-        for stretch in self.cut(self.normalised(text or "")):
-            ids = kept.get(stretch)
-            if ids is None:
-                ids = self.search(stretch)
-                if len(stretch) <= 64:
-                    if len(kept) >= KEPT_STRETCHES:
-                        kept.clear()
-                    kept[stretch] = ids
-            found.append(ids)
-        return list(chain.from_iterable(found))
+        return self.ids(text).tolist()
 
     def decode(self, ids: Sequence[int]) -> str:
+        if self.marked.isdisjoint(ids) and 0 <= min(ids, default=0) and max(ids, default=0) < len(self.pieces):
+            text = "".join(map(self.spelled.__getitem__, ids))
+            return text.removeprefix(" ") if self.prefix else text
         out, held = [], bytearray()
         for i in ids:
             if not 0 <= i < len(self.pieces):
@@ -185,11 +212,13 @@ class MergeCodec(Codec):
         self.names = {i: p for p, (_, i, _) in merged.items()}
         self.single = {p: i for p, (_, i, _) in merged.items() if len(p) == 1}
         self.automaton = ahocorasick.Automaton()
-        for piece, (_, i, _) in merged.items():
-            self.automaton.add_word(piece, (len(piece), i))
+        # a single character stands for itself where nothing longer is kept, so it need not be found
+        for piece in [p for p in merged if len(p) > 1] or merged:
+            # beside each piece the pieces before it that are known to stay apart from it, or not
+            self.automaton.add_word(piece, (len(piece), merged[piece][1], {}))
         self.automaton.make_automaton()
-        self.pairs: dict[int, bool] = {}
-        self.width = len(self.pieces) + 1
+        self.pairs = 0
+        self.kept = Stretches(self._pass if self.users is None else self.search)
 
     def merged(self, text: str, until: int = 1) -> list[str]:
         """What merging leaves of a short text, by looking through all pairs; stops at ``until`` parts."""
@@ -208,24 +237,18 @@ class MergeCodec(Codec):
                 turns[at] = turn(parts[at] + parts[at + 1], never)
         return parts
 
-    def apart(self, before: int, piece: int, spelled: str) -> bool:
-        """Whether a piece is left as it is beside the one before it, whose spelling ``spelled`` is."""
-        key = before * self.width + piece
-        known = self.pairs.get(key) if before >= 0 else None
-        if known is None:
-            known = self.merged(spelled + self.names[piece]) == [spelled, self.names[piece]]
-            if before >= 0:
-                if len(self.pairs) >= KEPT_PAIRS:
-                    self.pairs.clear()
-                self.pairs[key] = known
-        return known
-
-    def alone(self, piece: int) -> bool:
-        """Whether merging the characters of a piece gives the piece."""
-        known = self.pairs.get(-piece - 1)
-        if known is None:
-            known = self.pairs[-piece - 1] = self.merged(self.names[piece]) == [self.names[piece]]
-        return known
+    def apart(self, known: dict[int, bool], before: int, spelled: str, piece: int) -> bool:
+        """Whether a piece is left as it is beside the one before it, spelled ``spelled``, or alone at the ``START``."""
+        parts = [spelled, self.names[piece]] if before != START else [self.names[piece]]
+        fits = self.merged("".join(parts)) == parts
+        if before != -1:  # characters without a piece differ
+            if self.pairs >= KEPT_PAIRS:
+                self.pairs = 0
+                for _, _, pairs in self.automaton.values():
+                    pairs.clear()
+            self.pairs += 1
+            known[before] = fits
+        return fits
 
     def search(self, stretch: str) -> list[int]:
         """The segmentation that the merges leave, as ids; of pairs with equal scores the first one goes first."""
@@ -238,39 +261,30 @@ class MergeCodec(Codec):
         return ids + self._pass(stretch[at:])
 
     def _pass(self, stretch: str) -> list[int]:
-        n, single, apart, pairs, width = len(stretch), self.single, self.apart, self.pairs, self.width
-        # the piece kept at each end, -1 for a character without one, and where it starts
-        kept, start = [-2] * (n + 1), [0] * (n + 1)
-        filled = 0
-        for end, (length, piece) in self.automaton.iter(stretch):
-            end += 1
-            while filled < end - 1:  # characters at whose ends no piece was kept stand for themselves
-                filled += 1
-                if kept[filled] == -2:
-                    kept[filled], start[filled] = single.get(stretch[filled - 1], -1), filled - 1
-            if kept[end] != -2:  # output links go from long to short
+        # the piece kept at each character, at first its own, -1 for none; the last place stands before the first character
+        kept = [*map(self.single.get, stretch, repeat(-1)), START]
+        # the character before a longer piece that is kept
+        back: list[int | None] = [None] * len(stretch)
+        for end, (length, piece, known) in self.automaton.iter(stretch):
+            if back[end] is not None:  # output links go from long to short
                 continue
             at = end - length
-            if at:
-                before = kept[at]
-                fits = pairs.get(before * width + piece) if before >= 0 else None
-                if fits is None:
-                    fits = apart(before, piece, stretch[start[at] : at])
-            else:
-                fits = self.alone(piece)
+            before = kept[at]
+            fits = known.get(before)
+            if fits is None:
+                spelled = stretch[at if back[at] is None else back[at] + 1 : at + 1] if before != START else ""
+                fits = self.apart(known, before, spelled, piece)
             if fits:
-                kept[end], start[end] = piece, at
-        while filled < n:
-            filled += 1
-            if kept[filled] == -2:
-                kept[filled], start[filled] = single.get(stretch[filled - 1], -1), filled - 1
-        ids, at = [], n
-        while at:
-            piece, begin = kept[at], start[at]
-            if piece >= 0 and piece not in self.unused:
+                kept[end], back[end] = piece, at
+        ids, at, unused = [], len(stretch) - 1, self.unused
+        while at >= 0:
+            piece, begin = kept[at], back[at]
+            if begin is None:
+                begin = at - 1
+            if piece >= 0 and piece not in unused:
                 ids.append(piece)
             else:
-                ids.extend(reversed(self._named(stretch[begin:at])))
+                ids.extend(reversed(self._named(stretch[begin + 1 : at + 1])))
             at = begin
         ids.reverse()
         return ids
@@ -292,12 +306,12 @@ class MergeCodec(Codec):
                 ids.append(self.unknown)
         return ids
 
-    def encode(self, text: str | None) -> list[int]:
-        ids = super().encode(text)
+    def ids(self, text: str | None) -> np.ndarray:
+        ids = super().ids(text)
         if self.bytes:
             return ids
         # a run of unknown characters is one unknown piece
-        return [i for k, i in enumerate(ids) if i != self.unknown or not k or ids[k - 1] != i]
+        return ids[np.r_[True, (ids[1:] != self.unknown) | (ids[:-1] != self.unknown)][: len(ids)]]
 
 
 @lru_cache(maxsize=2)
@@ -337,8 +351,9 @@ def encode(docs: DataFrame, model: bytes, *, as_trained: bool = False) -> DataFr
                 yield _encoded(one, part.column("doc_id"), part.column("text"))
 
     def _encoded(one: Codec, doc_ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
-        rows = [np.array(one.encode(t), dtype="<i4") for t in texts.to_pylist()]
-        same = [one.decode(ids.tolist()) == (t or "") for ids, t in zip(rows, texts.to_pylist(), strict=True)]
+        texts = texts.to_pylist()
+        rows = [one.ids(t).astype("<i4", copy=False) for t in texts]
+        same = [one.decode(ids.tolist()) == (t or "") for ids, t in zip(rows, texts, strict=True)]
         sizes = np.array([len(ids) for ids in rows], dtype=np.int64)
         values = pa.array(np.concatenate(rows) if rows else np.zeros(0, dtype=np.int32), pa.int32())
         lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), values)

@@ -167,3 +167,31 @@ def test_models_that_map_characters(model, unigram, kind):
     own = piece_codec.codec(changed, True)
     for text in ("plain words", "ﬁne Ⅷ ｆｕｌｌ", " two  spaces ", "tab\there", "№ 5 ½", ""):
         assert own.encode(text) == library.encode(text)
+
+
+def test_stretches_met_again_and_again_are_searched_once(model, monkeypatch):
+    """The table lets go of what was not met lately, not of everything, and the ids stay those of the library."""
+    import sentencepiece
+
+    monkeypatch.setattr(piece_codec, "KEPT_STRETCHES", 40)
+    monkeypatch.setattr(piece_codec, "KEPT_PAIRS", 50)
+    library, own = sentencepiece.SentencePieceProcessor(model_proto=model), piece_codec.MergeCodec(model)
+    searched, search = [], own.kept.search
+    own.kept.search = lambda stretch: searched.append(stretch) or search(stretch)
+    r = random.Random(3)
+    for i in range(60):
+        text = " ".join(["the same words"] + ["".join(r.choices("theingsando", k=9)) for _ in range(10)]) + "\n"
+        assert own.encode(text) == library.encode(text)
+        assert own.decode(own.encode(text)) == text
+        assert len(own.kept) + len(own.kept.older) <= 40
+    assert searched.count("▁words") == 1
+
+
+def test_decoding_of_bytes_and_pieces_side_by_side(model, codec):
+    """Line feeds are bytes of their own; a byte that begins a character ends at them."""
+    for text in ("a\nb\n\n", "\n", "ß\n一\n", "tab\there", "▁\n"):
+        assert codec.decode(codec.encode(text)) == text.replace("▁", " ")
+    feed, lead = codec.bytes[0x0A], codec.bytes[0xE4]
+    assert codec.decode([feed, lead, feed]) == "\n�\n"
+    with pytest.raises(ValueError):
+        codec.decode([-1])
