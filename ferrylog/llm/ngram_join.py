@@ -13,9 +13,10 @@ next seed as well; of two linking sets that agree in empty blocks only, both do,
 
 In a tile members are first compared with one leader each, in a few rounds, and sets that have come
 into the same component are not compared any more: large groups of near copies cost a comparison per
-member. What is still open after these rounds is compared block by block in tiles of bounded size,
-where the parity bitmaps of two sets bound their overlap from above: |A & B| <= (|A| + |B| - bits that
-differ) / 2. Pairs that pass are checked by intersecting the sorted arrays.
+member. What is still open after these rounds is compared block by block in tiles of bounded size. In
+either case the parity bitmaps of two sets, which are short, meet first. They bound the overlap from above:
+|A & B| <= (|A| + |B| - bits that differ) / 2. Only the sets of pairs that pass are shuffled, and are checked
+by intersecting the sorted arrays.
 
 ``link_counts`` gives the number of links of each row too. It compares the members of each component once
 more, all with all, so its work grows with the square of a component's distinct sets.
@@ -34,7 +35,7 @@ from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrylog.llm.components import components
@@ -237,6 +238,23 @@ class NgramJoin:
         some = self.docs.join(wanted, "doc_id", "left_semi")
         return some.mapInArrow(arrays, "rep bigint, n bigint, k1 bigint, k2 bigint, bits binary, items array<bigint>")
 
+    def allowed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """``(a, b, near)`` of candidate pairs ``(a, b)``: whether their bitmaps allow a link; no array is moved."""
+        rule = self.rule
+
+        def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                n_a, n_b = (batch.column(c).to_pylist() for c in ("n_a", "n_b"))
+                bits = [[np.frombuffer(x, dtype=np.uint8) for x in batch.column(c).to_pylist()] for c in ("bits_a", "bits_b")]
+                near = [rule.links(int(overlap_bound(m, n, x, y)), m, n) for m, n, x, y in zip(n_a, n_b, *bits, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("a"), batch.column("b"), pa.array(near, pa.bool_())], names=["a", "b", "near"]
+                )
+
+        one, two = (sets.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab")
+        both = two.join(small(stage(pairs, "pairs")), "b").join(one, "a").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+        return both.mapInArrow(bound, "a bigint, b bigint, near boolean").groupBy("a", "b").agg(F.max("near").alias("near"))
+
     def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """``(a, b, linked)`` of candidate pairs ``(a, b)``."""
         rule = self.rule
@@ -324,10 +342,10 @@ class NgramJoin:
             F.min("doc_id").alias("rep"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("c")
         )
         reps = stage(reps.select("n", "k1", "k2", "rep", "c"), "reps")
-        postings = self.postings()
-        tiles = postings.groupBy("key").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low < high")
-        tiles = stage(tiles.select("key"), "tiles")
-        members = postings.join(tiles, "key").distinct().join(reps.select("k1", "rep"), "k1").select("key", "rep")
+        # one shuffle of the postings both finds the tiles of several sets and keeps their members
+        tile = Window.partitionBy("key")
+        met = self.postings().select("key", "k1", (F.min("k1").over(tile) < F.max("k1").over(tile)).alias("met")).where("met")
+        members = met.select("key", "k1").distinct().join(reps.select("k1", "rep"), "k1").select("key", "rep")
         members = stage(members, "members")
         sets = stage(self.sets(members.select("rep").distinct()), "sets")
 
@@ -360,6 +378,10 @@ class NgramJoin:
             else:
                 pairs = self.open_pairs(live, sets)
             pairs = pairs.select("a", "b").join(failed, ["a", "b"], "left_anti")
+            if turn < LEADER_ROUNDS:  # open pairs have passed this already
+                bounded = stage(self.allowed(pairs, sets), "bounded")
+                failed = failed.union(bounded.where("NOT near").select("a", "b"))
+                pairs = bounded.where("near").select("a", "b")
             result = stage(self.verified(pairs, sets), "verified")
             failed = stage(failed.union(result.where("NOT linked").select("a", "b")), "failed")
             linked = result.where("linked").select("a", "b")
@@ -390,7 +412,7 @@ class NgramJoin:
         sizes = stage(sizes.where("m > 1").select("label", parts.alias("parts")), "sizes")
         mates = stage(groups.where("met").join(sizes, "label").select("n", "k1", "k2", "label", "c", "parts"), "mates")
         dealt = (
-            sets.join(mates, ["n", "k1", "k2"])
+            sets.join(small(mates), ["n", "k1", "k2"])
             .withColumn("mine", F.pmod(F.xxhash64("k1", "k2"), F.col("parts")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .select("label", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "k1", "k2", "c", "bits", "items")

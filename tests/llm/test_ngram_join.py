@@ -2,8 +2,9 @@ import random
 
 import numpy as np
 import pytest
-from conftest import DATA
+from conftest import DATA, plan_of
 
+from ferrylog import staging
 from ferrylog.llm import ngram_join
 from ferrylog.llm.ngram_join import Rule, block_keys, common, link_classes, overlap_bound, parity_bits
 from ferrylog.llm.words import Words
@@ -118,6 +119,30 @@ def test_numbers_of_links_of_repeated_rows_and_rows_without_id(docs):
     assert got == sorted(want, key=str)
 
 
+def test_postings_are_dealt_once_and_sets_too_far_apart_are_not_shuffled(docs, monkeypatch):
+    plans, verified = [], []
+
+    def stage(df, label, **more):
+        plans.append(plan_of(df))
+        return staging.stage(df, label, **more)
+
+    def verify(self, pairs, sets, known=ngram_join.NgramJoin.verified):
+        verified.append({tuple(r) for r in pairs.collect()})
+        return known(self, pairs, sets)
+
+    monkeypatch.setattr(ngram_join, "stage", stage)
+    monkeypatch.setattr(ngram_join.NgramJoin, "verified", verify)
+    words = [f"w{i}" for i in range(400)]
+    # the same sentences in 300 words, and others in 100: in a common tile, yet too far apart
+    rows = [(i, " ".join(words[:300] + [f"x{i}_{j}" for j in range(100)])) for i in range(40)]
+    rows += [(100 + i, " ".join(words + [f"y{i}"])) for i in range(3)]
+    rule = Rule(4, 85, 100)
+    assert {tuple(r) for r in link_classes(docs(rows), rule).collect()} == brute(rows, rule)
+    assert sum("deal(" in plan for plan in plans) == 1
+    near = {(a, b) for pairs in verified for a, b in pairs}
+    assert near and all(a >= 100 and b >= 100 for a, b in near)
+
+
 def test_words_on_which_sums_of_powers_collide(docs):
     """Thue-Morse words and their complements have equal sums of powers for every base and letter table."""
     word = "a"
