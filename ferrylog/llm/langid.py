@@ -203,12 +203,9 @@ def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` without the rows that are rejected, all columns, decided in the scan without a join."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def accepted(texts):
-        import pandas as pd
-
-        model = sent.value
-        return pd.Series(model.accepts(*model.probabilities(pa.Array.from_pandas(texts, type=pa.string()))))
+    @F.arrow_udf("boolean")
+    def accepted(texts: pa.Array) -> pa.Array:
+        return pa.array(sent.value.accepts(*sent.value.probabilities(texts)), pa.bool_())
 
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     if model is None:

@@ -1,8 +1,8 @@
 """Words and hashes of whole texts, computed on the bytes of Arrow columns with numpy.
 
 White space is the six ASCII characters, and only A-Z are lower-cased, so both can be decided byte by
-byte in UTF-8. Texts are handled in slices of a megabyte, whatever the size of an Arrow batch; a
-longer text is a slice of its own and is never cut.
+byte in UTF-8. Texts are handled in slices of a quarter of a megabyte, whatever the size of an Arrow batch,
+since numpy needs a hundred times a slice for a moment; a longer text is a slice of its own and is never cut.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

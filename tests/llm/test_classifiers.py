@@ -1,6 +1,7 @@
 """Held-out accuracy of the trained operators, and their special cases."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -123,3 +124,16 @@ def test_word_features():
     assert sets[0] == sets[2] and len(sets[0]) == 2 and not sets[1] and len(sets[3]) == 1
     shapes = features(pa.array(["a b a", "c%% c%%"]), word_shapes)
     assert np.diff(shapes.bounds).tolist() == [1, 2]
+
+
+def test_language_id_needs_little_memory_beside_the_texts():
+    """A worker's share of an executor's memory: a few slices' worth, however many rows come at once."""
+    weights = np.random.default_rng(0).random((langid.BUCKETS, 3)).astype(np.float32)
+    model = langid.Model(["a", "b"], weights, np.zeros(2), 1.0, 0.0, 0.0)
+    texts = pa.array([f"some words {i} of a text " * 100 for i in range(3000)])
+    tracemalloc.start()
+    found, known = model.probabilities(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.shape == (3000, 2) and known.shape == (3000,)
+    assert peak < 40e6
