@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrylog.llm.words import slices
+from ferrylog.session import bounded_batches
 
 BUCKETS = 1 << 18
 DIM = 16
@@ -175,6 +176,7 @@ def fit(docs: DataFrame) -> Model | None:
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs(doc_id, text)`` with ``lang_pred``, ``score`` and ``rejected``; other columns go."""
+    bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
 
@@ -201,6 +203,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` without the rows that are rejected, all columns, decided in the scan without a join."""
+    bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("boolean")

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from ferrylog.llm.components import components
 from ferrylog.llm.words import Words, mix, shingles, slices
+from ferrylog.session import bounded_batches
 from ferrylog.staging import scratch, small, stage
 
 MAX_SEEDS = 32
@@ -167,6 +168,7 @@ class NgramJoin:
     """The stages of one join over ``docs(doc_id, text)``."""
 
     def __init__(self, docs: DataFrame, rule: Rule):
+        bounded_batches(docs.sparkSession)
         self.docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
         self.rule = rule
 

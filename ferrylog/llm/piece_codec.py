@@ -42,13 +42,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ferrylog.session import bounded_batches
+
 #: Fixed values of the model format: the escape mark, piece types, the penalty of unknown characters.
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
 MERGES = 2  # the model type of pair merging
 UNKNOWN_SURFACE = " ⁇ "
-KEPT_STRETCHES = 200_000
+KEPT_STRETCHES = 100_000
 KEPT_PAIRS = 400_000
 START = -2  # before the first character
 
@@ -342,6 +344,7 @@ def encode(docs: DataFrame, model: bytes, *, as_trained: bool = False) -> DataFr
     ``ids_sha256`` is the digest of the ids as little-endian 32-bit numbers; ``round_trip`` tells
     whether decoding them gives the text again.
     """
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = codec(model, as_trained)
@@ -368,6 +371,7 @@ def encode(docs: DataFrame, model: bytes, *, as_trained: bool = False) -> DataFr
 
 def decode(rows: DataFrame, model: bytes) -> DataFrame:
     """``(doc_id, text)`` of ``rows(doc_id, ids)``; null ids give a null text."""
+    bounded_batches(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = codec(model)

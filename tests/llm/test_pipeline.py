@@ -2,12 +2,16 @@
 
 from collections import Counter
 
+import pyarrow as pa
+import pytest
 from conftest import DATA
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 import corpus_pipeline
-from ferrylog.llm import langid, mixing
+from ferrylog.llm import langid, mixing, ngram_join, piece_codec
 from ferrylog.llm.ngram_join import Rule
+from ferrylog.session import bounded_batches
 from ferrylog.staging import app_folder, children, stage
 
 from .test_exact import brute as exact_brute
@@ -54,3 +58,53 @@ def test_rows_of_all_kinds(spark, make):
         docs = after
     assert staged(spark, make([], schema), 5).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == docs.count() <= 3 * len(rows)
+
+
+BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.fixture
+def own_bound(spark):
+    """The session without a bound of its own on Arrow batches; afterwards as it was."""
+    before = spark.conf.getAll.get(BATCH_KEY)
+    spark.conf.unset(BATCH_KEY)
+    yield
+    spark.conf.unset(BATCH_KEY) if before is None else spark.conf.set(BATCH_KEY, before)
+
+
+def largest_batch(docs):
+    def measure(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    return docs.mapInArrow(measure, "size bigint").agg(F.max("size")).first()[0]
+
+
+@pytest.mark.parametrize("operator", [
+    lambda docs: langid.keep_identified(docs, langid.Model([], None, None, 1.0, 0.0, 0.0)),
+    lambda docs: langid.identify(docs, None),
+    lambda docs: ngram_join.NgramJoin(docs, Rule()),
+    lambda docs: piece_codec.encode(docs, b""),
+])
+def test_texts_reach_python_in_batches_of_bounded_size(spark, own_bound, operator):
+    """An executor's memory beside its heap holds some batches of each task, on both sides."""
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("abcdefghi "), 500).alias("text"))
+    assert largest_batch(docs) > 12e6
+    operator(docs)
+    assert largest_batch(docs) < 5e6
+
+
+def test_a_bound_that_the_session_has_stays(spark, own_bound):
+    spark.conf.set(BATCH_KEY, "9m")
+    bounded_batches(spark)
+    assert spark.conf.get(BATCH_KEY) == "9m"
+
+
+def test_results_do_not_depend_on_the_size_of_batches(spark, own_bound, docs):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words + [f"x{i % 7}", f"y{i % 5}"])) for i in range(40)] + [(50, None), (51, "")]
+    rule = Rule(4, 85, 100)
+    whole = sorted(map(tuple, ngram_join.link_counts(docs(rows), rule).collect()))
+    spark.conf.set(BATCH_KEY, "1k")  # groups come in many pieces
+    assert sorted(map(tuple, ngram_join.link_counts(docs(rows), rule).collect())) == whole
+    assert {r[:3] for r in whole} == ngram_brute(rows, rule)
