@@ -20,12 +20,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrylog.llm.ranking import number_sorted
-from ferrylog.staging import scratch, stage
+from ferrylog.staging import scratch, small, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 SEED = 20
+#: Size up to which the list of copies is broadcast: a row of it takes about ten times as much in memory as in its file.
+COPIES_BYTES = 8 << 20
 
 
 def size_of_text(text: Column) -> Column:
@@ -115,7 +117,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MAX_COPIE
         & F.col("__source").eqNullSafe(F.col("__s"))
         & (F.col("__size") == F.col("__z"))
     )
-    joined = keyed.join(groups, same)
+    # a short list goes to the texts, so that they need not be shuffled to meet it
+    joined = keyed.join(small(groups, COPIES_BYTES), same)
     alone = joined.where("__rows = 1")
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy("__doc"))
     even = F.floor(F.col("__copies") / F.col("__rows")) + (nth <= F.col("__copies") % F.col("__rows")).cast("bigint")

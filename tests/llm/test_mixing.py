@@ -1,5 +1,7 @@
 from collections import Counter
 
+from conftest import plan_of, rows_of
+
 from ferrylog.llm import mixing
 
 
@@ -55,3 +57,21 @@ def test_an_empty_table_and_one_without_words(make):
     assert mixing.shares(frame(make, [])).count() == 0
     assert mixing.mix(frame(make, [])).count() == 0
     assert [tuple(r) for r in mixing.shares(frame(make, [(1, None, None, "c", 1)])).collect()] == [(1, None, 0, 0, 0.0, 0)]
+
+
+def test_texts_are_not_shuffled_to_meet_a_short_list_of_copies(spark, make, monkeypatch):
+    rows = [(i, "w " * (1 + i % 40), f"s{i % 3}", "c", 1) for i in range(300)] + [(900, "same row", "s2", "c", 1)] * 4
+    rows += [(901, "x", None, "c", 1), (None, "x y z", "s1", "c", 1)]
+    docs, threshold = frame(make, rows), "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        mixed = mixing.mix(docs)
+        assert "SortMergeJoin" not in plan_of(mixed)
+        some = rows_of(mixed)
+        monkeypatch.setattr(mixing, "COPIES_BYTES", 0)
+        long = mixing.mix(docs)
+        assert "SortMergeJoin" in plan_of(long)
+        assert rows_of(long) == some
+    finally:
+        spark.conf.set(threshold, before)
