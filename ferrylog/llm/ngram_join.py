@@ -16,7 +16,8 @@ into the same component are not compared any more: large groups of near copies c
 member. What is still open after these rounds is compared block by block in tiles of bounded size. In
 either case the parity bitmaps of two sets, which are short, meet first. They bound the overlap from above:
 |A & B| <= (|A| + |B| - bits that differ) / 2. Only the sets of pairs that pass are shuffled, and are checked
-by intersecting the sorted arrays.
+by intersecting the sorted arrays. An array is longer than its text, so arrays are never kept: they are made
+from the texts of those pairs again, and only bitmaps are staged.
 
 ``link_counts`` gives the number of links of each row too. It compares the members of each component once
 more, all with all, so its work grows with the square of a component's distinct sets.
@@ -131,6 +132,17 @@ def block_keys(values: np.ndarray, rule: Rule) -> np.ndarray:
     return np.concatenate(keys) if keys else np.zeros(0, dtype=np.uint64)
 
 
+def packed(keys: np.ndarray, names: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """``(bucket, keys, names)`` of postings: the upper half of a key gives its bucket, the lower half is kept."""
+    bucket = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    order = np.argsort(bucket, kind="stable")  # names stay in runs, which compress
+    bucket = bucket[order].astype(np.int32)
+    at = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    offsets = pa.array(np.append(at, len(bucket)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x[order])) for x in (keys.astype(np.uint32).view(np.int32), names)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[at]), *lists], names=["bucket", "keys", "names"])
+
+
 def parity_bits(values: np.ndarray) -> bytes:
     """A bit per hash value, flipped by every shingle; the length follows the size of the set."""
     bits = MIN_BITS
@@ -164,6 +176,37 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
+def measured(docs: DataFrame, rule: Rule, *, bits: bool = False, items: bool = False) -> DataFrame:
+    """The sets of ``docs(doc_id, text)``: ``(rep, n, k1, k2)``, and their bitmaps and sorted arrays as asked for; no empty sets."""
+    size = rule.words
+    more = ["bits binary"] * bits + ["items array<bigint>"] * items
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, found, held = batch.column("doc_id").to_pylist(), [], 0
+            for i, values in enumerate(sets_of(batch.column("text"), size)):
+                if len(values):
+                    found.append((ids[i], len(values), *set_keys(values), parity_bits(values) if bits else None, values.view(np.int64)))
+                    held += len(values)
+                if held > 1 << 20:
+                    yield _batch(found)
+                    found, held = [], 0
+            if found:
+                yield _batch(found)
+
+    def _batch(found):
+        *numbers, maps, arrays = zip(*found, strict=True)
+        cols = [pa.array(x, pa.int64()) for x in numbers]
+        if bits:
+            cols.append(pa.array(maps, pa.binary()))
+        if items:
+            offsets = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+            cols.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays))))
+        return pa.RecordBatch.from_arrays(cols, names=["rep", "n", "k1", "k2", *(c.split()[0] for c in more)])
+
+    return docs.mapInArrow(measure, ", ".join(["rep bigint, n bigint, k1 bigint, k2 bigint", *more]))
+
+
 class NgramJoin:
     """The stages of one join over ``docs(doc_id, text)``."""
 
@@ -186,8 +229,14 @@ class NgramJoin:
         return self.docs.mapInArrow(measure, "doc_id bigint, n bigint, k1 bigint, k2 bigint")
 
     def postings(self) -> DataFrame:
-        """Every tile of every set: ``(key, k1)``."""
+        """Every tile of every set: ``(bucket, key, k1)``.
+
+        They are by far the most rows, so they are shuffled as arrays, one for each bucket of keys in some documents:
+        the bucket says where a key goes, and the rest of the key needs 32 bits. Two tiles that get the same
+        bucket and key are one, whose members are compared like others.
+        """
         rule = self.rule
+        buckets = int(self.docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -199,46 +248,20 @@ class NgramJoin:
                         names.append(np.full(len(found), set_keys(values)[0], dtype=np.int64))
                         rows += len(found)
                     if rows > 200_000:
-                        yield _batch(keys, names)
+                        yield packed(np.concatenate(keys), np.concatenate(names), buckets)
                         keys, names, rows = [], [], 0
-                if keys:
-                    yield _batch(keys, names)
+                if rows:
+                    yield packed(np.concatenate(keys), np.concatenate(names), buckets)
 
-        def _batch(keys, names):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(names))], names=["key", "k1"]
-            )
-
-        return self.docs.where("doc_id IS NOT NULL").mapInArrow(deal, "key bigint, k1 bigint")
+        dealt = self.docs.where("doc_id IS NOT NULL").mapInArrow(deal, "bucket int, keys array<int>, names array<bigint>")
+        dealt = dealt.repartitionById(buckets, "bucket").select("bucket", "names", F.posexplode("keys").alias("at", "key"))
+        return dealt.select("bucket", "key", F.col("names")[F.col("at")].alias("k1"))
 
     def sets(self, wanted: DataFrame) -> DataFrame:
-        """Sorted arrays and bitmaps of the wanted doc_ids: ``(rep, n, k1, k2, bits, items)``."""
-        size = self.rule.words
-
-        def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ids, found, held = batch.column("doc_id").to_pylist(), [], 0
-                for i, values in enumerate(sets_of(batch.column("text"), size)):
-                    if len(values):
-                        found.append((ids[i], len(values), *set_keys(values), parity_bits(values), values.view(np.int64)))
-                        held += len(values)
-                    if held > 1 << 20:
-                        yield _batch(found)
-                        found, held = [], 0
-                if found:
-                    yield _batch(found)
-
-        def _batch(found):
-            *numbers, bits, items = zip(*found, strict=True)
-            offsets = np.cumsum([0, *map(len, items)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(items)))
-            cols = [*(pa.array(x, pa.int64()) for x in numbers), pa.array(bits, pa.binary()), lists]
-            return pa.RecordBatch.from_arrays(cols, names=["rep", "n", "k1", "k2", "bits", "items"])
-
+        """Bitmaps of the wanted reps: ``(rep, n, k1, k2, bits)``."""
         # a short list, so that the texts need not be shuffled to meet it
         wanted = small(stage(wanted.withColumnRenamed("rep", "doc_id"), "wanted"))
-        some = self.docs.join(wanted, "doc_id", "left_semi")
-        return some.mapInArrow(arrays, "rep bigint, n bigint, k1 bigint, k2 bigint, bits binary, items array<bigint>")
+        return measured(self.docs.join(wanted, "doc_id", "left_semi"), self.rule, bits=True)
 
     def allowed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """``(a, b, near)`` of candidate pairs ``(a, b)``: whether their bitmaps allow a link; no array is moved."""
@@ -257,19 +280,17 @@ class NgramJoin:
         both = two.join(small(stage(pairs, "pairs")), "b").join(one, "a").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
         return both.mapInArrow(bound, "a bigint, b bigint, near boolean").groupBy("a", "b").agg(F.max("near").alias("near"))
 
-    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """``(a, b, linked)`` of candidate pairs ``(a, b)``."""
+    def verified(self, pairs: DataFrame, docs: DataFrame) -> DataFrame:
+        """``(a, b, linked)`` of candidate pairs ``(a, b)`` of ``docs(doc_id, text)``, whose sets are made for it."""
         rule = self.rule
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 items = [_lists(batch.column(c)) for c in ("items_a", "items_b")]
-                bits = [batch.column(c) for c in ("bits_a", "bits_b")]
                 linked = []
                 for i in range(batch.num_rows):
                     a, b = items[0](i), items[1](i)
-                    x, y = (np.frombuffer(c[i].as_py(), dtype=np.uint8) for c in bits)
-                    bound = int(overlap_bound(len(a), len(b), x, y))
+                    bound = min(len(a), len(b))  # sets of one doc_id may differ in size
                     linked.append(rule.links(bound, len(a), len(b)) and rule.links(common(a, b), len(a), len(b)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"]
@@ -280,13 +301,16 @@ class NgramJoin:
             values = column.values.to_numpy(zero_copy_only=False)
             return lambda i: values[offsets[i] : offsets[i + 1]].view(np.uint64)
 
-        one = sets.select(F.col("rep").alias("a"), F.col("bits").alias("bits_a"), F.col("items").alias("items_a"))
-        two = sets.select(F.col("rep").alias("b"), F.col("bits").alias("bits_b"), F.col("items").alias("items_b"))
-        # sets are long and pairs short: a short list of pairs goes to the sets, so that only what is in a
-        # pair is shuffled, and the one end of each pair that is met there
+        # texts are long and pairs short: short lists go to the texts, so that only the sets of what is in a
+        # pair are made and shuffled, once as an end that others meet and once for each pair as the end they meet
         pairs = stage(pairs, "pairs")
-        one = one.join(small(stage(pairs.select("a").distinct(), "leaders")), "a", "left_semi")
-        both = two.join(small(pairs), "b").join(one, "a").select("a", "b", "bits_a", "bits_b", "items_a", "items_b")
+
+        def ends(c: str) -> DataFrame:
+            some = small(stage(pairs.select(F.col(c).alias("doc_id")).distinct(), "ends"))
+            of = measured(docs.join(some, "doc_id", "left_semi"), rule, items=True)
+            return of.select(F.col("rep").alias(c), F.col("items").alias(f"items_{c}"))
+
+        both = ends("b").join(small(pairs), "b").join(ends("a"), "a").select("a", "b", "items_a", "items_b")
         found = both.mapInArrow(verify, "a bigint, b bigint, linked boolean")
         return found.groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
@@ -345,9 +369,11 @@ class NgramJoin:
         )
         reps = stage(reps.select("n", "k1", "k2", "rep", "c"), "reps")
         # one shuffle of the postings both finds the tiles of several sets and keeps their members
-        tile = Window.partitionBy("key")
-        met = self.postings().select("key", "k1", (F.min("k1").over(tile) < F.max("k1").over(tile)).alias("met")).where("met")
-        members = met.select("key", "k1").distinct().join(reps.select("k1", "rep"), "k1").select("key", "rep")
+        tile = Window.partitionBy("bucket", "key")
+        met = (F.min("k1").over(tile) < F.max("k1").over(tile)).alias("met")
+        met = self.postings().select("bucket", "key", "k1", met).where("met").select("bucket", "key", "k1").distinct()
+        key = F.shiftleft(F.col("bucket").cast("bigint"), 32) + F.col("key")
+        members = met.select(key.alias("key"), "k1").join(reps.select("k1", "rep"), "k1").select("key", "rep")
         members = stage(members, "members")
         sets = stage(self.sets(members.select("rep").distinct()), "sets")
 
@@ -384,7 +410,7 @@ class NgramJoin:
                 bounded = stage(self.allowed(pairs, sets), "bounded")
                 failed = failed.union(bounded.where("NOT near").select("a", "b"))
                 pairs = bounded.where("near").select("a", "b")
-            result = stage(self.verified(pairs, sets), "verified")
+            result = stage(self.verified(pairs, self.docs), "verified")
             failed = stage(failed.union(result.where("NOT linked").select("a", "b")), "failed")
             linked = result.where("linked").select("a", "b")
             roots = stage(components(linked.union(roots.select("node", "component"))), "roots")
@@ -413,8 +439,11 @@ class NgramJoin:
         parts = F.greatest(F.ceil(F.col("m") / LINK_SETS), F.ceil(F.col("items") / LINK_ITEMS)).cast("int")
         sizes = stage(sizes.where("m > 1").select("label", parts.alias("parts")), "sizes")
         mates = stage(groups.where("met").join(sizes, "label").select("n", "k1", "k2", "label", "c", "parts"), "mates")
+        wanted = sets.join(small(mates), ["n", "k1", "k2"], "left_semi").select(F.col("rep").alias("doc_id")).distinct()
+        wanted = small(stage(wanted, "wanted"))
+        arrays = measured(self.docs.join(wanted, "doc_id", "left_semi"), rule, bits=True, items=True)
         dealt = (
-            sets.join(small(mates), ["n", "k1", "k2"])
+            arrays.join(small(mates), ["n", "k1", "k2"])
             .withColumn("mine", F.pmod(F.xxhash64("k1", "k2"), F.col("parts")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .select("label", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "k1", "k2", "c", "bits", "items")

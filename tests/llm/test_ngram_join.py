@@ -6,7 +6,7 @@ from conftest import DATA, plan_of
 
 from ferrylog import staging
 from ferrylog.llm import ngram_join
-from ferrylog.llm.ngram_join import Rule, block_keys, common, link_classes, overlap_bound, parity_bits
+from ferrylog.llm.ngram_join import Rule, block_keys, common, link_classes, overlap_bound, packed, parity_bits
 from ferrylog.llm.words import Words
 
 from .conftest import classes, plain_words
@@ -153,3 +153,37 @@ def test_words_on_which_sums_of_powers_collide(docs):
     assert sorted(tuple(r) for r in got) == [(1, 1, 1), (2, 1, 2), (3, 1, 1)]
     raw = np.frombuffer(f"{word} {other} abcdefgh abcdefg hgfedcba abcdefghi".encode(), dtype=np.uint8)
     assert len(set(Words(raw, np.array([0, len(raw)])).hashes.tolist())) == 6
+
+
+def test_no_array_of_hashes_is_staged_and_postings_move_as_arrays(docs, monkeypatch):
+    """Arrays are longer than texts, and postings are most of the rows."""
+    staged, plans = {}, {}
+
+    def stage(df, label, **more):
+        staged.setdefault(label, set()).update(kind for _, kind in df.dtypes)
+        plans[label] = plan_of(df)
+        return staging.stage(df, label, **more)
+
+    monkeypatch.setattr(ngram_join, "stage", stage)
+    rows = variants(5, 60)
+    rule = Rule(4, 85, 100)
+    got = ngram_join.link_counts(docs(rows), rule).collect()
+    assert {tuple(r)[:3] for r in got} == brute(rows, rule)
+    assert "sets" in staged and not any("array" in kind for kinds in staged.values() for kind in kinds)
+    # the one exchange below the window is that of the arrays
+    below = plans["members"].split("Window")[-1].split("MapInArrow")[0]
+    assert below.count("Exchange") == 1 and below.index("Generate") < below.index("Exchange")
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 3000])
+def test_packed_postings_are_those_dealt(buckets):
+    r = np.random.default_rng(3)
+    keys = r.integers(1 << 64, size=5000, dtype=np.uint64)
+    names = np.repeat(r.integers(-(1 << 62), 1 << 62, size=50), 100)
+    keys[100:200] = keys[:100]  # two sets in the same tiles
+    got = packed(keys, names, buckets).to_pydict()
+    assert len(set(got["bucket"])) == len(got["bucket"]) and set(got["bucket"]) <= set(range(buckets))
+    rows = [(b, k, n) for b, ks, ns in zip(*got.values(), strict=True) for k, n in zip(ks, ns, strict=True)]
+    low = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32).tolist()
+    bucket = [(k >> 32) * buckets >> 32 for k in keys.tolist()]
+    assert sorted(rows) == sorted(zip(bucket, low, names.tolist(), strict=True))
